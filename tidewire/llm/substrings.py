@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import materialise
 from tidewire.llm.words import Hashes, frequent, grams, is_in, mixed
 
-#: Words of a minimiser.
-M = 3
+#: Words of a minimiser. One word makes the longest runs, so the least is sent twice.
+M = 1
 #: Word groups in this share of the documents are minimisers only of windows that have no other.
 FREQUENT = 0.005
 #: Words of the corpus that a bucket stands for.
 BUCKET_WORDS = 1 << 19
 #: Hits are broadcast to the texts up to this size; beyond it the texts are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
+#: As many copies are broadcast to the texts, at some 60 bytes each.
+BROADCAST_COPIES = 1 << 19
 
 
 def split(text: str | None) -> list[bytes]:
@@ -62,10 +64,14 @@ def _send(batch: pa.RecordBatch, width: int, often: np.ndarray, n_buckets: int,
     """
     where: dict[bytes, list[tuple[int, int, int]]] = {}
     bucket_of: dict[bytes, int] = {}
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+    copies: list[tuple[int, int]] = []
+    for doc_id, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
         words = split(text.as_py()) if doc_id is not None else []
         if len(words) < width:
             continue
+        if copy:
+            copies.append((doc_id, len(words)))
+            continue
         minimisers, starts, sizes = super_kmers(hashes.of(words), width, often)
         buckets = (mixed(minimisers) % np.uint64(n_buckets)).tolist()
         for bucket, a, n in zip(buckets, starts.tolist(), sizes.tolist(), strict=True):
@@ -73,7 +79,7 @@ def _send(batch: pa.RecordBatch, width: int, often: np.ndarray, n_buckets: int,
             packed = b" ".join(words[a:b])
             bucket_of[packed] = bucket
             where.setdefault(packed, []).append((doc_id, a, b))
-    rows = []
+    rows = [(doc_id % n_buckets, None, doc_id, 0, n) for doc_id, n in copies]
     for packed, found in where.items():
         first = min(found)[0] if len(found) > 1 else found[0][0]
         for doc_id, a, b in found:
@@ -122,7 +128,8 @@ def _resolve(group: pa.Table, width: int) -> pa.Table:
 def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
     """(doc_id, ranges): for each doc_id with any, word ranges [start, end) covered by windows that also start in a smaller doc_id.
 
-    Ranges may overlap. Buckets follow the size of the corpus; word groups that very many
+    Ranges may overlap. A copy of a smaller document's whole text is hit throughout, and is not
+    sent. Buckets follow the size of the corpus; word groups that very many
     documents share are minimisers last, so windows at the border of a common passage spread
     over other buckets, and windows within it are equal strings, which a batch sends once.
     """
@@ -142,7 +149,13 @@ def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 yield _send(batch.slice(at, 2000), width, shared.value, n_buckets, held)
 
-    sent = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(send, "bucket long, packed binary, doc_id long, start int, end int")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keys = texts.where("doc_id IS NOT NULL").select("doc_id", F.md5("text").alias("key"))
+    first = materialise(keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first"), "first")
+    copies = materialise(keys.join(first, "key").where("doc_id > first").select("doc_id", "key", F.lit(True).alias("copy")).distinct(), "copies")
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+    flagged = texts.withColumn("key", F.md5("text")).join(copies, ["doc_id", "key"], "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
+    sent = flagged.mapInArrow(send, "bucket long, packed binary, doc_id long, start int, end int")
     hits = sent.groupBy("bucket").applyInArrow(lambda group: _resolve(group, width), "doc_id long, start int, end int")
     return hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
