@@ -56,13 +56,13 @@ def _search_block(queries: list[tuple[int, np.ndarray]], members: list[tuple[int
                 yield members[k][0], members[j][0]
 
 
-def _match(rows: DataFrame, index_of: Callable) -> DataFrame:
+def _match(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataFrame:
     """(lead, a, b) from rows (lead, chunk, role, whole, key, tokens): role 0 asks, role 1 is asked."""
 
     def search(batches):
         def found():
             for (lead, _), group in runs(batches, 2):
-                sets = [(role, key, np.frombuffer(tokens, np.uint64)) for role, _, key, tokens in group]
+                sets = [(role, key, unpack(tokens)) for role, _, key, tokens in group]
                 queries = [(k, t) for role, k, t in sets if role == 0]
                 members = list({k: (k, t) for role, k, t in sets if role == 1}.values())
                 for a, b in _search_block(queries, members, group[0][1], index_of, {k for k, _ in queries}):
@@ -74,12 +74,16 @@ def _match(rows: DataFrame, index_of: Callable) -> DataFrame:
     return dealt.mapInArrow(search, "lead long, a long, b long")
 
 
-def link_blocks(blocks: DataFrame, sets: DataFrame, index_of: Callable[[list[np.ndarray]], Callable[[np.ndarray], list[int]]]) -> DataFrame:
+def packed_hashes(tokens: bytes) -> np.ndarray:
+    return np.frombuffer(tokens, np.uint64)
+
+
+def link_blocks(blocks: DataFrame, sets: DataFrame, index_of: Callable[[list[np.ndarray]], Callable[[np.ndarray], list[int]]], unpack: Callable[[bytes], np.ndarray] = packed_hashes) -> DataFrame:
     """Edges (a, b) that join, within each block, whatever links of its sets join.
 
     blocks: distinct (lead, key), a lead with each of its members, lead <> key. sets: (key, n,
-    tokens), tokens as packed sorted unsigned longs, for every key and lead. index_of makes of
-    a list of sets a function that gives the places of those linked with a set.
+    tokens) for every key and lead: n elements, which unpack makes of the bytes in tokens, as
+    sorted unsigned longs. index_of makes of a list of sets a function that gives the places of those linked with a set.
 
     A block of more than CHUNK_ELEMENTS elements is dealt to chunks; its lead goes to each of
     them, and then the members it did not reach go to each of them.
@@ -91,7 +95,7 @@ def link_blocks(blocks: DataFrame, sets: DataFrame, index_of: Callable[[list[np.
     whole = F.col("chunks") == 1
     members = placed.select("lead", "chunk", F.lit(1).alias("role"), whole.alias("whole"), "key")
     leads = totals.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), whole.alias("whole"), F.col("lead").alias("key"))
-    found = materialise(_match(members.unionByName(leads).join(sets.select("key", "tokens"), "key"), index_of), "found")
+    found = materialise(_match(members.unionByName(leads).join(sets.select("key", "tokens"), "key"), index_of, unpack), "found")
     links = found.where("b IS NOT NULL").select("a", "b")
     # Members of dealt blocks that their lead did not reach ask all chunks of the block.
     left = found.where("b IS NULL").select("lead", F.col("a").alias("key"))
@@ -99,5 +103,5 @@ def link_blocks(blocks: DataFrame, sets: DataFrame, index_of: Callable[[list[np.
         return links
     asking = left.join(totals, "lead").select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), F.lit(False).alias("whole"), "key")
     again = members.join(left.select("lead").distinct(), "lead", "left_semi")
-    more = _match(asking.unionByName(again).join(sets.select("key", "tokens"), "key"), index_of)
+    more = _match(asking.unionByName(again).join(sets.select("key", "tokens"), "key"), index_of, unpack)
     return links.unionByName(more.where("b IS NOT NULL").select("a", "b"))

@@ -24,7 +24,6 @@ BROADCAST_BYTES = 32 << 20
 
 _rng = np.random.default_rng(11)
 _SCALE = (_rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-_SHIFT = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 
 
 def normal(line: str) -> str:
@@ -47,6 +46,10 @@ def shingle_hashes(line: str) -> np.ndarray:
     return mixed(x)
 
 
+def shingle_set(line: bytes) -> np.ndarray:
+    return np.unique(shingle_hashes(line.decode()))
+
+
 def band_hashes(lines: list[str]) -> np.ndarray:
     """BANDS hashes of each normal line, of its least permuted shingle hashes."""
     parts = [shingle_hashes(x) for x in lines]
@@ -62,7 +65,7 @@ def band_hashes(lines: list[str]) -> np.ndarray:
         for band in range(BANDS):
             total = np.full(end - at, band + 1, np.uint64)
             for k in range(band * ROWS, (band + 1) * ROWS):
-                least = np.minimum.reduceat(x * _SCALE[k] + _SHIFT[k], starts)
+                least = np.minimum.reduceat(x * _SCALE[k], starts)
                 total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + least)
             out[at:end, band] = total
         at = end
@@ -158,14 +161,13 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
                         if len(seen) > 2_000_000:
                             seen.clear()
                         seen.add(key)
-                        tokens = np.unique(shingle_hashes(line))
-                        rows.append((key, len(tokens), tokens.tobytes()))
+                        rows.append((key, len(line), line.encode("utf-8", "replace")))
                 yield _batch(tuple(zip(*rows, strict=True)) if rows else ([],) * 3, _TOKENS)
 
     tokens = known.mapInArrow(tokens_of, "key long, n long, tokens binary")
     tokens = tokens if few else tokens.join(wanted, "key", "left_semi")
     tokens = materialise(tokens.dropDuplicates(["key"]), "tokens")
-    components = connected_components(link_blocks(blocks, tokens, jaccard(threshold)))
+    components = connected_components(link_blocks(blocks, tokens, jaccard(threshold), shingle_set))
     rooted = lines.select("doc_id", "line", "key").join(components.withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.select("doc_id", "line", F.coalesce("component", "key").alias("root"))
     at = F.struct("doc_id", "line")
