@@ -18,6 +18,8 @@ from tidewire.llm.words import mixed
 SHINGLE = 8
 #: Bands of ROWS least hashes each. Lines of Jaccard 0.8 meet in a band with chance 0.995, of 0.9 with 0.9999.
 BANDS, ROWS = 10, 4
+#: Shingles from which a line fills the bins of one permutation.
+LONG = 160
 #: Keys that are broadcast to pick lines; beyond, lines are joined by shuffle.
 BROADCAST_KEYS = 1 << 21
 BROADCAST_BYTES = 32 << 20
@@ -47,29 +49,66 @@ def shingle_hashes(line: str) -> np.ndarray:
 
 
 def shingle_set(line: bytes) -> np.ndarray:
-    return np.unique(shingle_hashes(line.decode()))
+    x = np.sort(shingle_hashes(line.decode()))
+    return x[np.concatenate(([True], x[1:] != x[:-1]))]
+
+
+def _bands(least: np.ndarray, first: int) -> np.ndarray:
+    """Hashes of ROWS least hashes each; `first` tells the bands of one scheme from another's."""
+    out = np.zeros((len(least), BANDS), np.uint64)
+    for band in range(BANDS):
+        total = np.full(len(least), first + band + 1, np.uint64)
+        for k in range(band * ROWS, (band + 1) * ROWS):
+            total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
+        out[:, band] = total
+    return out
+
+
+def _permuted(parts: list[np.ndarray]) -> np.ndarray:
+    """The least hash of each line under each of BANDS * ROWS permutations."""
+    x = (np.concatenate(parts) >> np.uint64(32)).astype(np.uint32)
+    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts[:-1]]))).astype(np.int64)
+    return np.stack([np.minimum.reduceat(x * scale, starts) for scale in _SCALE], axis=1)
+
 
+def _one_permutation(parts: list[np.ndarray]) -> np.ndarray:
+    """The least hash of each line in each of BANDS * ROWS bins of one permutation; an empty bin takes the next one's."""
+    bins = BANDS * ROWS
+    x = np.concatenate(parts)
+    row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    least = np.full(len(parts) * bins, 1 << 32, np.uint64)
+    np.minimum.at(least, row * bins + ((x & np.uint64(0xFFFFFFFF)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), x >> np.uint64(32))
+    least = least.reshape(-1, bins)
+    for _ in range(bins):
+        empty = least == 1 << 32
+        if not empty.any():
+            break
+        least = np.where(empty, np.roll(least, -1, axis=1), least)
+    return least
 
-def band_hashes(lines: list[str]) -> np.ndarray:
-    """BANDS hashes of each normal line, of its least permuted shingle hashes."""
+
+def band_hashes(lines: list[str]) -> list[list[int]]:
+    """Band hashes of normal lines, as signed longs.
+
+    Lines of up to LONG shingles are permuted BANDS * ROWS times; those of 0.8 LONG and more
+    have one permutation in as many bins, which they fill. Lines of similarity 0.8 differ in
+    size by no more than that, so any two share a scheme; lines between the two have both.
+    """
+    found: list[list[int]] = [[] for _ in lines]
     parts = [shingle_hashes(x) for x in lines]
-    out = np.zeros((len(lines), BANDS), np.uint64)
-    at = 0
-    while at < len(parts):  # blocks that stay in cache
-        end, size = at, 0
-        while end < len(parts) and (end == at or size + len(parts[end]) <= 1 << 15):
-            size += len(parts[end])
-            end += 1
-        x = (np.concatenate(parts[at:end]) >> np.uint64(32)).astype(np.uint32)
-        starts = np.concatenate(([0], np.cumsum([len(p) for p in parts[at : end - 1]]))).astype(np.int64)
-        for band in range(BANDS):
-            total = np.full(end - at, band + 1, np.uint64)
-            for k in range(band * ROWS, (band + 1) * ROWS):
-                least = np.minimum.reduceat(x * _SCALE[k], starts)
-                total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + least)
-            out[at:end, band] = total
-        at = end
-    return out
+    for first, scheme, fits in ((0, _permuted, lambda n: n <= LONG), (BANDS, _one_permutation, lambda n: n >= 0.8 * LONG)):
+        places = [k for k, p in enumerate(parts) if fits(len(p))]
+        at = 0
+        while at < len(places):  # blocks that stay in cache
+            end, size = at, 0
+            while end < len(places) and (end == at or size + len(parts[places[end]]) <= 1 << 15):
+                size += len(parts[places[end]])
+                end += 1
+            rows = _bands(scheme([parts[k] for k in places[at:end]]), first).view(np.int64).tolist()
+            for k, row in zip(places[at:end], rows, strict=True):
+                found[k] += row
+            at = end
+    return found
 
 
 def jaccard(threshold: float) -> Callable[[list[np.ndarray]], Callable[[np.ndarray], list[int]]]:
@@ -93,8 +132,7 @@ def jaccard(threshold: float) -> Callable[[list[np.ndarray]], Callable[[np.ndarr
     return index_of
 
 
-_LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_TOKENS = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+_LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.int64()), ("bands", pa.list_(pa.int64())), ("normal", pa.string())])
 
 
 def _batch(columns: tuple, schema: pa.Schema) -> pa.RecordBatch:
@@ -102,7 +140,7 @@ def _batch(columns: tuple, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _lines(batches):
-    """Lines that are not blank; the first of each key in a task has its bands."""
+    """Lines that are not blank; the first of each key in a task has its bands and its normal form."""
     seen: set[int] = set()
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
@@ -119,9 +157,10 @@ def _lines(batches):
                             new.append(line), place.append(len(keys))
                         ids.append(doc_id), numbers.append(k), keys.append(key)
             bands: list = [None] * len(keys)
-            for p, row in zip(place, band_hashes(new).view(np.int64).tolist(), strict=True):
-                bands[p] = row
-            yield _batch((ids, numbers, keys, bands), _LINES)
+            texts: list = [None] * len(keys)
+            for p, row, line in zip(place, band_hashes(new), new, strict=True):
+                bands[p], texts[p] = row, line
+            yield _batch((ids, numbers, keys, bands, texts), _LINES)
 
 
 def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -131,9 +170,8 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     similarity of character shingles >= threshold. Of each component the line of the smallest
     (doc_id, number) stays.
     """
-    spark = documents.sparkSession
     known = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    lines = materialise(known.mapInArrow(_lines, "doc_id long, line int, key long, bands array<long>"), "lines")
+    lines = materialise(known.mapInArrow(_lines, "doc_id long, line int, key long, bands array<long>, normal string"), "lines")
     banded = lines.where("bands IS NOT NULL").select("key", F.explode("bands").alias("band"))
     # The least key leads a band; a map-side minimum finds it, however many lines meet there.
     heads = banded.groupBy("band").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead <> last").drop("last")
@@ -142,31 +180,10 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
         heads = F.broadcast(heads)
     blocks = materialise(banded.join(heads, "band").where("lead <> key").select("lead", "key").distinct(), "blocks")
     wanted = materialise(blocks.select("key").union(blocks.select("lead")).distinct(), "wanted")
-    few = wanted.count() <= BROADCAST_KEYS
-    picked = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.collect()], np.int64)) if few else None)
-
-    def tokens_of(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = []
-                for doc_id, text in zip(batch.column(0).slice(at, 1000).to_pylist(), batch.column(1).slice(at, 1000).to_pylist(), strict=True):
-                    for line in text.split("\n") if text and doc_id is not None else ():
-                        if not (line := normal(line)) or (key := key_of(line)) in seen:
-                            continue
-                        if few:
-                            place = int(np.searchsorted(picked.value, key))
-                            if place == len(picked.value) or picked.value[place] != key:
-                                continue
-                        if len(seen) > 2_000_000:
-                            seen.clear()
-                        seen.add(key)
-                        rows.append((key, len(line), line.encode("utf-8", "replace")))
-                yield _batch(tuple(zip(*rows, strict=True)) if rows else ([],) * 3, _TOKENS)
-
-    tokens = known.mapInArrow(tokens_of, "key long, n long, tokens binary")
-    tokens = tokens if few else tokens.join(wanted, "key", "left_semi")
-    tokens = materialise(tokens.dropDuplicates(["key"]), "tokens")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+    texts = lines.where("normal IS NOT NULL").join(wanted, "key", "left_semi")
+    texts = texts.select("key", F.length("normal").cast("long").alias("n"), F.col("normal").cast("binary").alias("tokens"))
+    tokens = materialise(texts.dropDuplicates(["key"]), "tokens")
     components = connected_components(link_blocks(blocks, tokens, jaccard(threshold), shingle_set))
     rooted = lines.select("doc_id", "line", "key").join(components.withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.select("doc_id", "line", F.coalesce("component", "key").alias("root"))
