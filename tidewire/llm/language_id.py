@@ -88,10 +88,13 @@ def phrases(table: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> np.nda
         c = codes[:n, k]
         step = flat.take(state[:n] + c)
         cut = np.flatnonzero(step < 0)
-        count[cut] += 1
         step[cut] = start[c[cut]]
+        # A phrase begins where a match is cut, and in the state of nothing matched.
+        count[:n] += state[:n] == 0
+        open_ = cut[state[cut] > 0]
+        count[open_] += 1
         state[:n] = step
-    return count + (state > 0)
+    return count
 
 
 def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> list[tuple[str, np.ndarray]]:
