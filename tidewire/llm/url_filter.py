@@ -56,7 +56,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 15, damping: flo
     totals = start.groupBy("kind").agg(F.sum("weight").alias("total"))
     start = materialise(start.join(F.broadcast(totals), "kind").select("kind", F.col("host").alias("src"), (F.col("weight") / F.col("total")).alias("rank")), "seeds")
     hosts = edges.select("src").union(edges.select("dst")).union(start.select("src")).distinct()
-    stay = hosts.crossJoin(F.broadcast(edges.sparkSession.createDataFrame([("trust",), ("distrust",)], "kind string"))).join(out, ["kind", "src"], "left_anti")
+    stay = hosts.withColumn("kind", F.explode(F.array(F.lit("trust"), F.lit("distrust")))).join(out, ["kind", "src"], "left_anti")
     moves = materialise(moves.unionByName(stay.select("kind", "src", F.col("src").alias("dst"), F.lit(1.0).alias("share"))), "moves")
     rank = start
     for k in range(rounds):
