@@ -1,8 +1,8 @@
 """Links inside candidate blocks, found where a block's sets meet, without a row for each pair.
 
 A block is a lead and the members that share a signature with it. The lead is compared with
-every member. What it does not reach searches the whole block in turn. Members already linked
-with the lead need no comparison among themselves: they are one component.
+every member. What it does not reach searches the whole block in turn, but for the members of
+the largest component: they need no comparison among themselves, and all others look for them.
 """
 
 from __future__ import annotations
@@ -42,18 +42,29 @@ def _search_block(queries: list[tuple[int, np.ndarray]], members: list[tuple[int
                 yield key, members[k][0]
                 if whole:
                     up[root(k)] = root(main)
-    rest = [k for k in range(len(members)) if k not in reached and members[k][0] not in apart]
+    rest = [k for k in range(len(members)) if members[k][0] not in apart]
     if not whole:
         for k in rest:
-            yield members[k][0], None
+            if k not in reached:
+                yield members[k][0], None
         return
-    for k in rest:
-        if root(k) == root(main):
-            continue
-        for j in index(members[k][1]):
-            if root(j) != root(k):
-                up[root(j)] = root(k)
-                yield members[k][0], members[j][0]
+    # Of two members in different components one at least is outside the largest: when all those
+    # outside have searched, no link between components is left. Which is largest may change.
+    size = [1] * len(members) + [1 + len(reached)]
+    largest, ahead, behind = main, rest, []
+    while ahead:
+        for k in ahead:
+            if root(k) == root(largest):
+                behind.append(k)
+                continue
+            for j in index(members[k][1]):
+                if root(j) != root(k):
+                    size[root(k)] += size[root(j)]
+                    up[root(j)] = root(k)
+                    yield members[k][0], members[j][0]
+            if size[root(k)] > size[root(largest)]:
+                largest = k
+        ahead, behind = [k for k in behind if root(k) != root(largest)], [k for k in behind if root(k) == root(largest)]
 
 
 def _match(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataFrame:
