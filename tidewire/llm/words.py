@@ -25,7 +25,7 @@ class Hashes(dict):
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self[w] for w in words), np.uint64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
