@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,6 +36,49 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of text hashed at once; longer texts are cut where words end.
+_BLOCK = 1 << 16
+_WHITE = re.compile(rb"[ \t-\r]")
+_of_byte = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
+_of_byte[[9, 10, 11, 12, 13, 32]] = 0
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, base, np.uint64))))
+
+
+_UP, _DOWN = _powers(_BASE, 2 * _BLOCK), _powers(pow(_BASE, -1, 1 << 64), 2 * _BLOCK)
+
+
+def _hash_block(text: bytes) -> np.ndarray:
+    values = _of_byte[np.frombuffer(text, np.uint8)]
+    black = np.concatenate(([False], values != 0))
+    starts = np.flatnonzero(black[1:] & ~black[:-1])
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    up, down = (_UP, _DOWN) if len(text) <= len(_UP) else (_powers(_BASE, len(text)), _powers(pow(_BASE, -1, 1 << 64), len(text)))
+    # A polynomial in the bytes of each word, whatever the word's place in the text.
+    return mixed(np.add.reduceat(values * up[: len(values)], starts) * down[starts])
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words (runs of bytes other than 9 to 13 and 32) of a text, in order, from its bytes at once."""
+    parts, at = [], 0
+    while at < len(text):
+        cut = _WHITE.search(text, at + _BLOCK)
+        end = cut.start() if cut else len(text)
+        parts.append(_hash_block(text[at:end]))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate((x[:1] == x[:1], x[1:] != x[:-1]))]
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of every n consecutive words."""
     size = max(0, len(hashes) - n + 1)
