@@ -153,6 +153,16 @@ def test_line_bands_meet(size):
     assert met >= 98
 
 
+@pytest.mark.parametrize("unit", ["|---", "=", "all rights reserved by the owner. "])
+def test_repetitive_lines_meet_at_any_length(spark, unit):
+    short, long = ((unit * 400)[:n] for n in (100, 400))
+    a, b = (lines.shingle_set(lines.normal(x).encode()) for x in (short, long))
+    assert len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+    assert set.intersection(*map(set, lines.band_hashes([lines.normal(short), lines.normal(long)])))
+    found = {r.doc_id: r.n_removed for r in lines.dedup_lines(docs_of(spark, [(1, short), (2, long), (3, (unit * 400)[:200])])).collect()}
+    assert found == {1: 0, 2: 1, 3: 1}
+
+
 def test_language(spark):
     rng = random.Random(1)
     kinds = {"aa": "abcde", "bb": "efghi"}

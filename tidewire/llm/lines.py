@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.blocks import link_blocks
 from tidewire.llm.common import connected_components, materialise
-from tidewire.llm.words import mixed
+from tidewire.llm.words import distinct, mixed
 
 #: Characters of a shingle: so many that unrelated lines share next to none.
 SHINGLE = 8
@@ -49,8 +49,7 @@ def shingle_hashes(line: str) -> np.ndarray:
 
 
 def shingle_set(line: bytes) -> np.ndarray:
-    x = np.sort(shingle_hashes(line.decode()))
-    return x[np.concatenate(([True], x[1:] != x[:-1]))]
+    return distinct(shingle_hashes(line.decode()))
 
 
 def _bands(least: np.ndarray, first: int) -> np.ndarray:
@@ -90,12 +89,13 @@ def _one_permutation(parts: list[np.ndarray]) -> np.ndarray:
 def band_hashes(lines: list[str]) -> list[list[int]]:
     """Band hashes of normal lines, as signed longs.
 
-    Lines of up to LONG shingles are permuted BANDS * ROWS times; those of 0.8 LONG and more
-    have one permutation in as many bins, which they fill. Lines of similarity 0.8 differ in
+    Lines of up to LONG distinct shingles are permuted BANDS * ROWS times; those of 0.8 LONG and
+    more have one permutation in as many bins, which they fill. Lines of similarity 0.8 differ in
     size by no more than that, so any two share a scheme; lines between the two have both.
     """
     found: list[list[int]] = [[] for _ in lines]
-    parts = [shingle_hashes(x) for x in lines]
+    # Repeats do not change a least hash: they go only where they could change the scheme.
+    parts = [distinct(x) if len(x) >= 0.8 * LONG else x for x in map(shingle_hashes, lines)]
     for first, scheme, fits in ((0, _permuted, lambda n: n <= LONG), (BANDS, _one_permutation, lambda n: n >= 0.8 * LONG)):
         places = [k for k, p in enumerate(parts) if fits(len(p))]
         at = 0
