@@ -108,6 +108,26 @@ def test_substrings(spark):
         assert (r.n_words, r.n_removed, r.kept) == (len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
 
 
+def test_substrings_of_few_words_spread(spark, monkeypatch):
+    """Where every word is frequent, no bucket gets more than its share, and equal windows still meet."""
+    rng = random.Random(12)
+    texts = [(k, " ".join(rng.choice(["get", "put", "ok", "fail", "0", "1"]) for _ in range(60))) for k in range(120)]
+    texts += [(200 + k, texts[k][1][20:] + " end") for k in range(40)]
+    monkeypatch.setattr(substrings, "BUCKET_WORDS", 400)
+    first = {}
+    for k, t in texts:
+        for i in range(len(w := t.split()) - 12):
+            first.setdefault(tuple(w[i : i + 13]), k)
+    for r in substrings.remove_repeats(docs_of(spark, texts)).collect():
+        w = dict(texts)[r.doc_id].split()
+        gone = {i + j for i in range(len(w) - 12) if first[tuple(w[i : i + 13])] < r.doc_id for j in range(13)}
+        assert (r.n_removed, r.kept) == (len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
+    table = {}
+    for r in substrings._sent(docs_of(spark, texts), 13).where("packed IS NOT NULL").collect():
+        table[r.bucket] = table.get(r.bucket, 0) + r.end - r.start
+    assert len(table) >= 15 and max(table.values()) < 5 * sum(table.values()) / len(table)
+
+
 def test_decontamination(spark, monkeypatch):
     texts = corpus(6)
     words = texts[10][1].split()

@@ -1,7 +1,8 @@
 """Substring dedup by super-k-mers.
 
 Consecutive windows of a document that share a minimiser travel as one packed string to the
-minimiser's bucket, where sorting brings equal windows together.
+minimiser's bucket, where sorting brings equal windows together. Windows of a minimiser that has
+more words than a bucket should hold go by a longer one, and at last by the whole window.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from tidewire.llm.words import Hashes, frequent, grams, is_in, mixed
 M = 1
 #: Word groups in this share of the documents are minimisers only of windows that have no other.
 FREQUENT = 0.005
-#: Words of the corpus that a bucket stands for.
+#: Words of the minimisers that take the place of hot ones; those of a hot one go by whole windows.
+LONGER = 4
+#: Words of the corpus that a bucket stands for, and words that make a minimiser hot.
 BUCKET_WORDS = 1 << 19
 #: Hits are broadcast to the texts up to this size; beyond it the texts are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -43,20 +46,65 @@ def _sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - span)], x[width - span :]) if width > span else x
 
 
-def super_kmers(hashes: np.ndarray, width: int, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, windows) of each run of windows with one minimiser; at least `width` words."""
+def super_kmers(hashes: np.ndarray, width: int, often: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(minimiser, first window, windows) of each run of windows with one minimiser; at least `width` words.
+
+    A window's minimiser follows from its words alone, so equal windows have the same. In place
+    of one among `hot` (sorted) stands one of LONGER words, and of that the window itself.
+    """
     small = grams(hashes, M)
     rank = (small >> np.uint64(1)) | (is_in(small, often).astype(np.uint64) << np.uint64(63))
     least = _sliding_minimum(rank, width - M + 1)
+    for size in (LONGER, width):
+        again = is_in(least, hot) if size <= width else np.zeros(1, bool)
+        if again.any():
+            least = np.where(again, _sliding_minimum(grams(hashes, size), width - size + 1), least)
     starts = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
     return least[starts], starts, np.diff(np.append(starts, len(least)))
 
 
+_COUNTED = pa.schema([("minimiser", pa.int64()), ("words", pa.int64())])
+
+
+def _hot(texts: DataFrame, width: int, often, limit: int) -> np.ndarray:
+    """Minimisers, sorted, whose super-k-mers have more than `limit` words; texts: (doc_id, text, copy).
+
+    A word is at most one minimiser's a window, so there are at most width * words / limit. Those
+    of LONGER words are counted only where those of M are hot.
+    """
+    spark = texts.sparkSession
+    hot = np.zeros(0, np.uint64)
+    for _ in range(2):
+        known = spark.sparkContext.broadcast(hot)
+
+        def tally(batches, known=known):
+            held = Hashes()
+            for batch in batches:
+                parts = []
+                for doc_id, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                    words = split(text.as_py()) if doc_id is not None and not copy else []
+                    if len(words) >= width:
+                        minimisers, _, sizes = super_kmers(held.of(words), width, often.value, known.value)
+                        parts.append((minimisers, sizes + width - 1))
+                if parts:
+                    values, place = np.unique(np.concatenate([m for m, _ in parts]), return_inverse=True)
+                    words = np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(words)], schema=_COUNTED)
+
+        sums = texts.mapInArrow(tally, "minimiser long, words long").groupBy("minimiser").agg(F.sum("words").alias("words"))
+        found = np.array([r["minimiser"] for r in sums.where(F.col("words") > limit).select("minimiser").collect()], np.int64).view(np.uint64)
+        more = np.union1d(hot, found)
+        if len(more) == len(hot):
+            break
+        hot = more
+    return hot
+
+
 _SENT = pa.schema([("bucket", pa.int64()), ("packed", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 _HITS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
 
-def _send(batch: pa.RecordBatch, width: int, often: np.ndarray, n_buckets: int, hashes: Hashes) -> pa.RecordBatch:
+def _send(batch: pa.RecordBatch, width: int, often: np.ndarray, hot: np.ndarray, n_buckets: int, hashes: Hashes) -> pa.RecordBatch:
     """Packed super-k-mers of a batch, each string once for its smallest document.
 
     What larger documents of the batch have of the same string is hit already; it goes along
@@ -72,7 +120,7 @@ def _send(batch: pa.RecordBatch, width: int, often: np.ndarray, n_buckets: int,
         if copy:
             copies.append((doc_id, len(words)))
             continue
-        minimisers, starts, sizes = super_kmers(hashes.of(words), width, often)
+        minimisers, starts, sizes = super_kmers(hashes.of(words), width, often, hot)
         buckets = (mixed(minimisers) % np.uint64(n_buckets)).tolist()
         for bucket, a, n in zip(buckets, starts.tolist(), sizes.tolist(), strict=True):
             b = a + n + width - 1
@@ -125,13 +173,14 @@ def _resolve(group: pa.Table, width: int) -> pa.Table:
     return done.cast(_HITS)
 
 
-def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
-    """(doc_id, ranges): for each doc_id with any, word ranges [start, end) covered by windows that also start in a smaller doc_id.
+def _sent(documents: DataFrame, width: int) -> DataFrame:
+    """Rows of _SENT: what goes to each bucket.
 
-    Ranges may overlap. A copy of a smaller document's whole text is hit throughout, and is not
-    sent. Buckets follow the size of the corpus; word groups that very many
+    A copy of a smaller document's whole text is hit throughout, and is not sent. Buckets follow the size of the corpus; word groups that very many
     documents share are minimisers last, so windows at the border of a common passage spread
-    over other buckets, and windows within it are equal strings, which a batch sends once.
+    over other buckets, and windows within it are equal strings, which a batch sends once. Where
+    there are several buckets, the words of each minimiser are counted first, and those of more
+    than a bucket's are broken up, so that a bucket is bounded however few words a source uses.
     """
     hashes = Hashes()
 
@@ -143,19 +192,29 @@ def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
     n_buckets = 1 + n_words // BUCKET_WORDS
     shared = documents.sparkSession.sparkContext.broadcast(often)
 
-    def send(batches):
-        held = Hashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                yield _send(batch.slice(at, 2000), width, shared.value, n_buckets, held)
-
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keys = texts.where("doc_id IS NOT NULL").select("doc_id", F.md5("text").alias("key"))
     first = materialise(keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first"), "first")
     copies = materialise(keys.join(first, "key").where("doc_id > first").select("doc_id", "key", F.lit(True).alias("copy")).distinct(), "copies")
     copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
     flagged = texts.withColumn("key", F.md5("text")).join(copies, ["doc_id", "key"], "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
-    sent = flagged.mapInArrow(send, "bucket long, packed binary, doc_id long, start int, end int")
+    hot = documents.sparkSession.sparkContext.broadcast(_hot(flagged, width, shared, BUCKET_WORDS) if n_buckets > 1 else np.zeros(0, np.uint64))
+
+    def send(batches):
+        held = Hashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                yield _send(batch.slice(at, 2000), width, shared.value, hot.value, n_buckets, held)
+
+    return flagged.mapInArrow(send, "bucket long, packed binary, doc_id long, start int, end int")
+
+
+def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
+    """(doc_id, ranges): for each doc_id with any, word ranges [start, end) covered by windows that also start in a smaller doc_id.
+
+    Ranges may overlap. See _sent for the buckets in which windows meet.
+    """
+    sent = _sent(documents, width)
     hits = sent.groupBy("bucket").applyInArrow(lambda group: _resolve(group, width), "doc_id long, start int, end int")
     return hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
