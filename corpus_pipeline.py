@@ -1,8 +1,8 @@
 """Corpus pipeline: language ID, line dedup, n-gram join, decontamination, mixing to target weights.
 
 Each stage works on all that the one before kept and is written as Parquet in between. All but
-the last return the columns of documents. Null texts and texts without letters go in the first
-stage. Rows with a null doc_id are never compared with others and stay.
+the last return the columns of documents. Null texts, texts without letters and texts of no
+learned language go in the first stage. Rows with a null doc_id are never compared with others and stay.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter go."""
-    return language_id.keep_identified(docs, language_id.fit(docs))
+    """Documents in a language that the labelled ones teach; those without a letter go, and those that no language explains."""
+    return language_id.keep_identified(docs, language_id.fit(docs), rates=language_id.held_out_rates(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

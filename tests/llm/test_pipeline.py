@@ -106,3 +106,15 @@ def test_pipeline(spark, tables, tmp_path):
     powers = np.log(np.array(list(weight.values())))
     slope = np.polyfit(np.log(share), powers, 1)[0]
     assert np.allclose(powers - slope * np.log(share), (powers - slope * np.log(share))[0], atol=1e-4) and 0 <= slope <= 1 + 1e-6
+
+
+def test_language_stage_rejects_what_no_language_explains(spark):
+    rng = random.Random(5)
+    rows = [(k, sentence(rng, ("aa", "bb")[k % 2], 40), ("aa", "bb")[k % 2]) for k in range(60)]
+    rows += [(100 + k, sentence(rng, ("aa", "bb")[k % 2], 40), None) for k in range(10)]  # learned, not labelled
+    rows += [(200, "abc", None), (201, sentence(rng, "aa", 1), None)]  # too short to tell
+    strange = [" ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40)) for letters in ("mnopqr", "αβγδε", "abcdefghijklmnopqrstuvwxyz")]
+    rows += [(300 + k, text, None) for k, text in enumerate(strange)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert kept == {r[0] for r in rows if r[0] < 300}

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 SEGMENT = 1024
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
+#: A text of so many times its language's usual phrases, and so many more, is in no learned language.
+FAR, SPARE = 2.0, 8
 
 
 def _byte_classes() -> np.ndarray:
@@ -189,17 +191,51 @@ def identify(documents: DataFrame, models: list) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(parse, "doc_id long, lang_pred string, score double, phrase_rate double")
 
 
-def keep_identified(documents: DataFrame, models: list, languages: list[str] | None = None) -> DataFrame:
-    """The rows of documents (text and any other columns) whose language is found and, if given, among `languages`."""
+def held_out_rates(labelled: DataFrame) -> dict[str, float]:
+    """Median phrases a byte of each language's labelled texts (text, lang), under the sample of others.
+
+    Texts are dealt to two halves by their hash; each half is parsed with what the other teaches
+    of its language. Every labelled text counts. A language with texts in one half alone has no rate.
+    """
+    known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang", (F.xxhash64("lang", "text") % 2 == 0).alias("even"))
+    taught = {even: {m[0]: m for m in fit(known.where(F.col("even") == even))} for even in (True, False)}
+    shared = labelled.sparkSession.sparkContext.broadcast(taught)
+    schema = pa.schema([("lang", pa.string()), ("rate", pa.float64())])
+
+    def parse(batches):
+        for batch in batches:
+            groups: dict[tuple, list[str]] = {}
+            for text, lang, even in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                groups.setdefault((lang, even), []).append(text)
+            for (lang, even), texts in groups.items():
+                if lang in shared.value[not even]:
+                    counts, sizes = parse_counts([shared.value[not even][lang]], texts)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), pa.array(counts[:, 0] / sizes)], schema=schema)
+
+    rates = known.mapInArrow(parse, "lang string, rate double").groupBy("lang").agg(F.percentile_approx("rate", 0.5).alias("rate"))
+    return {r["lang"]: r["rate"] for r in rates.collect()}
+
+
+def keep_identified(documents: DataFrame, models: list, languages: list[str] | None = None, rates: dict[str, float] | None = None) -> DataFrame:
+    """The rows of documents (text and any other columns) whose language is found and, if given, among `languages`.
+
+    With `rates`, those of held_out_rates, a text goes if even its best language explains it
+    badly: in more than FAR times the phrases that the language's own texts take, and SPARE more.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(models)
     at = documents.columns.index("text")
 
     def keep(batches):
         models = shared.value
+        most = np.array([FAR * (rates or {}).get(name, np.inf) for name, *_ in models])
         for batch in batches:
             texts = [t if t and LETTER.search(t) and models else None for t in batch.column(at).to_pylist()]
-            best = parse_counts(models, texts)[0].argmin(axis=1) if models else []
-            names = [None if t is None else models[k][0] for t, k in zip(texts, best, strict=True)] if models else [None] * len(texts)
+            names = [None] * len(texts)
+            if models:
+                counts, sizes = parse_counts(models, texts)
+                best = counts.argmin(axis=1)
+                fits = counts.min(axis=1) <= most[best] * np.maximum(sizes, 1) + SPARE
+                names = [None if t is None or not ok else models[k][0] for t, k, ok in zip(texts, best, fits, strict=True)]
             yield batch.filter(pa.array([n is not None and (languages is None or n in languages) for n in names], pa.bool_()))
 
     return documents.mapInArrow(keep, documents.schema)
