@@ -234,6 +234,20 @@ def test_secrets(spark):
     assert secrets.scan(docs_of(spark, [(1, None)])).collect() == []
 
 
+def test_secrets_given_to_a_credential(spark):
+    """Short values and any characters, where the name of a credential stands before them."""
+    texts = ["set password=hunter2, then", "passwd: 'S3cr3t!x' ok", "my_api_key = P@ss{w}ord$1", '"token": "two words" end', "/x?token=ab12cd&user=bob", "db_main_production_password=hunter2!", "secret=abc", "a word: hunter2", "SECRET=Zz9!\nlast"]
+    want = [["hunter2"], ["S3cr3t!x"], ["P@ss{w}ord$1"], ["two words"], ["ab12cd"], ["hunter2!"], [], [], ["Zz9!"]]
+    found = secrets.scan(docs_of(spark, list(enumerate(texts)))).collect()
+    assert [[r.found for r in found if r.doc_id == k] for k in range(len(texts))] == want
+    assert all(texts[r.doc_id][r.start - 1 : r.start - 1 + r.length] == r.found and r.secret for r in found)
+
+
+def test_dictionary_goes_by_frequency(spark):
+    words = ["".join(x) for x in itertools.product("abcde", repeat=4)]
+    assert secrets.dictionary(docs_of(spark, [(1, " ".join(words)), (2, None)])) == sorted(words)
+
+
 def test_mixing(spark):
     texts = [(k, "w " * (1 + k % 7)) for k in range(300)] + [(400, None)]
     docs = docs_of(spark, texts).selectExpr("doc_id", "text", "CASE WHEN doc_id < 250 THEN 'big' WHEN doc_id < 290 THEN 'mid' END AS source")

@@ -11,8 +11,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.common import materialise
+
 #: What may be a secret: a long run of the characters that keys are made of.
 CANDIDATE = r"[A-Za-z0-9+/_=~.-]{16,}"
+#: Or whatever is given to a credential: in quotes, or up to white space, a quote or what ends a value in prose, markup and URLs.
+_NAME = r"[A-Za-z0-9+/_=~.-]*?(?i:password|passwd|secret|token|api_?key)[\"']?\s*[:=]\s*"
+_PLAIN = r"(?!&\w+=|</)[^\s\"']"
+SHORTEST = 4
+_VALUE = rf"(?:\"[^\"\n]{{{SHORTEST},128}}(?=\")|'[^'\n]{{{SHORTEST},128}}(?=')|[\"']?(?:{_PLAIN}){{{SHORTEST - 1},}}(?![,;:)\]}}>]){_PLAIN})"
+GIVEN = f"{_NAME}{_VALUE}"
+#: Texts without any of these give nothing to a credential.
+HINTS = ["passw", "secret", "token", "apikey", "api_key"]
 #: Findings that are labelled as secrets by their issuer's format, or as the value given to a credential.
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
 ASSIGNED = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\s*[:=]\s*[\"']?$"
@@ -25,16 +35,22 @@ def candidates(documents: DataFrame) -> DataFrame:
     """(doc_id, start, found, before, after) for every candidate in documents (doc_id, text).
 
     start counts characters from 1; before and after are up to CONTEXT characters beside it. A
-    value joined to its name, as in password=..., is cut after the last '='. Null and empty
-    texts have none; repeated rows give their findings again.
+    candidate matches CANDIDATE, or is a value of SHORTEST characters and more that follows the
+    name of a credential. A value joined to its name, as in password=..., is cut after it. Null
+    and empty texts have none; repeated rows give their findings again.
     """
-    hits = documents.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE))
-    hits = hits.select("doc_id", F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), F.lit(1)).alias("found"), F.split("text", CANDIDATE, -1).alias("gaps"))
+    named = F.greatest(*(F.contains(F.lower("text"), F.lit(x)) for x in HINTS))
+    hits = documents.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE) | named)
+    found, gaps = (F.when(named, of(f"{GIVEN}|{CANDIDATE}")).otherwise(of(CANDIDATE)) for of in (lambda x: F.regexp_extract_all("text", F.lit(f"({x})"), F.lit(1)), lambda x: F.split("text", x, -1)))
+    hits = hits.select("doc_id", found.alias("found"), gaps.alias("gaps"))
     parts = F.arrays_zip(F.col("found"), F.expr("slice(gaps, 1, size(found))").alias("gap"), F.expr("slice(gaps, 2, size(found))").alias("next"), _starts())
     each = hits.select("doc_id", F.explode(parts).alias("x"))
-    cut = F.regexp_extract("x.found", r"^([A-Za-z_.-]{2,24}=)[^=]", 1)
-    row = each.select("doc_id", (F.col("x.start") + F.length(cut)).cast("long").alias("start"), F.expr("x.found").alias("whole"), cut.alias("cut"), F.concat(F.expr("right(x.gap, 48)"), cut).alias("before"), F.expr("left(x.next, 48)").alias("after"))
-    return row.select("doc_id", "start", F.expr("substring(whole, length(cut) + 1)").alias("found"), "before", "after").where("length(found) >= 16")
+    name = F.when(F.col("x.found").rlike(f"^{_NAME}"), F.regexp_extract("x.found", f"^({_NAME}[\"']?)", 1)).otherwise("")
+    cut = F.when(F.length("x.found") - F.length(name) >= SHORTEST, name).otherwise("")
+    cut = F.when(cut != "", cut).otherwise(F.regexp_extract("x.found", r"^([A-Za-z_.-]{2,24}=)[^=]", 1))
+    row = each.select("doc_id", "x", cut.alias("cut"))
+    row = row.select("doc_id", (F.col("x.start") + F.length("cut")).cast("long").alias("start"), F.expr("substring(x.found, length(cut) + 1)").alias("found"), F.concat(F.expr("right(x.gap, 48)"), "cut").alias("before"), F.expr("left(x.next, 48)").alias("after"))
+    return row.where((F.length("found") >= 16) | ((F.length("found") >= SHORTEST) & F.col("before").rlike(ASSIGNED)))
 
 
 def _starts():
@@ -44,11 +60,28 @@ def _starts():
     return F.expr(running).alias("start")
 
 
-def dictionary(documents: DataFrame, size: int = 200) -> list[str]:
-    """The `size` commonest words of three to twelve letters, counted over all documents; ties by the alphabet."""
+def dictionary(documents: DataFrame, share: float = 1e-4) -> list[str]:
+    """Words of three to twelve letters that are at least `share` of all such words of all documents, and so 1 / share at most."""
     words = documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\b([a-z]{3,12})\b"), F.lit(1))).alias("word"))
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [r["word"] for r in top.collect()]
+    counted = materialise(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return sorted(r["word"] for r in counted.where(F.col("n") >= share * total).collect())
+
+
+def _any_of(words: list[str]) -> str:
+    """A pattern for the longest of `words` at a place, as a tree of their letters."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        parts = [letter + pattern(more) for letter, more in sorted(node.items()) if letter]
+        return f"(?:{'|'.join(parts)}){'?' if '' in node else ''}" if parts else ""
+
+    return pattern(tree)
 
 
 def with_features(found: DataFrame, words: list[str]) -> DataFrame:
@@ -56,7 +89,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     n = F.length("found")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("found", "[A-Z]+", "U"), "[a-z]+", "l"), "[0-9]+", "d")
     plain = F.lower("found")
-    rest = F.regexp_replace(plain, "|".join(sorted(words, key=lambda w: (-len(w), w))), "") if words else plain
+    rest = F.regexp_replace(plain, _any_of(words), "") if words else plain
     return found.withColumns(
         {
             "length": n.cast("double"),
