@@ -195,6 +195,17 @@ def test_language(spark):
     assert {r.lang_pred for r in language_id.identify(docs, []).collect()} == {"und"}
 
 
+def test_language_learns_beyond_a_common_opening(spark):
+    rng = random.Random(3)
+    header = " ".join("".join(rng.choice("mnopq") for _ in range(5)) for _ in range(40))
+    body = lambda x: " ".join("".join(rng.choice({"aa": "abcde", "bb": "vwxyz"}[x]) for _ in range(5)) for _ in range(60))
+    rows = [(k, f"{header} {body(x)}", x) for k in range(60) for x in [("aa", "bb")[k % 2]]] + [(90 + k, "1 2 3 " * 60 + "letters", "cc") for k in range(3)]
+    models = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tests = [(k, body(x), x) for k in range(20) for x in [("aa", "bb")[k % 2]]] + [(20, "letters", "cc")]
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame(tests, "doc_id long, text string, lang string"), models).collect()}
+    assert found == {k: x for k, _, x in tests}
+
+
 def test_phrases_against_plain_parsing():
     sample = language_id.normalise("abracadabra and a barn")
     text = language_id.normalise("a cadabran bark zz")

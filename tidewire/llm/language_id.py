@@ -103,13 +103,18 @@ def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> l
     """(language, automaton transitions) from (doc_id, text, lang) rows, sorted by language.
 
     The sample of a language is bounded: of each of `n_buckets` buckets of texts, by a hash of
-    the text, the first `sample_chars` characters of the text of least hash. That is at most
+    the text, `sample_chars` characters of the text of least hash, from a place that the hash
+    names, or from its first letter where that place has none. That is at most
     n_buckets * sample_chars characters (40,960) a language, gathered with a map-side
     aggregate. Rows with null text or lang, and texts without letters, teach nothing. Each
     automaton is built in a task of its own.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    known = known.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, sample_chars).alias("part"))
+    known = known.select("lang", "text", F.xxhash64("text").alias("h"))
+    place = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
+    part, size = F.substring("text", place.cast("int"), F.lit(sample_chars)), F.lit(sample_chars)
+    part = F.when(part.rlike(r"\p{L}"), part).otherwise(F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), size))
+    known = known.select("lang", "h", part.alias("part"))
     picked = known.groupBy("lang", F.pmod("h", F.lit(n_buckets)).alias("bucket")).agg(F.min_by("part", F.struct("h", "part")).alias("part"))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
