@@ -285,6 +285,12 @@ def test_url_filter(spark):
     assert found == {1: ("example.com", "/en/71", "example.com/en/7", "allow"), 2: ("a.com", "/en/1", "com/en/", "block"), 3: ("friend.net", "/p", None, "block"), 4: ("quiet.net", "", None, "allow"), 5: ("", "", None, "allow"), 6: ("", "", None, "allow"), 7: ("bad.org", "/q", "bad.org/", "block")}
 
 
+def test_distrust_goes_as_far_as_links_do(spark):
+    pages = [(k, f"http://h{k}.net/", f"<a href=http://h{k + 1}.net/x>x</a>") for k in range(20)] + [(20, "http://h20.net/", "<a href='http://bad.org/'>x</a>"), (21, "http://bad.org/", "")]
+    found = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), [("block", "bad.org/")]).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(22))
+
+
 def test_propagation_matches_plain_iteration(spark):
     edges = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 3), ("d", "c", 1)]
     found = {r.host: (r.trust, r.distrust) for r in url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, links long"), spark.createDataFrame([("a", 1, 0), ("c", 0, 2)], "host string, trusted long, blocked long"), rounds=7).collect()}
