@@ -79,3 +79,17 @@ def test_epoch_rotation(spark):
 
 def test_empty_log(spark):
     assert T.txn_outcomes(spark.createDataFrame([], LOG)).collect() == []
+
+
+def test_only_rows_of_transactions_enter_windows(spark, monkeypatch):
+    from tidewire.operators import transactions
+
+    rows = [(1, "a", "INIT", None, None, None, None, None), (2, "a", "ADD", "t", None, 1, 0, None), (3, "a", "MSG", "t", "x", None, None, None), (4, None, "MSG", "t", "y", None, None, None), (5, "a", "END", None, None, 1, 0, True)]
+    log = spark.createDataFrame(rows, "seq long, transactional_id string, kind string, topic string, value string, claimed_pid long, claimed_epoch int, is_commit boolean")
+    seen, resolve = [], transactions.resolve
+    monkeypatch.setattr(transactions, "resolve", lambda log: seen.append({r.seq for r in log.collect()}) or resolve(log))
+    assert [(r.seq, r.outcome, r.end_seq) for r in transactions.txn_outcomes(log).collect()] == [(3, "COMMIT", 5)]
+    assert [(r.seq, r.terminal) for r in transactions.txn_terminals(log).collect()] == [(5, "COMMIT")]
+    assert {r.seq: r.fenced for r in transactions.fence_checks(log).collect()} == {2: False, 5: False}
+    assert transactions.zombie_aborts(log).collect() == []
+    assert seen == [{1, 2, 3, 5}, {1, 2, 5}, {1, 2, 5}, {1, 2, 5}]

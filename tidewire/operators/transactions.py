@@ -63,25 +63,32 @@ def resolve(log: DataFrame) -> DataFrame:
     return rows.withColumn("terminal", ended).drop("_pid", "_epoch", "_opens")
 
 
+def _control(log: DataFrame) -> DataFrame:
+    """Rows that say what becomes of transactions; messages change nothing there."""
+    return log.where("kind <> 'MSG'")
+
+
 def fence_checks(log: DataFrame) -> DataFrame:
     """(seq, transactional_id, kind, fenced) for each ADD and END."""
-    return resolve(log).where(F.col("kind").isin("ADD", "END")).select("seq", "transactional_id", "kind", (~F.col("valid")).alias("fenced"))
+    return resolve(_control(log)).where(F.col("kind").isin("ADD", "END")).select("seq", "transactional_id", "kind", (~F.col("valid")).alias("fenced"))
 
 
 def zombie_aborts(log: DataFrame) -> DataFrame:
     """(seq, transactional_id) of the INITs that abort an open transaction."""
-    return resolve(log).where("zombie").select("seq", "transactional_id")
+    return resolve(_control(log)).where("zombie").select("seq", "transactional_id")
 
 
 def txn_terminals(log: DataFrame) -> DataFrame:
     """(seq, transactional_id, terminal, zombie), a row for each end of a transaction."""
-    return resolve(log).where("terminal IS NOT NULL").select("seq", "transactional_id", "terminal", "zombie")
+    return resolve(_control(log)).where("terminal IS NOT NULL").select("seq", "transactional_id", "terminal", "zombie")
 
 
 def txn_outcomes(log: DataFrame) -> DataFrame:
     """(seq, transactional_id, topic, value, outcome, end_seq) for each MSG of a transaction: what its id's next terminal is, or OPEN."""
     ends = F.when(F.col("terminal").isNotNull(), F.struct("terminal", F.col("seq").alias("end_seq")))
     # What comes next is found from the end: a frame that only grows, so a pass is linear.
+    # Messages without an id belong to no transaction; in one window they would all meet in a task.
+    log = log.where("kind <> 'MSG' OR transactional_id IS NOT NULL")
     rows = resolve(log).withColumn("_next", F.last(ends, True).over(_by_id(F.desc("seq")))).where("kind = 'MSG' AND transactional_id IS NOT NULL")
     return rows.select("seq", "transactional_id", "topic", "value", F.coalesce("_next.terminal", F.lit("OPEN")).alias("outcome"), F.col("_next.end_seq").alias("end_seq"))
 
