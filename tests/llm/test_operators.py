@@ -113,7 +113,8 @@ def test_substrings_of_few_words_spread(spark, monkeypatch):
     rng = random.Random(12)
     texts = [(k, " ".join(rng.choice(["get", "put", "ok", "fail", "0", "1"]) for _ in range(60))) for k in range(120)]
     texts += [(200 + k, texts[k][1][20:] + " end") for k in range(40)]
-    monkeypatch.setattr(substrings, "BUCKET_WORDS", 400)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 1600)
+    monkeypatch.setattr(substrings, "CHUNK_WORDS", 500)
     first = {}
     for k, t in texts:
         for i in range(len(w := t.split()) - 12):
@@ -124,10 +125,19 @@ def test_substrings_of_few_words_spread(spark, monkeypatch):
         assert (r.n_removed, r.kept) == (len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
     table = {}
     for r in substrings._sent(docs_of(spark, texts), 13).where("packed IS NOT NULL").collect():
-        table[r.bucket] = table.get(r.bucket, 0) + r.end - r.start
+        table[r.bucket] = table.get(r.bucket, 0) + int(np.frombuffer(r.sizes, np.int32).sum())
     assert len(table) >= 15 and max(table.values()) < 5 * sum(table.values()) / len(table)
 
 
+def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Where all windows have one hash, their words are sorted."""
+    monkeypatch.setattr(substrings, "grams", lambda hashes, n: np.zeros(max(0, len(hashes) - n + 1), np.uint64))
+    texts = [(1, "a b c d e f"), (2, "x a b c d y"), (3, "p q r s t u")]
+    chunk = lambda k: substrings.Chunk([k], [dict(texts)[k].encode()], [substrings.word_places(dict(texts)[k].encode())], 4, np.zeros(0, np.uint64))
+    sent = [substrings._send(chunk(k), 1, substrings.zstandard.ZstdCompressor()) for k, _ in texts]
+    assert substrings._resolve(substrings.pa.Table.from_batches(sent), 4).to_pylist() == [{"doc_id": 2, "start": 1, "end": 5}]
+
+
 def test_decontamination(spark, monkeypatch):
     texts = corpus(6)
     words = texts[10][1].split()

@@ -2,35 +2,33 @@
 
 Consecutive windows of a document that share a minimiser travel as one packed string to the
 minimiser's bucket, where sorting brings equal windows together. Windows of a minimiser that has
-more words than a bucket should hold go by a longer one, and at last by the whole window.
+more text than a bucket should hold go by themselves.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
-from itertools import count
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import materialise
-from tidewire.llm.words import Hashes, frequent, grams, is_in, mixed
-
-#: Words of a minimiser. One word makes the longest runs, so the least is sent twice.
-M = 1
-#: Word groups in this share of the documents are minimisers only of windows that have no other.
-FREQUENT = 0.005
-#: Words of the minimisers that take the place of hot ones; those of a hot one go by whole windows.
-LONGER = 4
-#: Words of the corpus that a bucket stands for, and words that make a minimiser hot.
-BUCKET_WORDS = 1 << 19
+from tidewire.llm.words import grams, is_in, mixed, word_hashes, word_places
+
+#: Words of a minimiser: so many that few are frequent.
+M = 4
+#: Bytes of the corpus that a bucket stands for, and bytes of packed strings that make a minimiser hot.
+BUCKET_BYTES = 3 << 20
+#: Hot minimisers, about, at most: beyond so many buckets, larger ones are let be.
+MOST_HOT = 1 << 20
+#: Words that a task packs at once, but for a longer text.
+CHUNK_WORDS = 1 << 20
 #: Hits are broadcast to the texts up to this size; beyond it the texts are joined by shuffle.
 BROADCAST_BYTES = 32 << 20
-#: As many copies are broadcast to the texts, at some 60 bytes each.
-BROADCAST_COPIES = 1 << 19
 
 
 def split(text: str | None) -> list[bytes]:
@@ -46,173 +44,183 @@ def _sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - span)], x[width - span :]) if width > span else x
 
 
-def super_kmers(hashes: np.ndarray, width: int, often: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, windows) of each run of windows with one minimiser; at least `width` words.
+def _runs_of(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    changes = np.zeros(max(len(keys[0]) - 1, 0), bool)
+    for x in keys:
+        changes |= x[1:] != x[:-1]
+    return np.flatnonzero(np.concatenate(([True], changes))[: len(keys[0])])
 
-    A window's minimiser follows from its words alone, so equal windows have the same. In place
-    of one among `hot` (sorted) stands one of LONGER words, and of that the window itself.
+
+class Chunk:
+    """The super-k-mers of some documents, in order, as arrays.
+
+    A window's minimiser follows from its words alone, so equal windows have the same: the least
+    hash of M words, or of the whole window where that one is hot. done: what a smaller document
+    of the chunk has as well, in a super-k-mer of the same windows; it is hit already.
     """
-    small = grams(hashes, M)
-    rank = (small >> np.uint64(1)) | (is_in(small, often).astype(np.uint64) << np.uint64(63))
-    least = _sliding_minimum(rank, width - M + 1)
-    for size in (LONGER, width):
-        again = is_in(least, hot) if size <= width else np.zeros(1, bool)
-        if again.any():
-            least = np.where(again, _sliding_minimum(grams(hashes, size), width - size + 1), least)
-    starts = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-    return least[starts], starts, np.diff(np.append(starts, len(least)))
 
+    def __init__(self, ids: list[int], texts: list[bytes], words: list[tuple], width: int, hot: np.ndarray):
+        sizes = np.array([len(h) for h, _, _ in words])
+        self.texts, begins = texts, np.cumsum(sizes) - sizes
+        self.hashes, first, last = (np.concatenate(x) for x in zip(*words, strict=True))
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        at = np.flatnonzero(text_of[width - 1 :] == text_of[: len(text_of) - width + 1])
+        windows = grams(self.hashes, width)[at]
+        m = min(M, width)
+        least = _sliding_minimum(grams(self.hashes, m), width - m + 1)[at]
+        least = np.where(is_in(least, hot), windows, least)
+        # Windows of two texts never stand side by side.
+        starts = _runs_of(least, at - np.arange(len(at)))
+        n = np.diff(np.append(starts, len(at)))
+        nth = (np.arange(len(at)) - np.repeat(starts, n)).astype(np.uint64)
+        strings = np.add.reduceat(mixed(windows + nth * np.uint64(0x9E3779B97F4A7C15)), starts)
+        self.minimiser, begin, end = least[starts], at[starts], at[starts] + n + width - 1
+        self.text = text_of[begin]
+        self.doc = np.array(ids, np.int64)[self.text]
+        self.start, self.size = (begin - begins[self.text]).astype(np.int32), (end - begin).astype(np.int32)
+        self.low, self.high = first[begin], last[end - 1]
+        order = np.lexsort((self.doc, strings))
+        groups = _runs_of(strings[order])
+        smallest = np.repeat(self.doc[order][groups], np.diff(np.append(groups, len(order))))
+        self.done = np.zeros(len(order), bool)
+        self.done[order] = self.doc[order] > smallest
+
+    def packed(self, places: list[int]) -> list[bytes]:
+        low, high, text = self.low[places].tolist(), self.high[places].tolist(), self.text[places].tolist()
+        return [self.texts[t][a:b] for t, a, b in zip(text, low, high, strict=True)]
+
+
+def _chunks(batches, width: int, hot: np.ndarray) -> Iterator[Chunk]:
+    """Chunks of batches (doc_id, text); texts of fewer than `width` words and null ids have no windows."""
+    ids, texts, words, size = [], [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            raw = (text.as_py() or "").encode("utf-8", "replace") if doc_id is not None else b""
+            found = word_places(raw)
+            if len(found[0]) < width:
+                continue
+            ids.append(doc_id), texts.append(raw), words.append(found)
+            size += len(found[0])
+            if size >= CHUNK_WORDS:
+                yield Chunk(ids, texts, words, width, hot)
+                ids, texts, words, size = [], [], [], 0
+    if ids:
+        yield Chunk(ids, texts, words, width, hot)
+
+
+_COUNTED = pa.schema([("minimiser", pa.int64()), ("bytes", pa.int64())])
+
+
+def _hot(texts: DataFrame, width: int, n_bytes: int) -> np.ndarray:
+    """Minimisers, sorted, whose super-k-mers have more than a bucket's bytes, and maybe some of half as many.
+
+    A chunk reports those that have half of the chunk's share of a bucket, or more: what it
+    keeps to itself sums to half a bucket over all chunks. Strings sent once count once.
+    """
+    limit = max(BUCKET_BYTES, n_bytes // MOST_HOT)
 
-_COUNTED = pa.schema([("minimiser", pa.int64()), ("words", pa.int64())])
+    def tally(batches):
+        for chunk in _chunks(batches, width, np.zeros(0, np.uint64)):
+            values, place = np.unique(chunk.minimiser, return_inverse=True)
+            size = np.bincount(place, (chunk.high - chunk.low) * ~chunk.done).astype(np.int64)
+            share = limit * sum(map(len, chunk.texts)) / (2 * n_bytes)
+            yield pa.RecordBatch.from_arrays([pa.array(values[size >= share].view(np.int64)), pa.array(size[size >= share])], schema=_COUNTED)
 
+    sums = texts.mapInArrow(tally, "minimiser long, bytes long").groupBy("minimiser").agg(F.sum("bytes").alias("bytes"))
+    found = sums.where(F.col("bytes") > limit // 2).select("minimiser").collect()
+    return np.sort(np.array([r["minimiser"] for r in found], np.int64).view(np.uint64))
 
-def _hot(texts: DataFrame, width: int, often, limit: int) -> np.ndarray:
-    """Minimisers, sorted, whose super-k-mers have more than `limit` words; texts: (doc_id, text, copy).
 
-    A word is at most one minimiser's a window, so there are at most width * words / limit. Those
-    of LONGER words are counted only where those of M are hot.
-    """
-    spark = texts.sparkSession
-    hot = np.zeros(0, np.uint64)
-    for _ in range(2):
-        known = spark.sparkContext.broadcast(hot)
-
-        def tally(batches, known=known):
-            held = Hashes()
-            for batch in batches:
-                parts = []
-                for doc_id, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                    words = split(text.as_py()) if doc_id is not None and not copy else []
-                    if len(words) >= width:
-                        minimisers, _, sizes = super_kmers(held.of(words), width, often.value, known.value)
-                        parts.append((minimisers, sizes + width - 1))
-                if parts:
-                    values, place = np.unique(np.concatenate([m for m, _ in parts]), return_inverse=True)
-                    words = np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(words)], schema=_COUNTED)
-
-        sums = texts.mapInArrow(tally, "minimiser long, words long").groupBy("minimiser").agg(F.sum("words").alias("words"))
-        found = np.array([r["minimiser"] for r in sums.where(F.col("words") > limit).select("minimiser").collect()], np.int64).view(np.uint64)
-        more = np.union1d(hot, found)
-        if len(more) == len(hot):
-            break
-        hot = more
-    return hot
-
-
-_SENT = pa.schema([("bucket", pa.int64()), ("packed", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+_SENT = pa.schema([("bucket", pa.int64()), ("packed", pa.binary()), ("docs", pa.binary()), ("starts", pa.binary()), ("sizes", pa.binary())])
 _HITS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
 
-def _send(batch: pa.RecordBatch, width: int, often: np.ndarray, hot: np.ndarray, n_buckets: int, hashes: Hashes) -> pa.RecordBatch:
-    """Packed super-k-mers of a batch, each string once for its smallest document.
+def _merged(doc: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, start, end) of ranges in order, those of one text that overlap or touch as one."""
+    if not len(doc):
+        return doc, start, end
+    new = np.concatenate(([True], (text[1:] != text[:-1]) | (start[1:] > end[:-1])))
+    return doc[new], start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(doc) - 1)]
+
+
+def _send(chunk: Chunk, n_buckets: int, zstd: zstandard.ZstdCompressor) -> pa.RecordBatch:
+    """Rows of _SENT: what goes to each bucket, and without a string what is hit already."""
+    bucket = (mixed(chunk.minimiser) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.flatnonzero(~chunk.done)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    packed, starts = chunk.packed(order), _runs_of(bucket[order])
+    rows = []
+    for a, b in zip(starts.tolist(), np.append(starts[1:], len(order)).tolist(), strict=True):
+        some = order[a:b]
+        rows.append((int(bucket[some[0]]), zstd.compress(b" ".join(packed[a:b])), chunk.doc[some].tobytes(), chunk.start[some].tobytes(), chunk.size[some].tobytes()))
+    done = np.flatnonzero(chunk.done)
+    if len(done):
+        doc, start, end = _merged(chunk.doc[done], chunk.text[done], chunk.start[done], chunk.start[done] + chunk.size[done])
+        rows.append((int(doc[0]) % n_buckets, None, doc.tobytes(), start.tobytes(), (end - start).tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SENT, strict=True)], schema=_SENT)
 
-    What larger documents of the batch have of the same string is hit already; it goes along
-    as a row without a string, to a bucket by its document.
-    """
-    where: dict[bytes, list[tuple[int, int, int]]] = {}
-    bucket_of: dict[bytes, int] = {}
-    copies: list[tuple[int, int]] = []
-    for doc_id, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-        words = split(text.as_py()) if doc_id is not None else []
-        if len(words) < width:
-            continue
-        if copy:
-            copies.append((doc_id, len(words)))
-            continue
-        minimisers, starts, sizes = super_kmers(hashes.of(words), width, often, hot)
-        buckets = (mixed(minimisers) % np.uint64(n_buckets)).tolist()
-        for bucket, a, n in zip(buckets, starts.tolist(), sizes.tolist(), strict=True):
-            b = a + n + width - 1
-            packed = b" ".join(words[a:b])
-            bucket_of[packed] = bucket
-            where.setdefault(packed, []).append((doc_id, a, b))
-    rows = [(doc_id % n_buckets, None, doc_id, 0, n) for doc_id, n in copies]
-    for packed, found in where.items():
-        first = min(found)[0] if len(found) > 1 else found[0][0]
-        for doc_id, a, b in found:
-            rows.append((bucket_of[packed], packed, doc_id, a, b) if doc_id == first else (doc_id % n_buckets, None, doc_id, a, b))
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SENT, strict=True)], schema=_SENT)
+
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
 def _resolve(group: pa.Table, width: int) -> pa.Table:
     """Word ranges [start, end) of a bucket that are covered by windows of a smaller document."""
-    done = group.filter(group["packed"].is_null()).select(["doc_id", "start", "end"])
+    known = group.filter(group["packed"].is_null())
+    done = [_joined(known["docs"], np.int64), start := _joined(known["starts"], np.int32), start + _joined(known["sizes"], np.int32)]
     rows = group.filter(group["packed"].is_valid())
     if not rows.num_rows:
-        return done.cast(_HITS)
-    doc, start, end = (rows[c].to_numpy() for c in ("doc_id", "start", "end"))
-    number: dict[bytes, int] = defaultdict(count().__next__)
-    codes = np.fromiter((number[w] for packed in rows["packed"].to_pylist() for w in packed.split(b" ")), np.int64)
-    sizes = (end - start).astype(np.int64)
-    first = np.cumsum(sizes) - sizes
-    windows = sizes - width + 1
+        return pa.table(list(map(pa.array, done)), schema=_HITS)
+    doc, start, size = _joined(rows["docs"], np.int64), _joined(rows["starts"], np.int32), _joined(rows["sizes"], np.int32).astype(np.int64)
+    hashes = np.concatenate([word_hashes(zstandard.decompress(x)) for x in rows["packed"].to_pylist()])
+    windows = size - width + 1
     row = np.repeat(np.arange(len(doc)), windows)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = first[row] + offset
-    noise = mixed(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    key = grams(noise, width)[at]
+    at = (np.cumsum(size) - size)[row] + offset
+    key = grams(hashes, width)[at]
     order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    a, b = at[order][:-1][same], at[order][1:][same]
-    if any((codes[a + k] != codes[b + k]).any() for k in range(width)):  # two windows of one hash: sort the words themselves
-        order = np.lexsort([codes[at + k] for k in range(width - 1, -1, -1)])
-        same = np.all([codes[at[order][1:] + k] == codes[at[order][:-1] + k] for k in range(width)], axis=0)
-    begins = np.concatenate(([0], np.flatnonzero(~same) + 1))
+    begins = _runs_of(key[order])
+    a, b = at[order][:-1], at[order][1:]
+    same = np.ones(len(a), bool)
+    same[begins[1:] - 1] = False
+    if any((hashes[a[same] + k] != hashes[b[same] + k]).any() for k in range(width)):  # two windows of one hash: sort the words themselves
+        order = np.lexsort([hashes[at + k] for k in range(width - 1, -1, -1)])
+        begins = _runs_of(*(hashes[at[order] + k] for k in range(width)))
     least = np.repeat(np.minimum.reduceat(doc[row[order]], begins), np.diff(np.append(begins, len(order))))
     hit = np.zeros(len(row), bool)
     hit[order] = doc[row[order]] > least
     # Runs of hit windows of one row are one range.
     k = np.flatnonzero(hit)
-    if len(k):
-        new = np.concatenate(([True], (np.diff(k) > 1) | (row[k][1:] != row[k][:-1])))
-        head, tail = k[new], k[np.append(np.flatnonzero(new)[1:] - 1, len(k) - 1)]
-        found = pa.table([pa.array(doc[row[head]]), pa.array((start[row[head]] + offset[head]).astype(np.int32)), pa.array((start[row[tail]] + offset[tail] + width).astype(np.int32))], schema=_HITS)
-        return pa.concat_tables([done.cast(_HITS), found])
-    return done.cast(_HITS)
+    found = _merged(doc[row[k]], row[k], (start[row[k]] + offset[k]).astype(np.int32), (start[row[k]] + offset[k] + width).astype(np.int32))
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(done, found, strict=True)], schema=_HITS)
 
 
 def _sent(documents: DataFrame, width: int) -> DataFrame:
     """Rows of _SENT: what goes to each bucket.
 
-    A copy of a smaller document's whole text is hit throughout, and is not sent. Buckets follow the size of the corpus; word groups that very many
-    documents share are minimisers last, so windows at the border of a common passage spread
-    over other buckets, and windows within it are equal strings, which a batch sends once. Where
-    there are several buckets, the words of each minimiser are counted first, and those of more
-    than a bucket's are broken up, so that a bucket is bounded however few words a source uses.
+    Buckets follow the size of the corpus. Where there are several, hot minimisers are found
+    first, in one pass more over the texts, and broken up. A string that several documents of a
+    chunk have is sent once, so what very many documents share burdens no bucket.
     """
-    hashes = Hashes()
-
-    def parts(text):
-        words = split(text)
-        return len(words), np.unique(grams(hashes.of(words), M))
-
-    often, n_words = frequent(documents, parts, FREQUENT)
-    n_buckets = 1 + n_words // BUCKET_WORDS
-    shared = documents.sparkSession.sparkContext.broadcast(often)
-
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keys = texts.where("doc_id IS NOT NULL").select("doc_id", F.md5("text").alias("key"))
-    first = materialise(keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first"), "first")
-    copies = materialise(keys.join(first, "key").where("doc_id > first").select("doc_id", "key", F.lit(True).alias("copy")).distinct(), "copies")
-    copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
-    flagged = texts.withColumn("key", F.md5("text")).join(copies, ["doc_id", "key"], "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
-    hot = documents.sparkSession.sparkContext.broadcast(_hot(flagged, width, shared, BUCKET_WORDS) if n_buckets > 1 else np.zeros(0, np.uint64))
+    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = 1 + n_bytes // BUCKET_BYTES
+    hot = documents.sparkSession.sparkContext.broadcast(_hot(texts, width, n_bytes) if n_buckets > 1 else np.zeros(0, np.uint64))
 
     def send(batches):
-        held = Hashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                yield _send(batch.slice(at, 2000), width, shared.value, hot.value, n_buckets, held)
+        zstd = zstandard.ZstdCompressor(level=1)
+        for chunk in _chunks(batches, width, hot.value):
+            yield _send(chunk, n_buckets, zstd)
 
-    return flagged.mapInArrow(send, "bucket long, packed binary, doc_id long, start int, end int")
+    return texts.mapInArrow(send, "bucket long, packed binary, docs binary, starts binary, sizes binary")
 
 
 def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
     """(doc_id, ranges): for each doc_id with any, word ranges [start, end) covered by windows that also start in a smaller doc_id.
 
-    Ranges may overlap. See _sent for the buckets in which windows meet.
+    Ranges may overlap. See _sent for the buckets in which windows meet. Words are told apart by
+    64-bit hashes.
     """
     sent = _sent(documents, width)
     hits = sent.groupBy("bucket").applyInArrow(lambda group: _resolve(group, width), "doc_id long, start int, end int")

@@ -1,33 +1,12 @@
-"""Words as hashes, and tables of the word groups that very many documents share."""
+"""Words as hashes of their bytes."""
 
 from __future__ import annotations
 
 import re
 
 import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tidewire.llm.common import materialise
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0x94D049BB133111EB], np.uint64)
-#: Entries of a table of frequent groups, at most: what bounds its broadcast to 8 MB.
-MOST_FREQUENT = 1 << 20
-
-
-class Hashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -51,26 +30,35 @@ def _powers(base: int, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_BASE, 2 * _BLOCK), _powers(pow(_BASE, -1, 1 << 64), 2 * _BLOCK)
 
 
-def _hash_block(text: bytes) -> np.ndarray:
+def _hash_block(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values = _of_byte[np.frombuffer(text, np.uint8)]
-    black = np.concatenate(([False], values != 0))
-    starts = np.flatnonzero(black[1:] & ~black[:-1])
+    black = np.concatenate(([False], values != 0, [False]))
+    edges = np.flatnonzero(black[1:] != black[:-1])
+    starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), starts, ends
     up, down = (_UP, _DOWN) if len(text) <= len(_UP) else (_powers(_BASE, len(text)), _powers(pow(_BASE, -1, 1 << 64), len(text)))
     # A polynomial in the bytes of each word, whatever the word's place in the text.
-    return mixed(np.add.reduceat(values * up[: len(values)], starts) * down[starts])
+    return mixed(np.add.reduceat(values * up[: len(values)], starts) * down[starts]), starts, ends
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the words (runs of bytes other than 9 to 13 and 32) of a text, in order, from its bytes at once."""
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, byte after the last) of the words of a text; see word_hashes."""
     parts, at = [], 0
     while at < len(text):
         cut = _WHITE.search(text, at + _BLOCK)
         end = cut.start() if cut else len(text)
-        parts.append(_hash_block(text[at:end]))
+        hashes, starts, ends = _hash_block(text[at:end])
+        parts.append((hashes, starts + at, ends + at))
         at = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if len(parts) > 1 else parts[0]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words (runs of bytes other than 9 to 13 and 32) of a text, in order, from its bytes at once."""
+    return word_places(text)[0]
 
 
 def distinct(x: np.ndarray) -> np.ndarray:
@@ -88,42 +76,6 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
-def frequent(documents: DataFrame, hashed, share: float) -> tuple[np.ndarray, int]:
-    """Hashes found in at least `share` of the documents of some batches, and the words of all documents.
-
-    `hashed` makes from a text its number of words and its distinct hashes. Every text is read.
-    A batch reports those that at least `share` of its documents hold (two at least); those
-    whose reports sum to `share` of all documents stay, so there are at most 1 / share times
-    the mean number of hashes of a document, and MOST_FREQUENT, the commonest, in any case.
-    """
-    schema = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
-
-    def report(batches):
-        words = docs = 0
-        for batch in batches:
-            held = []
-            for text in batch.column(0):
-                n, found = hashed(text.as_py())
-                words += n
-                docs += 1
-                held.append(found)
-            values, counts = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
-            often = counts >= max(2, share * len(held))
-            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], schema=schema)
-        # Hash null: the words; and the documents as a negative number.
-        yield pa.RecordBatch.from_arrays([pa.array([None, None], pa.int64()), pa.array([words, -docs], pa.int64())], schema=schema)
-
-    reports = documents.select(F.col("text").cast("string")).mapInArrow(report, "hash long, n long")
-    # Small next to the texts: one pass gives the sums and the table.
-    summed = reports.groupBy("hash", (F.col("n") < 0).alias("docs")).agg(F.sum("n").alias("n"))
-    summed = materialise(summed, "frequent")
-    totals = {r["docs"]: r["n"] for r in summed.where("hash IS NULL").collect()}
-    n_docs = -(totals.get(True) or 0)
-    top = summed.where(F.col("hash").isNotNull() & (F.col("n") >= max(2, share * n_docs))).orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT)
-    table = np.array([r["hash"] for r in top.select("hash").collect()], np.int64).view(np.uint64)
-    return np.sort(table), totals.get(False) or 0
-
-
 def is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Which values are in a sorted table."""
     if not len(table):
