@@ -219,12 +219,40 @@ def _sent(documents: DataFrame, width: int) -> DataFrame:
 def repeated_ranges(documents: DataFrame, width: int = 13) -> DataFrame:
     """(doc_id, ranges): for each doc_id with any, word ranges [start, end) covered by windows that also start in a smaller doc_id.
 
-    Ranges may overlap. See _sent for the buckets in which windows meet. Words are told apart by
-    64-bit hashes.
+    ranges has the first and last places of each in turn, as 32-bit numbers; they do not
+    overlap. See _sent for the buckets in which windows meet. Words are told apart by 64-bit
+    hashes.
     """
     sent = _sent(documents, width)
     hits = sent.groupBy("bucket").applyInArrow(lambda group: _resolve(group, width), "doc_id long, start int, end int")
-    return hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    return hits.repartition("doc_id").sortWithinPartitions("doc_id", "start").mapInArrow(_by_document, "doc_id long, ranges binary")
+
+
+_RANGES = pa.schema([("doc_id", pa.int64()), ("ranges", pa.binary())])
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (doc_id, start, end) as a row for each document, in which ranges that touch are one."""
+
+    def rows(doc, start, end, last: bool):
+        """A batch of all documents but the last, which may go on, and that one's ranges."""
+        group = np.repeat(np.arange(len(begins := _runs_of(doc))), np.diff(np.append(begins, len(doc))))
+        reach = np.maximum.accumulate(group << 32 | end) & 0xFFFFFFFF
+        doc, start, reach = _merged(doc, doc, start, reach)
+        begins = _runs_of(doc)
+        stop = len(begins) - (not last)
+        pairs, ends = np.stack([start, reach], axis=1).astype(np.int32), np.append(begins[1:], len(doc))
+        done = pa.RecordBatch.from_arrays([pa.array(doc[begins[:stop]]), pa.array([pairs[a:b].tobytes() for a, b in zip(begins[:stop].tolist(), ends[:stop].tolist(), strict=True)], pa.binary())], schema=_RANGES)
+        return done, [x[begins[stop] :] if stop < len(begins) else x[:0] for x in (doc, start, reach)]
+
+    held = [np.zeros(0, np.int64)] * 3
+    for batch in batches:
+        held = [np.concatenate((h, c.to_numpy().astype(np.int64))) for h, c in zip(held, batch.columns, strict=True)]
+        if len(held[0]):
+            done, held = rows(*held, last=False)
+            yield done
+    if len(held[0]):
+        yield rows(*held, last=True)[0]
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
@@ -241,7 +269,7 @@ def remove_repeats(documents: DataFrame, width: int = 13, digest: bool = False)
     in any of them. Other columns are left alone.
     """
     ranges = materialise(repeated_ranges(documents, width), "ranges")
-    size = ranges.agg(F.coalesce(F.sum(F.size("ranges") * 8 + 24), F.lit(0))).first()[0]
+    size = ranges.agg(F.coalesce(F.sum(F.octet_length("ranges") + 64), F.lit(0))).first()[0]
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     both = texts.join(F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges, "doc_id", "left")
 
@@ -253,7 +281,7 @@ def remove_repeats(documents: DataFrame, width: int = 13, digest: bool = False)
                 n = len(words)
                 if found:
                     change = np.zeros(n + 1, np.int64)
-                    ends = np.array([(r["start"], r["end"]) for r in found])
+                    ends = np.frombuffer(found, np.int32).reshape(-1, 2)
                     np.add.at(change, np.minimum(ends[:, 0], n), 1)
                     np.add.at(change, np.minimum(ends[:, 1], n), -1)
                     kept = np.flatnonzero(np.cumsum(change[:n]) == 0).tolist()
