@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,8 @@ SHINGLE = 8
 BANDS, ROWS = 10, 4
 #: Shingles from which a line fills the bins of one permutation.
 LONG = 160
-#: Keys that are broadcast to pick lines; beyond, lines are joined by shuffle.
-BROADCAST_KEYS = 1 << 21
+#: Keys that are broadcast to pick lines, at some 70 bytes each; beyond, lines are joined by shuffle.
+BROADCAST_KEYS = 1 << 20
 BROADCAST_BYTES = 32 << 20
 
 _rng = np.random.default_rng(11)
@@ -37,19 +37,23 @@ def key_of(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace")) - (1 << 63)
 
 
-def shingle_hashes(line: str) -> np.ndarray:
-    """Hashes of every SHINGLE characters of a normal line; of a shorter one, one hash of it all."""
-    c = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    if len(c) < SHINGLE:
-        return np.array([key_of(line) + (1 << 63)], np.uint64)
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every SHINGLE characters of normal lines, one after another, and how many each has; a shorter line has one hash of it all."""
+    lengths = np.array([len(x) for x in lines], np.int64)
+    c = np.frombuffer("".join([*lines, " " * SHINGLE]).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     x = c[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
     x = x[:-2] * np.uint64(0x165667B19E3779F9) + x[2:]
-    x = x[:-4] * np.uint64(0xD6E8FEB86659FD93) + x[4:]
-    return mixed(x)
+    x = mixed(x[:-4] * np.uint64(0xD6E8FEB86659FD93) + x[4:])
+    sizes = np.maximum(lengths - SHINGLE + 1, 1)
+    starts = np.cumsum(sizes) - sizes
+    out = x[np.arange(int(sizes.sum())) + np.repeat(np.cumsum(lengths) - lengths - starts, sizes)]
+    short = np.flatnonzero(lengths < SHINGLE)
+    out[starts[short]] = np.array([key_of(lines[k]) + (1 << 63) for k in short.tolist()], np.uint64)
+    return out, sizes
 
 
 def shingle_set(line: bytes) -> np.ndarray:
-    return distinct(shingle_hashes(line.decode()))
+    return distinct(shingle_hashes([line.decode()])[0])
 
 
 def _bands(least: np.ndarray, first: int) -> np.ndarray:
@@ -63,19 +67,17 @@ def _bands(least: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-def _permuted(parts: list[np.ndarray]) -> np.ndarray:
+def _permuted(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The least hash of each line under each of BANDS * ROWS permutations."""
-    x = (np.concatenate(parts) >> np.uint64(32)).astype(np.uint32)
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts[:-1]]))).astype(np.int64)
+    x, starts = (x >> np.uint64(32)).astype(np.uint32), np.cumsum(sizes) - sizes
     return np.stack([np.minimum.reduceat(x * scale, starts) for scale in _SCALE], axis=1)
 
 
-def _one_permutation(parts: list[np.ndarray]) -> np.ndarray:
+def _one_permutation(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The least hash of each line in each of BANDS * ROWS bins of one permutation; an empty bin takes the next one's."""
     bins = BANDS * ROWS
-    x = np.concatenate(parts)
-    row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    least = np.full(len(parts) * bins, 1 << 32, np.uint64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    least = np.full(len(sizes) * bins, 1 << 32, np.uint64)
     np.minimum.at(least, row * bins + ((x & np.uint64(0xFFFFFFFF)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), x >> np.uint64(32))
     least = least.reshape(-1, bins)
     for _ in range(bins):
@@ -86,29 +88,50 @@ def _one_permutation(parts: list[np.ndarray]) -> np.ndarray:
     return least
 
 
-def band_hashes(lines: list[str]) -> list[list[int]]:
-    """Band hashes of normal lines, as signed longs.
+def _n_distinct(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Distinct shingles of each line, told apart by 48 bits; of fewer than 65,536 lines."""
+    row = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    both = np.sort(row << np.uint64(48) | x >> np.uint64(16))
+    return np.bincount((both[np.concatenate(([True], both[1:] != both[:-1]))] >> np.uint64(48)).astype(np.int64), minlength=len(sizes))
+
+
+def _blocks(lines: list[str]) -> Iterator[tuple[int, int]]:
+    """Consecutive lines whose hashes stay in cache, as (first, one after the last)."""
+    at = 0
+    while at < len(lines):
+        end, size = at, 0
+        while end < len(lines) and (end == at or size + len(lines[end]) <= 1 << 15):
+            size += len(lines[end])
+            end += 1
+        yield at, end
+        at = end
+
+
+def band_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Band hashes of normal lines, one after another, and how many each has: BANDS, or twice as many.
 
     Lines of up to LONG distinct shingles are permuted BANDS * ROWS times; those of 0.8 LONG and
     more have one permutation in as many bins, which they fill. Lines of similarity 0.8 differ in
     size by no more than that, so any two share a scheme; lines between the two have both.
     """
-    found: list[list[int]] = [[] for _ in lines]
-    # Repeats do not change a least hash: they go only where they could change the scheme.
-    parts = [distinct(x) if len(x) >= 0.8 * LONG else x for x in map(shingle_hashes, lines)]
-    for first, scheme, fits in ((0, _permuted, lambda n: n <= LONG), (BANDS, _one_permutation, lambda n: n >= 0.8 * LONG)):
-        places = [k for k, p in enumerate(parts) if fits(len(p))]
-        at = 0
-        while at < len(places):  # blocks that stay in cache
-            end, size = at, 0
-            while end < len(places) and (end == at or size + len(parts[places[end]]) <= 1 << 15):
-                size += len(parts[places[end]])
-                end += 1
-            rows = _bands(scheme([parts[k] for k in places[at:end]]), first).view(np.int64).tolist()
-            for k, row in zip(places[at:end], rows, strict=True):
-                found[k] += row
-            at = end
-    return found
+    least: list[list[np.ndarray]] = [[], []]
+    place: list[list[np.ndarray]] = [[], []]
+    for at, end in _blocks(lines):
+        x, sizes = shingle_hashes(lines[at:end])
+        starts, n = np.cumsum(sizes) - sizes, sizes.copy()
+        # Repeats do not change a least hash, but may change the scheme.
+        long = np.flatnonzero(sizes >= 0.8 * LONG)
+        if len(long):
+            n[long] = _n_distinct(np.concatenate([x[starts[k] : starts[k] + sizes[k]] for k in long.tolist()]), sizes[long])
+        for k, (scheme, fits) in enumerate(((_permuted, n <= LONG), (_one_permutation, n >= 0.8 * LONG))):
+            if fits.any():
+                least[k].append(scheme(x[np.repeat(fits, sizes)], sizes[fits]).astype(np.uint64))
+                place[k].append(at + np.flatnonzero(fits))
+    bands = [_bands(np.concatenate(rows), first) for rows, first in zip(least, (0, BANDS), strict=True) if rows]
+    places = np.concatenate([np.concatenate(p) for p in place if p]) if bands else np.zeros(0, np.int64)
+    order = np.argsort(places, kind="stable")
+    found = np.concatenate([*bands, np.zeros((0, BANDS), np.uint64)])[order]
+    return found.view(np.int64).ravel(), BANDS * np.bincount(places, minlength=len(lines))
 
 
 def jaccard(threshold: float) -> Callable[[list[np.ndarray]], Callable[[np.ndarray], list[int]]]:
@@ -135,10 +158,6 @@ def jaccard(threshold: float) -> Callable[[list[np.ndarray]], Callable[[np.ndarr
 _LINES = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("key", pa.int64()), ("bands", pa.list_(pa.int64())), ("normal", pa.string())])
 
 
-def _batch(columns: tuple, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 def _lines(batches):
     """Lines that are not blank; the first of each key in a task has its bands and its normal form."""
     seen: set[int] = set()
@@ -151,16 +170,20 @@ def _lines(batches):
                     if line := normal(line):
                         key = key_of(line)
                         if key not in seen:
-                            if len(seen) > 2_000_000:
+                            if len(seen) > 1_000_000:
                                 seen.clear()
                             seen.add(key)
                             new.append(line), place.append(len(keys))
                         ids.append(doc_id), numbers.append(k), keys.append(key)
-            bands: list = [None] * len(keys)
+            bands, counts = band_hashes(new)
             texts: list = [None] * len(keys)
-            for p, row, line in zip(place, band_hashes(new), new, strict=True):
-                bands[p], texts[p] = row, line
-            yield _batch((ids, numbers, keys, bands, texts), _LINES)
+            sizes = np.zeros(len(keys), np.int32)
+            sizes[place] = counts
+            for p, line in zip(place, new, strict=True):
+                texts[p] = line
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(bands))
+            columns = [pa.array(c, f.type) for c, f in zip((ids, numbers, keys), _LINES, strict=False)]
+            yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(texts, pa.string())], schema=_LINES)
 
 
 def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -172,7 +195,7 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """
     known = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     lines = materialise(known.mapInArrow(_lines, "doc_id long, line int, key long, bands array<long>, normal string"), "lines")
-    banded = lines.where("bands IS NOT NULL").select("key", F.explode("bands").alias("band"))
+    banded = lines.where("normal IS NOT NULL").select("key", F.explode("bands").alias("band"))
     # The least key leads a band; a map-side minimum finds it, however many lines meet there.
     heads = banded.groupBy("band").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead <> last").drop("last")
     heads = materialise(heads, "heads")
@@ -202,7 +225,13 @@ def _with_removed(documents: DataFrame, threshold: float) -> tuple[DataFrame, st
 
 
 def _kept(gone: str):
-    return F.filter(F.split("text", "\n", -1), lambda _, k: ~F.array_contains(gone, k))
+    """The lines that stay, joined by newlines. The time is linear in the text."""
+    at = F.array_sort(F.col(gone))
+    gap = F.zip_with(at, F.concat(F.array(F.lit(-1)), at), lambda k, before: k - before)
+    # Marks up to the last line that goes; each gap ends in one. Lines without a mark stay.
+    marks = F.flatten(F.transform(F.slice(gap, 1, F.size(gone)), lambda n: F.concat(F.array_repeat(F.lit(False), n - 1), F.array(F.lit(True)))))
+    lines = F.split("text", "\n", -1)
+    return F.array_join(F.zip_with(lines, F.slice(marks, 1, F.size(lines)), lambda x, mark: F.when(F.coalesce(mark, F.lit(False)), F.lit(None)).otherwise(x)), "\n")
 
 
 def without_repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -211,7 +240,7 @@ def without_repeated_lines(documents: DataFrame, threshold: float = 0.8) -> Data
     The lines that stay are joined by newlines; an emptied text is empty, a null one stays null.
     """
     both, gone = _with_removed(documents, threshold)
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(_kept(gone), "\n"))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(_kept(gone))
     return both.withColumn("text", text).select(documents.columns)
 
 
@@ -225,6 +254,6 @@ def dedup_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """
     both, gone = _with_removed(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), threshold)
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
-    gone_here = F.when(F.col("text").isNull() | F.col(gone).isNull(), 0).otherwise(n - F.size(_kept(gone)))
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(_kept(gone), "\n"))
+    gone_here = F.when(F.col("text").isNull() | F.col(gone).isNull(), 0).otherwise(F.size(F.filter(gone, lambda k: k < n)))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(_kept(gone))
     return both.select("doc_id", n.cast("long").alias("n_lines"), gone_here.cast("long").alias("n_removed"), text.alias("text"))
