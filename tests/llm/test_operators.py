@@ -250,17 +250,28 @@ def test_language_learns_beyond_a_common_opening(spark):
     assert found == {k: x for k, _, x in tests}
 
 
-def test_phrases_against_plain_parsing():
-    sample = language_id.normalise("abracadabra and a barn")
-    text = language_id.normalise("a cadabran bark zz")
-    count, at, whole = 0, 0, sample.tobytes()
-    while at < len(text):
-        n = 1
-        while at + n < len(text) and text[at : at + n + 1].tobytes() in whole:
-            n += 1
-        count, at = count + 1, at + n
-    columns = np.arange(256)
-    assert language_id.parse_counts([("x", columns, language_id.suffix_automaton(sample))], ["a cadabran bark zz"])[0][0, 0] == count
+def test_phrases_against_plain_parsing(monkeypatch):
+    """Whole texts, short and of many segments, whether or not the parses of two segments soon meet."""
+    monkeypatch.setattr(language_id, "SEGMENT", 16)
+    monkeypatch.setattr(language_id, "SIDE_BY_SIDE", 8)
+    rng = random.Random(13)
+    samples = ["abracadabra and a barn", "ab" * 60, "".join(rng.choice("abc ") for _ in range(80))]
+    texts = ["a cadabran bark zz", "", None, "ab" * 40, "ba" * 33 + "c", "a" * 70, samples[2] * 3]
+    texts += ["".join(rng.choice("abcdr z") for _ in range(rng.randrange(1, 90))) for _ in range(60)]
+    samples = [language_id.normalise(x) for x in samples]
+    models = [(str(k), language_id.Automaton(np.arange(256), language_id.suffix_automaton(x))) for k, x in enumerate(samples)]
+    found, sizes = language_id.parse_counts(models, texts)
+    for row, size, text in zip(found, sizes, texts, strict=True):
+        raw = language_id.normalise(text or "")
+        assert size == len(raw)
+        for n, sample in zip(row, samples, strict=True):
+            count, at, whole = 0, 0, sample.tobytes()
+            while at < len(raw):
+                k = 1
+                while at + k < len(raw) and raw[at : at + k + 1].tobytes() in whole:
+                    k += 1
+                count, at = count + 1, at + k
+            assert n == count
 
 
 def test_toxicity_learns_pairs(spark):

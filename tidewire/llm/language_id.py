@@ -8,6 +8,7 @@ the document in the fewest phrases a byte wins.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Phrases end at every SEGMENT-th byte of a text, for all languages alike, so that segments parse side by side.
-SEGMENT = 1024
+#: Bytes of a segment, and segments that parse side by side; where they meet, phrases are set right.
+SEGMENT, SIDE_BY_SIDE = 1024, 4096
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 #: A text of so many times its language's usual phrases, and so many more, is in no learned language.
@@ -74,33 +75,62 @@ def suffix_automaton(sample: np.ndarray) -> np.ndarray:
     return table
 
 
-def phrases(table: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Greedy phrases of each segment. Rows of `codes` hold columns of `table`, longest segment first.
-
-    A byte on which no match goes on starts the next phrase; one that the sample lacks is a
-    phrase by itself.
-    """
-    width = table.shape[1]
-    flat = np.where(table < 0, -1, table * width).ravel().astype(np.int32)  # states as places of their rows
-    start = np.maximum(flat[:width], 0)
-    state, count = np.zeros(len(codes), np.intp), np.zeros(len(codes), np.int32)
-    alive = len(codes) - np.cumsum(np.bincount(lengths, minlength=codes.shape[1] + 1))
-    for k in range(codes.shape[1]):
-        n = alive[k]
-        c = codes[:n, k]
-        step = flat.take(state[:n] + c)
-        cut = np.flatnonzero(step < 0)
-        step[cut] = start[c[cut]]
-        # A phrase begins where a match is cut, and in the state of nothing matched.
-        count[:n] += state[:n] == 0
-        open_ = cut[state[cut] > 0]
-        count[open_] += 1
-        state[:n] = step
-    return count
-
-
-def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> list[tuple[str, np.ndarray]]:
-    """(language, automaton transitions) from (doc_id, text, lang) rows, sorted by language.
+class Automaton:
+    """A suffix automaton over the bytes that its sample has; columns: the place of each byte, the last for all others."""
+
+    def __init__(self, columns: np.ndarray, table: np.ndarray):
+        self.columns, self.width = columns, table.shape[1]
+        # States as places of their rows.
+        self.flat = np.where(table < 0, -1, table * self.width).ravel().astype(np.int32)
+        self.start = np.maximum(self.flat[: self.width], 0)
+
+    def phrases(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy phrases that begin in each segment, and the state at its end. Rows of `codes` hold columns, longest segment first.
+
+        A byte on which no match goes on starts the next phrase; one that the sample lacks is a
+        phrase by itself.
+        """
+        state, count = np.zeros(len(codes), np.intp), np.zeros(len(codes), np.int32)
+        alive = len(codes) - np.cumsum(np.bincount(lengths, minlength=codes.shape[1] + 1))
+        for k in range(codes.shape[1]):
+            n = alive[k]
+            c = codes[:n, k]
+            step = self.flat.take(state[:n] + c)
+            cut = np.flatnonzero(step < 0)
+            step[cut] = self.start[c[cut]]
+            # A phrase begins where a match is cut, and in the state of nothing matched.
+            count[:n] += state[:n] == 0
+            count[cut[state[cut] > 0]] += 1
+            state[:n] = step
+        return count, state
+
+    def joined(self, segments: list[np.ndarray], counts: list[int], states: list[int]) -> int:
+        """Phrases of a text from those of its segments, each parsed from nothing matched.
+
+        The parse that comes in goes on into a segment until both begin a phrase at one byte;
+        from there on they agree.
+        """
+        flat, total, state = self.flat, counts[0], states[0]
+        for segment, count, last in zip(segments[1:], counts[1:], states[1:], strict=True):
+            other = more = 0
+            total += count
+            for c in map(int, self.columns[segment]) if state else ():
+                step, step_other = flat.item(state + c), flat.item(other + c)
+                begins, begins_other = state == 0 or step < 0, other == 0 or step_other < 0
+                if begins and begins_other:
+                    state = last
+                    break
+                more += begins - begins_other
+                state = step if step >= 0 else self.start.item(c)
+                other = step_other if step_other >= 0 else self.start.item(c)
+            else:  # nothing came in, or the parses do not meet here
+                state = state or last
+            total += more
+        return total
+
+
+def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> list[tuple[str, Automaton]]:
+    """(language, automaton) from (doc_id, text, lang) rows, sorted by language.
 
     The sample of a language is bounded: of each of `n_buckets` buckets of texts, by a hash of
     the text, `sample_chars` characters of the text of least hash, from a place that the hash
@@ -132,36 +162,57 @@ def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> l
         table = np.concatenate([arcs, np.full((len(arcs), 1), -1, np.int32)], axis=1)
         columns = np.full(256, len(used), np.int16)
         columns[used] = np.arange(len(used))
-        models.append((row["lang"], columns, table))
+        models.append((row["lang"], Automaton(columns, table)))
     return models
 
 
-def parse_counts(models: list, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases by text and language, and the bytes of each text after normalisation."""
-    parts, owner, sizes = [], [], np.zeros(len(texts), np.int64)
+def parse_counts(models: list[tuple[str, Automaton]], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases by text and language, and the bytes of each text after normalisation.
+
+    Texts are parsed whole. Few segments at a time bound the memory, however many texts there
+    are; of a longer text, all segments are held.
+    """
+    counts, sizes = np.zeros((len(texts), len(models)), np.int64), np.zeros(len(texts), np.int64)
+
+    def count(owner: list[int], parts: list[np.ndarray]) -> None:
+        lengths = np.array([len(p) for p in parts])
+        order = np.argsort(-lengths, kind="stable")
+        found = np.zeros((2, len(models), len(parts)), np.int64)
+        for at in range(0, len(parts), SIDE_BY_SIDE):
+            some = order[at : at + SIDE_BY_SIDE]
+            segments = np.zeros((len(some), int(lengths[some[0]])), np.uint8)
+            for row, k in enumerate(some.tolist()):
+                segments[row, : lengths[k]] = parts[k]
+            for j, (_, model) in enumerate(models):
+                found[:, j, some] = model.phrases(np.asfortranarray(model.columns[segments]), lengths[some])
+        first = [k for k in range(len(parts)) if not k or owner[k] != owner[k - 1]]
+        for a, b in zip(first, [*first[1:], len(parts)], strict=True):
+            for j, (_, model) in enumerate(models):
+                counts[owner[a], j] = found[0, j, a] if b == a + 1 else model.joined(parts[a:b], found[0, j, a:b].tolist(), found[1, j, a:b].tolist())
+
+    parts: list[np.ndarray] = []
+    owner: list[int] = []
     for i, text in enumerate(texts):
         if text:
             raw = normalise(text)
             sizes[i] = len(raw)
-            for at in range(0, len(raw), SEGMENT):
-                parts.append(raw[at : at + SEGMENT])
-                owner.append(i)
-    counts = np.zeros((len(texts), len(models)), np.int64)
-    # Blocks of segments bound the memory, however long the texts of a batch are.
-    for at in range(0, len(parts), 16384):
-        block, own = parts[at : at + 16384], np.array(owner[at : at + 16384])
-        lengths = np.array([len(p) for p in block])
-        order = np.argsort(-lengths, kind="stable")
-        lengths = lengths[order]
-        segments = np.zeros((len(block), int(lengths[0])), np.uint8)
-        for row, k in enumerate(order):
-            segments[row, : lengths[row]] = block[k]
-        for j, (_, columns, table) in enumerate(models):
-            codes = np.asfortranarray(columns[segments])
-            np.add.at(counts[:, j], own[order], phrases(table, codes, lengths))
+            parts += [raw[at : at + SEGMENT] for at in range(0, len(raw), SEGMENT)]
+            owner += [i] * (len(parts) - len(owner))
+            if len(parts) >= SIDE_BY_SIDE:
+                count(owner, parts)
+                parts, owner = [], []
+    if parts:
+        count(owner, parts)
     return counts, sizes
 
 
+def _slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Few texts at a time become Python's."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 _OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("phrase_rate", pa.float64())])
 
 
@@ -177,7 +228,7 @@ def identify(documents: DataFrame, models: list) -> DataFrame:
 
     def parse(batches):
         models = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(1).to_pylist()
             texts = [t if t and LETTER.search(t) and models else None for t in texts]
             counts, sizes = parse_counts(models, texts)
@@ -208,7 +259,7 @@ def held_out_rates(labelled: DataFrame) -> dict[str, float]:
     schema = pa.schema([("lang", pa.string()), ("rate", pa.float64())])
 
     def parse(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             groups: dict[tuple, list[str]] = {}
             for text, lang, even in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 groups.setdefault((lang, even), []).append(text)
@@ -233,7 +284,7 @@ def keep_identified(documents: DataFrame, models: list, languages: list[str] | N
     def keep(batches):
         models = shared.value
         most = np.array([FAR * (rates or {}).get(name, np.inf) for name, *_ in models])
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [t if t and LETTER.search(t) and models else None for t in batch.column(at).to_pylist()]
             names = [None] * len(texts)
             if models:
