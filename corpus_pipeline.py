@@ -29,8 +29,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one; those left without words go."""
-    kept = lines.without_repeated_lines(docs)
-    return kept.where(F.col("text").rlike(r"\S")).withColumn("n_chars", F.length("text").cast("long"))
+    kept = lines.without_repeated_lines(docs).where(F.col("text").rlike(r"\S"))
+    return kept.withColumns({c: F.length("text").cast("long") for c in docs.columns if c == "n_chars"})
 
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
