@@ -259,7 +259,7 @@ def test_phrases_against_plain_parsing(monkeypatch):
     texts = ["a cadabran bark zz", "", None, "ab" * 40, "ba" * 33 + "c", "a" * 70, samples[2] * 3]
     texts += ["".join(rng.choice("abcdr z") for _ in range(rng.randrange(1, 90))) for _ in range(60)]
     samples = [language_id.normalise(x) for x in samples]
-    models = [(str(k), language_id.Automaton(np.arange(256), language_id.suffix_automaton(x))) for k, x in enumerate(samples)]
+    models = language_id.automata([(str(k), x.tobytes()) for k, x in enumerate(samples)])
     found, sizes = language_id.parse_counts(models, texts)
     for row, size, text in zip(found, sizes, texts, strict=True):
         raw = language_id.normalise(text or "")

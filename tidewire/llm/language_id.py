@@ -11,13 +11,12 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of a segment, and segments that parse side by side; where they meet, phrases are set right.
-SEGMENT, SIDE_BY_SIDE = 1024, 4096
+SEGMENT, SIDE_BY_SIDE = 2048, 4096
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 #: A text of so many times its language's usual phrases, and so many more, is in no learned language.
@@ -42,8 +41,8 @@ def normalise(text: str) -> np.ndarray:
     return raw[~(space & np.concatenate(([False], space[:-1])))] if len(raw) else raw
 
 
-def suffix_automaton(sample: np.ndarray) -> np.ndarray:
-    """Transitions of the suffix automaton of `sample`: states x 256, -1 where a string ends its match."""
+def suffix_automaton(sample: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of `sample` by state and byte."""
     to: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in sample.tolist():
@@ -69,20 +68,23 @@ def suffix_automaton(sample: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(to), 256), -1, np.int32)
-    for state, arcs in enumerate(to):
-        table[state, list(arcs)] = list(arcs.values())
-    return table
+    return to
 
 
 class Automaton:
-    """A suffix automaton over the bytes that its sample has; columns: the place of each byte, the last for all others."""
-
-    def __init__(self, columns: np.ndarray, table: np.ndarray):
-        self.columns, self.width = columns, table.shape[1]
-        # States as places of their rows.
-        self.flat = np.where(table < 0, -1, table * self.width).ravel().astype(np.int32)
-        self.start = np.maximum(self.flat[: self.width], 0)
+    """The suffix automaton of a sample as a table over the bytes that it has; columns: the place of each byte, the last for all others."""
+
+    def __init__(self, sample: np.ndarray):
+        used = np.unique(sample)
+        self.width = len(used) + 1
+        self.columns = np.full(256, len(used), np.int16)
+        self.columns[used] = np.arange(len(used))
+        arcs = suffix_automaton(sample)
+        # States as places of their rows, -1 where a string ends its match.
+        places = np.repeat(np.arange(len(arcs)) * self.width, [len(x) for x in arcs])
+        table = np.full(len(arcs) * self.width, -1, np.int32)
+        table[places + self.columns[np.fromiter((c for x in arcs for c in x), np.intp, len(places))]] = np.fromiter((q for x in arcs for q in x.values()), np.int32, len(places)) * self.width
+        self.flat, self.start = table, np.maximum(table[: self.width], 0)
 
     def phrases(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Greedy phrases that begin in each segment, and the state at its end. Rows of `codes` hold columns, longest segment first.
@@ -114,7 +116,7 @@ class Automaton:
         for segment, count, last in zip(segments[1:], counts[1:], states[1:], strict=True):
             other = more = 0
             total += count
-            for c in map(int, self.columns[segment]) if state else ():
+            for c in self.columns[segment].tolist() if state else ():
                 step, step_other = flat.item(state + c), flat.item(other + c)
                 begins, begins_other = state == 0 or step < 0, other == 0 or step_other < 0
                 if begins and begins_other:
@@ -129,15 +131,27 @@ class Automaton:
         return total
 
 
-def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> list[tuple[str, Automaton]]:
-    """(language, automaton) from (doc_id, text, lang) rows, sorted by language.
+#: The automata of the models that this process has used last.
+_built: dict[tuple, list] = {}
+
+
+def automata(models: list[tuple[str, bytes]]) -> list[tuple[str, Automaton]]:
+    """(name, automaton) of each model, built once in a process: a sample is small, its automaton is not."""
+    key = tuple(models)
+    if key not in _built:
+        _built.clear()
+        _built[key] = [(name, Automaton(np.frombuffer(sample, np.uint8))) for name, sample in models]
+    return _built[key]
+
+
+def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> list[tuple[str, bytes]]:
+    """(language, sample) from (doc_id, text, lang) rows, sorted by language.
 
     The sample of a language is bounded: of each of `n_buckets` buckets of texts, by a hash of
     the text, `sample_chars` characters of the text of least hash, from a place that the hash
     names, or from its first letter where that place has none. That is at most
     n_buckets * sample_chars characters (40,960) a language, gathered with a map-side
-    aggregate. Rows with null text or lang, and texts without letters, teach nothing. Each
-    automaton is built in a task of its own.
+    aggregate. Rows with null text or lang, and texts without letters, teach nothing.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     known = known.select("lang", "text", F.xxhash64("text").alias("h"))
@@ -146,24 +160,8 @@ def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> l
     part = F.when(part.rlike(r"\p{L}"), part).otherwise(F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), size))
     known = known.select("lang", "h", part.alias("part"))
     picked = known.groupBy("lang", F.pmod("h", F.lit(n_buckets)).alias("bucket")).agg(F.min_by("part", F.struct("h", "part")).alias("part"))
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        text = " ".join(rows.sort_values("bucket")["part"])
-        table = suffix_automaton(normalise(text))
-        used = np.flatnonzero((table >= 0).any(axis=0))
-        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "used": [used.astype(np.int32).tobytes()], "arcs": [np.ascontiguousarray(table[:, used]).tobytes()]})
-
-    rows = picked.groupBy("lang").applyInPandas(build, "lang string, used binary, arcs binary").collect()
-    models = []
-    for row in sorted(rows, key=lambda r: r["lang"]):
-        used = np.frombuffer(row["used"], np.int32)
-        arcs = np.frombuffer(row["arcs"], np.int32).reshape(-1, max(len(used), 1))
-        # One more column for the bytes that the sample lacks.
-        table = np.concatenate([arcs, np.full((len(arcs), 1), -1, np.int32)], axis=1)
-        columns = np.full(256, len(used), np.int16)
-        columns[used] = np.arange(len(used))
-        models.append((row["lang"], Automaton(columns, table)))
-    return models
+    parts = picked.groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "part"))), lambda x: x["part"]), " ").alias("sample"))
+    return [(r["lang"], normalise(r["sample"]).tobytes()) for r in parts.orderBy("lang").collect()]
 
 
 def parse_counts(models: list[tuple[str, Automaton]], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +225,7 @@ def identify(documents: DataFrame, models: list) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(models)
 
     def parse(batches):
-        models = shared.value
+        models = automata(shared.value)
         for batch in _slices(batches):
             texts = batch.column(1).to_pylist()
             texts = [t if t and LETTER.search(t) and models else None for t in texts]
@@ -254,18 +252,19 @@ def held_out_rates(labelled: DataFrame) -> dict[str, float]:
     of its language. Every labelled text counts. A language with texts in one half alone has no rate.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang", (F.xxhash64("lang", "text") % 2 == 0).alias("even"))
-    taught = {even: {m[0]: m for m in fit(known.where(F.col("even") == even))} for even in (True, False)}
+    taught = [((lang, even), sample) for even in (True, False) for lang, sample in fit(known.where(F.col("even") == even))]
     shared = labelled.sparkSession.sparkContext.broadcast(taught)
     schema = pa.schema([("lang", pa.string()), ("rate", pa.float64())])
 
     def parse(batches):
+        models = dict(automata(shared.value))
         for batch in _slices(batches):
             groups: dict[tuple, list[str]] = {}
             for text, lang, even in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 groups.setdefault((lang, even), []).append(text)
             for (lang, even), texts in groups.items():
-                if lang in shared.value[not even]:
-                    counts, sizes = parse_counts([shared.value[not even][lang]], texts)
+                if (lang, not even) in models:
+                    counts, sizes = parse_counts([(lang, models[lang, not even])], texts)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), pa.array(counts[:, 0] / sizes)], schema=schema)
 
     rates = known.mapInArrow(parse, "lang string, rate double").groupBy("lang").agg(F.percentile_approx("rate", 0.5).alias("rate"))
@@ -282,7 +281,7 @@ def keep_identified(documents: DataFrame, models: list, languages: list[str] | N
     at = documents.columns.index("text")
 
     def keep(batches):
-        models = shared.value
+        models = automata(shared.value)
         most = np.array([FAR * (rates or {}).get(name, np.inf) for name, *_ in models])
         for batch in _slices(batches):
             texts = [t if t and LETTER.search(t) and models else None for t in batch.column(at).to_pylist()]
