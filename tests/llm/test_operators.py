@@ -161,9 +161,32 @@ def test_decontamination(spark, monkeypatch):
         want.append((k if k is not None else -1, len(w), len(hit), tuple(sorted(got))))
     assert digest(decontaminate.decontaminate(docs_of(spark, texts), table)) == sorted(want)
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)  # several blocks of items
+    monkeypatch.setattr(decontaminate, "ANCHORS", 3)
     assert digest(decontaminate.decontaminate(docs_of(spark, texts), table)) == sorted(want)
 
 
+def test_near_items(spark, monkeypatch):
+    """Windows whose words lie close to their rarest one, in any order, against brute force over one shard."""
+    monkeypatch.setattr(decontaminate, "ANCHORS", 5)
+    rng = random.Random(15)
+    texts = [(k, " ".join(rng.choice("abcdefgh") * 2 for _ in range(rng.randrange(0, 40)))) for k in range(30)]
+    items = [(str(k), " ".join(rng.choice("abcdefghi") * 2 for _ in range(n))) for k, n in enumerate([2, 3, 4, 5, 6, 12])]
+    words = {k: t.split() for k, t in texts}
+    sizes = {}
+    for w in itertools.chain.from_iterable(words.values()):
+        sizes[w] = sizes.get(w, 0) + 1
+    want = {k: set() for k in words}
+    for k, w in words.items():
+        for item, text in items:
+            v = text.split()
+            for win in (v[i : i + 10] for i in range(max(1, len(v) - 9))):
+                rarest, reach = min(win, key=lambda x: sizes.get(x, 0)), len(win) + 4
+                if any(x == rarest and set(win) <= set(w[max(0, p - reach) : p + reach + 1]) for p, x in enumerate(w)):
+                    want[k].add(item)
+    found = decontaminate.decontaminate(docs_of(spark, texts).coalesce(1), spark.createDataFrame(items, "item_id string, text string"), slop=4).collect()
+    assert {r.doc_id: set(r["near_items"]) for r in found} == want and any(want.values())
+
+
 def test_lines(spark):
     line = "the quick brown fox jumps over the lazy dog while seventeen other animals keep watching it quietly from afar"
     texts = [(1, f"{line}\nanother line of words that is different\n\nX"), (2, f"fresh\n{line}!"), (3, f"{line.upper()}\n\nx"), (4, None), (5, ""), (None, line)]
@@ -323,6 +346,22 @@ def test_mixing(spark):
         tokens[r.source] = tokens.get(r.source, 0) + r.n_tokens * r.copies
     total = sum(len((t or "").split()) for _, t in texts)
     weight = {r.source: r.weight for r in rows}
+    # Copies against a plain count: whole passes, then the last one in order of place.
+    of_source = {}
+    for k, t in texts:
+        of_source.setdefault("" if k >= 290 else "big" if k < 250 else "mid", []).append((k, len((t or "").split())))
+    for s, held in of_source.items():
+        quota, size = int(weight[s] * total), sum(n for _, n in held)
+        mine = {r.doc_id: r for r in rows if r.source == s}
+        assert all(len(r.positions) == r.copies and r.positions == sorted(r.positions) and r.positions[-1] < 1 for r in mine.values())
+        passes, rest = divmod(quota, size)
+        order = sorted(mine, key=lambda k: (mine[k].positions[0], mine[k].n_tokens > 0))
+        if passes:  # every document is there, with its tokens before the next
+            assert len(order) == len(held)
+        at = 0
+        for k in order:
+            assert abs(mine[k].positions[0] - at / quota) < 1e-8 and mine[k].copies == passes + (at < rest)
+            at += mine[k].n_tokens
     assert all(0 <= tokens[s] - int(weight[s] * total) < 8 for s in weight) and abs(sum(weight.values()) - 1) < 1e-6
     sources = docs.withColumn("tokens", mixing.F.size(mixing.F.split("text", " ")) - 1).groupBy("source").agg(mixing.F.sum("tokens").alias("tokens"))
     e = mixing.find_exponent(sources, target_entropy=0.9)

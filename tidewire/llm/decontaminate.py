@@ -21,8 +21,10 @@ from tidewire.llm.common import materialise
 
 #: Words of a shard, but for a longer document, which is a shard of its own.
 SHARD_WORDS = 1 << 19
-#: Bytes of benchmark text that go to the shards at once; a larger benchmark goes in blocks.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark text that go to the shards at once; a larger benchmark goes in blocks. Its windows take some 80 times that.
+BLOCK_BYTES = 2 << 20
+#: Postings of rarest terms from which intersection starts at once.
+ANCHORS = 1 << 20
 
 
 def _word_table() -> bytes:
@@ -109,8 +111,8 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def search(phrases: Phrases, starts: np.ndarray, terms: list[str], term_starts: np.ndarray, positions: np.ndarray, slop: int) -> tuple[np.ndarray, ...]:
     """(window, first position) of every exact match, and (window, position of the rarest word) of every near one.
 
-    A window is near a position of its rarest word if each of its other words occurs within
-    length + slop words of it, in the same document.
+    A window is near a position of its rarest word (in the shard; ties: the first) if each of its
+    other words occurs within length + slop words of it, in the same document.
     """
     total = len(positions)
     local = {t: k for k, t in enumerate(terms)}
@@ -128,10 +130,6 @@ def search(phrases: Phrases, starts: np.ndarray, terms: list[str], term_starts:
     keys = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) * total + positions
     first = order[:, 0]
     lead = term[np.arange(len(term)), first]
-    own, nth = _spread(sizes[lead])
-    anchor = positions[term_starts[lead[own]] + nth].astype(np.int64)
-    document = np.searchsorted(starts, anchor, "right") - 1
-    low, high = starts[document], starts[document + 1]
 
     def narrowed(own, anchor, low, high, holds):
         for k in range(1, order.shape[1]):
@@ -154,11 +152,21 @@ def search(phrases: Phrases, starts: np.ndarray, terms: list[str], term_starts:
         there = keys[np.minimum(found, len(keys) - 1)] - term[own, at] * total
         return (found < len(keys)) & (there >= wanted) & (there <= np.minimum(anchor + reach, high - 1))
 
-    begin = anchor - first[own]
-    inside = (begin >= low) & (begin + length[own] <= high)
-    hit, at = narrowed(own[inside], anchor[inside], low[inside], high[inside], exact)
-    close, where = narrowed(own, anchor, low, high, near)
-    return open_[hit], at - first[hit], open_[close], where
+    found = []
+    # Windows in turn, so that the postings at hand are bounded; of one term a shard bounds them.
+    part = np.cumsum(sizes[lead]) // ANCHORS
+    for some in np.split(np.arange(len(lead)), np.flatnonzero(np.diff(part)) + 1):
+        own, nth = _spread(sizes[lead[some]])
+        own = some[own]
+        anchor = positions[term_starts[lead[own]] + nth].astype(np.int64)
+        document = np.searchsorted(starts, anchor, "right") - 1
+        low, high = starts[document], starts[document + 1]
+        begin = anchor - first[own]
+        inside = (begin >= low) & (begin + length[own] <= high)
+        hit, at = narrowed(own[inside], anchor[inside], low[inside], high[inside], exact)
+        close, where = narrowed(own, anchor, low, high, near)
+        found.append((open_[hit], at - first[hit], open_[close], where))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 MATCHES = "shard string, place int, doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>, near_items array<string>"

@@ -80,15 +80,16 @@ def find_exponent(sources: DataFrame, target_entropy: float | None = None, max_r
 
 
 def mix(documents: DataFrame, target_entropy: float | None = 0.95, max_repeats: float | None = 4.0, budget: int | None = None, seed: str = "mix") -> DataFrame:
-    """(doc_id, source, n_tokens, weight, copies, position) for documents (doc_id, text, source).
+    """(doc_id, source, n_tokens, weight, copies, positions) for documents (doc_id, text, source).
 
     A row for each document that the mix takes at least once, and how often. A source's quota
     is weight * budget tokens (default budget: all tokens there are). It is filled by whole
     passes over the source, then a last pass over its documents in permuted order: blocks in
     the order of a hash, documents in each by another; a document is in the last pass while the
-    tokens before it are fewer than what the quota leaves. position orders the mix: documents
-    of all sources interleaved by their place within their source. Documents without tokens
-    count as in the last pass while it lasts. Equal rows are permuted together and kept apart.
+    tokens before it are fewer than what the quota leaves. positions has a place
+    in the mix from 0 to 1 for each copy, ascending: the share of its source's quota that comes
+    before it, so that sources are interleaved and passes follow one another. Documents without
+    tokens count as in the last pass while it lasts. Equal rows are permuted together and kept apart.
 
     Blocks hold some BLOCK_DOCUMENTS documents of a source, whatever its size, so no task sorts
     a whole source; only a row for each block is summed in order.
@@ -103,15 +104,18 @@ def mix(documents: DataFrame, target_entropy: float | None = 0.95, max_repeats:
     quotas = powered.withColumn("weight", F.round(F.col("power") / F.lit(float(z)), 9))
     quotas = quotas.withColumn("quota", F.floor(F.col("weight") * F.lit(float(budget))).cast("long"))
     quotas = quotas.withColumn("passes", F.floor(F.col("quota") / F.col("tokens")).cast("long"))
-    quotas = quotas.select("source", "tokens", "weight", "passes", (F.col("quota") - F.col("passes") * F.col("tokens")).alias("left_over"), F.ceil(F.col("n_docs") / F.lit(BLOCK_DOCUMENTS)).cast("long").alias("n_blocks"))
+    quotas = quotas.select("source", "tokens", "weight", "quota", "passes", (F.col("quota") - F.col("passes") * F.col("tokens")).alias("left_over"), F.ceil(F.col("n_docs") / F.lit(BLOCK_DOCUMENTS)).cast("long").alias("n_blocks"))
     drawn = F.md5(F.concat_ws(":", F.lit(seed), "source", F.col("doc_id").cast("string")))
     placed = counted.join(quotas, "source").withColumn("draw", drawn)
     placed = placed.withColumn("block", F.pmod(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long"), F.col("n_blocks")))
     blocks = placed.groupBy("source", "block").agg(F.sum("n_tokens").alias("in_block"))
-    order = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    drawn = F.md5(F.concat_ws(":", F.lit(seed), "source", F.lit("block"), F.col("block").cast("string")))
+    order = Window.partitionBy("source").orderBy(drawn, "block").rowsBetween(Window.unboundedPreceding, -1)
     before = blocks.withColumn("before_block", F.coalesce(F.sum("in_block").over(order), F.lit(0))).drop("in_block")
     inner = Window.partitionBy("source", "block").orderBy("draw", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("before_doc", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0)))
     done = placed.join(before, ["source", "block"]).withColumn("at", F.col("before_block") + F.col("before_doc"))
     copies = F.col("passes") + (F.col("at") < F.col("left_over")).cast("long")
-    return done.select("doc_id", "source", "n_tokens", "weight", copies.alias("copies"), F.round(F.col("at") / F.col("tokens"), 9).alias("position")).where("copies > 0")
+    done = done.withColumn("copies", copies).where("copies > 0")
+    positions = F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), lambda k: F.round((k * F.col("tokens") + F.col("at")) / F.col("quota"), 9))
+    return done.select("doc_id", "source", "n_tokens", "weight", "copies", positions.alias("positions"))
