@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import render as R
 from tidewire.functions.paths import resolve_path, safe_segment
-from tidewire.sinks.files import open_sink
-from tidewire.sources.messages import MESSAGE
+from tidewire.operators.validate import validate_jsonl
+from tidewire.sources.messages import MESSAGE, parse_jsonl
 
-NOON = datetime.datetime(2025, 1, 1, tzinfo=datetime.UTC)
-SAMPLE = ("events", 0, 42, bytearray(b"my-key"), bytearray(b"hello world"), {"h": "v"}, NOON, False, "127.0.0.1:12345", None)
-BARE = ("events", 0, 42, None, None, {}, None, True, "c", None)
-EMPTY_KEY = ("events", 0, 42, bytearray(b""), bytearray(b"x"), {}, None, False, "c", None)
+EVENING = datetime.datetime(2024, 7, 9, 18, 30, 5, 250_000, tzinfo=datetime.UTC)
+ORDER = ("orders.eu", 3, 7001, bytearray(b"customer 17"), bytearray(b'{"sum": 12}'), {"trace": "9f"}, EVENING, False, "10.1.2.3:9", None)
+TOMBSTONE = ("orders.eu", 3, 7002, None, None, {}, None, True, "c", None)
+EMPTY_KEY = ("orders.eu", 3, 7003, bytearray(b""), bytearray(b"x"), {}, None, False, "c", None)
 
 
 def rendered(spark, rows, fmt, **options):
@@ -24,20 +24,20 @@ def rendered(spark, rows, fmt, **options):
 @pytest.mark.parametrize(
     ("text", "wanted"),
     [
-        ("%t|%p|%o|%k|%s|%K|%S|%T\\n", b"events|0|42|my-key|hello world|6|11|1735689600000\n"),
-        ("%s\\t%k\\r\\n", b"hello world\tmy-key\r\n"),
-        ("%s\\0", b"hello world\0"),
-        ("100%%", b"100%"),
-        ("a\\qb%", b"a\\qb%"),
-        ("\\\\n", b"\\n"),
+        ("%T;%S;%K;%s;%k;%o;%p;%t", b'1720549805250;11;11;{"sum": 12};customer 17;7001;3;orders.eu'),
+        ("%k\\t%t\\r\\n", b"customer 17\torders.eu\r\n"),
+        ("\\0%p\\0", b"\x003\0"),
+        ("%%%%k", b"%%k"),
+        ("\\w%", b"\\w%"),
+        ("%o\\\\t", b"7001\\t"),
     ],
 )
 def test_template(spark, text, wanted):
-    assert rendered(spark, [SAMPLE], "template", text=text) == [wanted]
+    assert rendered(spark, [ORDER], "template", text=text) == [wanted]
 
 
 def test_template_of_nulls(spark):
-    assert rendered(spark, [BARE], "template", text="%k|%K|%s|%S|%T") == [b"|-1||0|-1"]
+    assert rendered(spark, [TOMBSTONE], "template", text="[%s]%S %K[%k] %T") == [b"[]0 -1[] -1"]
 
 
 def test_unknown_verb():
@@ -46,14 +46,24 @@ def test_unknown_verb():
 
 
 def test_jsonl(spark):
-    full, bare, empty = rendered(spark, [SAMPLE, BARE, EMPTY_KEY], "jsonl")
-    assert full == b'{"topic":"events","partition":0,"offset":42,"key":"my-key","key_encoding":"utf-8","value":"hello world","value_encoding":"utf-8","headers":{"h":"v"},"timestamp":"2025-01-01 00:00:00 +0000 UTC","client_addr":"127.0.0.1:12345"}\n'
-    assert bare == b'{"topic":"events","partition":0,"offset":42,"value":"","value_encoding":"utf-8","client_addr":"c"}\n'
+    full, bare, empty = rendered(spark, [ORDER, TOMBSTONE, EMPTY_KEY], "jsonl")
+    assert full == b'{"topic":"orders.eu","partition":3,"offset":7001,"key":"customer 17","key_encoding":"utf-8","value":"{\\"sum\\": 12}","value_encoding":"utf-8","headers":{"trace":"9f"},"timestamp":"2024-07-09 18:30:05.25 +0000 UTC","client_addr":"10.1.2.3:9"}\n'
+    assert bare == b'{"topic":"orders.eu","partition":3,"offset":7002,"value":"","value_encoding":"utf-8","client_addr":"c"}\n'
     assert b'"key":"","key_encoding":"utf-8"' in empty
 
 
+def test_times_are_utc_in_any_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert b"2024-07-09 18:30:05.25 +0000 UTC" in rendered(spark, [ORDER], "jsonl")[0]
+        lines = R.render(spark.createDataFrame([ORDER], MESSAGE), "jsonl").selectExpr("CAST(payload AS STRING) AS line")
+        assert parse_jsonl(lines).select(F.unix_millis("timestamp")).first()[0] == 1720549805250
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_jsonl_long_base64_is_one_line(spark):
-    row = (*SAMPLE[:4], bytearray(range(200)), *SAMPLE[5:])
+    row = (*ORDER[:4], bytearray(range(200)), *ORDER[5:])
     assert rendered(spark, [row], "jsonl", value_base64=True)[0].count(b"\n") == 1
 
 
@@ -65,18 +75,18 @@ def test_separator(text, hex_text, none, wanted):
 @pytest.mark.parametrize("wrong", [{"fmt": "xml"}, {"fmt": "binary", "text": "%s"}, {"fmt": "jsonl", "after": b""}, {"fmt": "template"}])
 def test_options_of_another_format(spark, wrong):
     with pytest.raises(ValueError, match="format|take|needs"):
-        R.render(spark.createDataFrame([SAMPLE], MESSAGE), **wrong)
+        R.render(spark.createDataFrame([ORDER], MESSAGE), **wrong)
 
 
 def test_safe_segment(spark):
-    cases = {"my-topic": "my-topic", "a/b": "b", "a\\b": "a\\b", "C:foo": "C:foo", "../etc": "etc", "../../etc/evil": "evil", ".hidden": ".hidden", "...tricky": "...tricky", "": "_", "..": "_", "///": "_", "a/..": "_", "a/../b/.": "b", "/..": "_"}
+    cases = {"orders.eu": "orders.eu", "x/y/z": "z", "x\\y": "x\\y", "D:log": "D:log", "../../../root": "root", ".cache": ".cache", "..x": "..x", "": "_", "..": "_", "//": "_", ".": "_", "q/r/..": "q", "q/..": "_", "q/./r/": "r", "/../..": "_"}
     df = spark.createDataFrame([(k,) for k in cases], "name string")
     assert {r[0]: r[1] for r in df.select("name", safe_segment(F.col("name"))).collect()} == cases
     assert df.limit(1).select(resolve_path("{topic}/{txnID}", F.lit("../t"), F.lit("x{topic}"))).first()[0] == "t/xt"
 
 
-def test_open_sink():
-    assert [open_sink(x) for x in ("-", "https://a/b", "out/{topic}.log", "out.log", "s3a://b/c")] == ["console", "http", "pattern", "path", "path"]
-    for args in (("ftp://a/b",), ("-", True), ("http://a", True)):
-        with pytest.raises(ValueError, match="unsupported|published"):
-            open_sink(*args)
+def test_integers_in_any_form(spark):
+    line = lambda n: f'{{"topic":"t","partition":{n},"offset":1,"value":"","value_encoding":"utf-8","client_addr":"c"}}'
+    numbers = {"1": [], "1.0": [], "1e0": [], "123456789012345678901234567890": [], "1.5": ["type of partition"], '"1"': ["type of partition"], "null": ["type of partition"]}
+    df = spark.createDataFrame([(n, line(n)) for n in numbers], "n string, line string")
+    assert {r.n: r.reasons for r in validate_jsonl(df).collect()} == numbers

@@ -1,39 +1,162 @@
-"""Delivery, raw bytes and publishing."""
+"""Delivery over real HTTP, raw bytes, routes, and publishing as a whole."""
+
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidewire.functions import render as R
 from tidewire.sinks import http
-from tidewire.sinks.files import RawSource, publish, write_by_topic
+from tidewire.sinks.files import RawSource, open_sink, publish, read_published, write_by_topic, write_text
+from tidewire.sources.messages import MESSAGE
+from tidewire.streaming.pipeline import run_pipeline
 
 REQUEST = "seq long, url string, body binary, http_headers map<string,string>"
+PAYLOADS = "seq long, topic string, transactional_id string, payload binary"
+
+
+@pytest.fixture
+def server():
+    """A server on this machine that answers what `plan` has for the body and the attempt, and keeps what it got."""
+    got, plan, inside, most = [], {}, [0], [0]
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            inside[0] += 1
+            most[0] = max(most[0], inside[0])
+            body = self.rfile.read(int(self.headers["content-length"]))
+            got.append((body, {k.lower(): v for k, v in self.headers.items()}))
+            status = plan.get(body, [200])[min(sum(b == body for b, _ in got), len(plan.get(body, [200]))) - 1]
+            if status is None:
+                self.wfile.write(b"this is no reply\r\n\r\n")
+            else:
+                self.send_response(status)
+                self.send_header("content-length", "0")
+                self.end_headers()
+            inside[0] -= 1
 
+        def log_message(self, *args):
+            pass
 
-def test_retries_and_dead_letters(spark):
-    df = spark.createDataFrame([(k, "http://x", bytearray(b"b"), {}) for k in range(4)], REQUEST)
-    out = {r.seq: r for r in http.deliver(df, lambda u, b, h, seq, n: 200 if n > seq else 204, retries=2, delay=0).collect()}
-    assert [(out[k].attempts, out[k].delivered) for k in range(4)] == [(1, True), (2, True), (3, True), (3, False)]
-    assert out[3].last_error == "status 204"
+    httpd = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=httpd.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{httpd.server_port}/in", got, plan, most
+    httpd.shutdown()
 
-    def never(url, body, headers, seq, attempt):
-        raise OSError("refused")
 
-    lost = http.deliver(df, never, retries=-1, delay=0)
-    assert {(r.attempts, r.delivered, r.status) for r in lost.collect()} == {(1, False, None)}
+def test_delivery_over_http(spark, server):
+    url, got, plan, most = server
+    plan |= {b"b1": [503, 200], b"b2": [204], b"b3": [500], b"b4": [None, 200]}
+    rows = [(k, url, bytearray(f"b{k}".encode()), {"x-kafka-topic": "t", "x-kafka-offset": str(k)}) for k in range(5)]
+    df = spark.createDataFrame(rows, REQUEST).coalesce(1)
+    out = {r.seq: r for r in http.deliver(df, retries=1, delay=0).collect()}
+    assert [(out[k].attempts, out[k].delivered) for k in range(5)] == [(1, True), (2, True), (2, False), (2, False), (2, True)]
+    assert (out[2].last_error, out[3].status) == ("status 204", 500)
+    assert [b for b, _ in got] == [b"b0", b"b1", b"b1", b"b2", b"b2", b"b3", b"b3", b"b4", b"b4"] and most[0] == 1
+    assert got[0][1]["x-kafka-offset"] == "0" and got[0][1]["x-kafka-topic"] == "t"
+
+
+def test_nobody_listens(spark, tmp_path):
+    df = spark.createDataFrame([(1, "http://127.0.0.1:9/", bytearray(b"x"), {})], REQUEST)
     with pytest.raises(RuntimeError, match="not delivered"):
-        http.require_delivered(lost)
+        http.send(df, retries=-1, delay=0)
+    http.send(df, dead_letters=str(tmp_path / "dead"), delay=0)
+    assert [(r.seq, r.attempts, r.status, bytes(r.payload)) for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == [(1, 1, None, b"x")]
+
+
+def test_http_sink(spark, server):
+    url, got, _, _ = server
+    df = spark.createDataFrame([("a", 3, 9, bytearray(b"k"), bytearray(b"v"), {"One": "1"}, None, False, "c", None)], MESSAGE).withColumn("seq", F.lit(1).cast("long"))
+    open_sink(url, delay=0).write(R.render(df, "binary"))
+    (body, headers), *_ = got
+    assert body == b"v\n" and (headers["x-kafka-partition"], headers["x-kafka-key"], headers["x-kafka-header-one"]) == ("3", "aw==", "1")
 
 
 def test_raw_bytes(spark, tmp_path):
     spark.dataSource.register(RawSource)
     df = spark.createDataFrame([(bytearray(b"\x00\xff"),), (bytearray(b"\n"),), (None,)], "payload binary").coalesce(1)
-    df.write.format("raw_bytes").mode("append").save(str(tmp_path / "raw"))
-    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "raw").iterdir())) == b"\x00\xff\n"
+    for _ in range(2):
+        df.write.format("raw_bytes").mode("append").save(str(tmp_path / "raw"))
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "raw").iterdir())) == 2 * b"\x00\xff\n"
 
 
-def test_publish_replays_and_routes(spark, tmp_path):
-    df = spark.createDataFrame([(1, "../etc", bytearray(b"a")), (2, "t", bytearray(b"b"))], "seq long, topic string, payload binary")
-    for _ in range(2):
-        publish(df, str(tmp_path / "out"), 7)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+def test_raw_bytes_leave_nothing_of_a_failed_write(spark, tmp_path):
+    spark.dataSource.register(RawSource)
+    broken = spark.range(20).select(F.when(F.col("id") < 15, F.lit(b"x")).otherwise(F.raise_error(F.lit("broken")).cast("binary")).alias("payload")).repartition(3)
+    with pytest.raises(Exception, match="broken"):
+        broken.write.format("raw_bytes").mode("append").save(str(tmp_path / "raw"))
+    assert not (tmp_path / "raw").exists() or not list((tmp_path / "raw").iterdir())
+
+
+def test_raw_bytes_of_a_stream(spark, tmp_path):
+    spark.dataSource.register(RawSource)
+    spark.createDataFrame([(bytearray(b"a\0"),), (bytearray(b"b"),)], "payload binary").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("payload binary").parquet(str(tmp_path / "in"))
+    for state in ("one", "two"):  # the second run replays the batch
+        stream.writeStream.format("raw_bytes").option("checkpointLocation", str(tmp_path / state)).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "out").iterdir())) == b"a\0b"
+
+
+def test_text_is_verbatim(spark, tmp_path):
+    df = spark.createDataFrame([(1, bytearray(b"a\n\n\n")), (2, None), (3, bytearray(b"\xff\n"))], "seq long, payload binary").coalesce(1)
+    write_text(df, str(tmp_path / "out"))
+    write_text(df, str(tmp_path / "out"))
+    assert sorted(p.read_bytes() for p in (tmp_path / "out").glob("part-*.txt")) == 2 * [b"a\n\n\n\xff\n"]
+    with pytest.raises(Exception, match="does not end in a newline"):
+        write_text(spark.createDataFrame([(1, bytearray(b"a"))], "seq long, payload binary"), str(tmp_path / "other"))
+
+
+def test_routes_hold_the_bytes_in_order(spark, tmp_path):
+    rows = [(k, ("../up", "t", "a/b")[k % 3], None, bytearray(f"{k}\n".encode())) for k in range(60)]
+    df = spark.createDataFrame(rows, PAYLOADS).repartition(5)
     write_by_topic(df, str(tmp_path / "routes"))
-    assert {p.name for p in (tmp_path / "routes").iterdir() if p.is_dir()} == {"route=etc", "route=t"}
+    open_sink(f"{tmp_path}/raw/x-{{topic}}.log").write(df)
+    want = {n: b"".join(f"{k}\n".encode() for k in range(60) if k % 3 == r) for r, n in enumerate(("up", "t", "b"))}
+    held = lambda top: b"".join(p.read_bytes() for p in sorted(top.glob("part-*")))
+    assert {p.name: held(p) for p in (tmp_path / "routes").iterdir() if p.is_dir()} == {f"route={n}": x for n, x in want.items()}
+    assert {p.name: held(p) for p in (tmp_path / "raw").iterdir()} == {f"x-{n}.log": x for n, x in want.items()}
+    open_sink(f"{tmp_path}/one").write(df)
+    assert held(tmp_path / "one") == b"".join(f"{k}\n".encode() for k in range(60))
+
+
+def test_published_whole_or_not_at_all(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.createDataFrame([(1, "t", "x/1", bytearray(b"a")), (2, "u", "x/1", bytearray(b"b"))], PAYLOADS)
+    sink = open_sink("out/{topic}/{txnID}.log", transactional=True, table=out)
+    for k in (7, 7, 8):
+        sink.write(df, k)
+    assert sorted((r.path, r.seq) for r in read_published(spark, out).collect()) == 2 * [("out/t/1.log", 1)] + 2 * [("out/u/1.log", 2)]
+    broken = df.withColumn("payload", F.when(F.col("seq") == 1, F.col("payload")).otherwise(F.raise_error(F.lit("broken")).cast("binary")))
+    with pytest.raises(Exception, match="broken"):
+        publish(broken, out, 9)
+    assert read_published(spark, out).count() == 4
+    publish(df.limit(0).withColumn("path", F.lit("")), out, 10)  # an empty commit changes nothing
+    assert read_published(spark, out).count() == 4
+
+
+def test_open_sink():
+    assert [open_sink(x).kind for x in ("-", "https://a/b", "out/{topic}.log", "out.log", "s3a://b/c")] == ["console", "http", "pattern", "path", "path"]
+    assert open_sink("{txnID}", transactional=True, table="t").kind == "pattern"
+    for dst, transactional, said in (("ftp://a/b", False, "unsupported"), ("-", True, "published to"), ("http://a", True, "published to"), ("out.log", True, "txnID"), ("{topic}", True, "txnID"), ("{txnID}", True, "table")):
+        with pytest.raises(ValueError, match=said):
+            open_sink(dst, transactional)
+
+
+def test_an_error_stops_the_stream_and_the_batch_comes_again(spark, tmp_path):
+    rows = [("click", 0, k, None, bytearray(b"v"), {}, None, False, "c", None) for k in range(5)]
+    spark.createDataFrame(rows, MESSAGE).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
+    seen = []
+
+    def write(df, k):
+        seen.append((k, df.count()))
+        if len(seen) == 1:
+            raise OSError("disk full")
+
+    start = lambda: run_pipeline(stream, ["click"], "binary", write, str(tmp_path / "state")).awaitTermination()
+    with pytest.raises(Exception, match="disk full"):
+        start()
+    start()
+    start()
+    assert seen == [(0, 5), (0, 5)]

@@ -39,7 +39,8 @@ def binary(after: bytes = b"\n") -> Column:
 
 
 def time_text(stamp: Column) -> Column:
-    """As in 2025-01-01 00:00:00.12 +0000 UTC: zeros at the end of the fraction go. Needs a UTC session."""
+    """As in 2025-01-01 00:00:00.12 +0000 UTC, whatever the session's zone: zeros at the end of the fraction go."""
+    stamp = F.to_utc_timestamp(stamp, F.current_timezone())
     fraction = F.regexp_replace(F.date_format(stamp, ".SSSSSS"), r"\.?0+$", "")
     return F.concat(F.date_format(stamp, "yyyy-MM-dd HH:mm:ss"), fraction, F.lit(" +0000 UTC"))
 

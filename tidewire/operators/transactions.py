@@ -29,38 +29,50 @@ def producer_sessions(log: DataFrame) -> DataFrame:
     Producer ids count from 1 in order of seq over all of them: the allocating rows, a few for
     each id, are numbered within ranges of seq, whose sizes are summed first.
     """
-    inits = log.where("kind = 'INIT'").select("seq", "transactional_id")
-    n = F.when(F.col("transactional_id").isNull(), 1).otherwise(F.row_number().over(_by_id().orderBy("seq")))
-    inits = inits.withColumn("n", n.cast("long") - 1)
-    inits = inits.select("seq", "transactional_id", (F.col("n") % EPOCHS).cast("int").alias("epoch"), F.floor(F.col("n") / EPOCHS).alias("turn"))
+    known = log.where("kind = 'INIT' AND transactional_id IS NOT NULL").select("seq", "transactional_id", F.row_number().over(_by_id().orderBy("seq")).alias("n"))
+    # INITs without an id do not enter a window, where they would all meet in one task.
+    plain = log.where("kind = 'INIT' AND transactional_id IS NULL").select("seq", "transactional_id", F.lit(1).alias("n"))
+    inits = known.unionByName(plain).select("seq", "transactional_id", _epoch("n").alias("epoch"), _turn("n").alias("turn"))
     taking = inits.where("epoch = 0").select("seq", "transactional_id", "turn")
     ranges = taking.withColumn("part", F.floor(F.col("seq") / F.lit(1 << 16)))
     sizes = ranges.groupBy("part").agg(F.count("*").alias("size"))
     offsets = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("offset"))
     numbered = ranges.withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy("seq"))).join(offsets, "part")
-    pids = numbered.select("transactional_id", "turn", F.col("seq").alias("first_seq"), (F.col("offset") + F.col("k")).cast("long").alias("pid"))
-    plain = inits.where("transactional_id IS NULL").join(pids.select(F.col("first_seq").alias("seq"), "pid"), "seq").select("seq", "transactional_id", "pid", "epoch")
-    return inits.join(pids.drop("first_seq"), ["transactional_id", "turn"]).select("seq", "transactional_id", "pid", "epoch").unionByName(plain)
+    pids = numbered.select("seq", "transactional_id", "turn", (F.col("offset") + F.col("k")).cast("long").alias("pid"))
+    plain = pids.where("transactional_id IS NULL").select("seq", "transactional_id", "pid", F.lit(0).alias("epoch"))
+    return inits.join(pids.drop("seq"), ["transactional_id", "turn"]).select("seq", "transactional_id", "pid", "epoch").unionByName(plain)
+
+
+def _epoch(n: str):
+    return ((F.col(n) - 1) % EPOCHS).cast("int")
+
+
+def _turn(n: str):
+    return F.floor((F.col(n) - 1) / EPOCHS)
 
 
 def resolve(log: DataFrame) -> DataFrame:
     """The log with current_pid, current_epoch, valid, zombie and terminal.
 
     valid: for ADD and END, whether they name the producer of the last INIT. zombie: an INIT
-    that meets an open transaction. terminal: COMMIT or ABORT where a transaction ends.
+    that meets an open transaction. terminal: COMMIT or ABORT where a transaction ends. Rows
+    without an id have no producer and enter no window.
     """
-    sessions = producer_sessions(log).select("seq", F.col("pid").alias("_pid"), F.col("epoch").alias("_epoch"))
-    rows = log.join(sessions, "seq", "left")
-    rows = rows.withColumns({"current_pid": F.last("_pid", True).over(_by_id("seq", 0)), "current_epoch": F.last("_epoch", True).over(_by_id("seq", 0))})
+    # The producer ids of an id's turns, a row for each turn.
+    pids = producer_sessions(log).where("epoch = 0 AND transactional_id IS NOT NULL").select("transactional_id", "seq", F.col("pid").alias("current_pid"))
+    pids = pids.select("transactional_id", "current_pid", (F.row_number().over(_by_id().orderBy("seq")) - 1).cast("long").alias("turn"))
+    inits = F.count_if(F.col("kind") == "INIT").over(_by_id("seq", 0))
+    rows = log.where("transactional_id IS NOT NULL").withColumn("n", F.nullif(inits, F.lit(0)))
+    rows = rows.withColumns({"current_epoch": _epoch("n"), "turn": _turn("n")}).join(pids, ["transactional_id", "turn"], "left").drop("n", "turn")
     same = (F.col("claimed_pid") == F.col("current_pid")) & (F.col("claimed_epoch") == F.col("current_epoch"))
     rows = rows.withColumn("valid", F.when(F.col("kind").isin("ADD", "END"), F.coalesce(same, F.lit(False))))
     # INIT and a valid END close; a valid ADD opens.
     opens = F.when((F.col("kind") == "ADD") & F.col("valid"), True).when((F.col("kind") == "INIT") | ((F.col("kind") == "END") & F.col("valid")), False)
     rows = rows.withColumn("_opens", opens)
-    zombie = (F.col("kind") == "INIT") & F.col("transactional_id").isNotNull() & F.coalesce(F.last("_opens", True).over(_by_id("seq")), F.lit(False))
-    rows = rows.withColumn("zombie", zombie)
+    rows = rows.withColumn("zombie", (F.col("kind") == "INIT") & F.coalesce(F.last("_opens", True).over(_by_id("seq")), F.lit(False)))
     ended = F.when(F.col("zombie"), "ABORT").when((F.col("kind") == "END") & F.col("valid"), F.when(F.col("is_commit"), "COMMIT").otherwise("ABORT"))
-    return rows.withColumn("terminal", ended).drop("_pid", "_epoch", "_opens")
+    rows = rows.withColumn("terminal", ended).drop("_opens")
+    return rows.unionByName(log.where("transactional_id IS NULL").withColumns({"current_epoch": F.lit(None).cast("int"), "current_pid": F.lit(None).cast("long"), "valid": F.when(F.col("kind").isin("ADD", "END"), False), "zombie": F.lit(False), "terminal": F.lit(None).cast("string")}))
 
 
 def _control(log: DataFrame) -> DataFrame:
@@ -99,5 +111,5 @@ def committed_messages(log: DataFrame) -> DataFrame:
 
 def latest_commit(committed: DataFrame) -> DataFrame:
     """Of rows with path and end_seq, those of the newest commit of each path."""
-    newest = committed.groupBy("path").agg(F.max("end_seq").alias("end_seq"))
-    return committed.join(newest, ["path", "end_seq"])
+    newest = F.max("end_seq").over(Window.partitionBy("path"))
+    return committed.withColumn("_newest", newest).where("end_seq = _newest").drop("_newest")

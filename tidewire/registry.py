@@ -14,7 +14,7 @@ from tidewire.plans.adapters import ALLOWED, event_log, messages
 from tidewire.plans.oracles import ORACLES
 from tidewire.session import scratch
 from tidewire.sinks import http
-from tidewire.sinks.files import publish
+from tidewire.sinks.files import open_sink, publish, read_published, write_by_topic
 from tidewire.sources.messages import event_log as union_log
 from tidewire.sources.messages import parse_jsonl
 from tidewire.streaming.pipeline import resolve_transactions_stream, run_pipeline
@@ -85,9 +85,11 @@ def _committed(s: SparkSession, d: str) -> DataFrame:
 
 
 def committed_files(s: SparkSession, d: str) -> DataFrame:
-    """Flagship: resolve the log, keep committed rows, route them, keep the newest commit of a path, assemble its bytes."""
+    """Flagship: resolve the log, keep the newest commit of each path, publish its rows at once, and show what was published."""
+    table = scratch(s, "published")
     newest = T.latest_commit(_committed(s, d)).withColumn("payload", R.binary())
-    return M.assemble_files(newest).select("path", F.col("content").cast("string").alias("content"))
+    open_sink(PATH, transactional=True, table=table).write(newest.drop("path"))
+    return M.assemble_files(read_published(s, table)).select("path", F.col("content").cast("string").alias("content"))
 
 
 def collisions(s: SparkSession, d: str) -> DataFrame:
@@ -106,7 +108,14 @@ def stream_pipeline(s: SparkSession, d: str) -> DataFrame:
     rows.write.parquet(source)
     stream = s.readStream.schema(s.read.parquet(source).schema).parquet(source)
     run_pipeline(stream, ALLOWED, "jsonl", lambda df, k: publish(df.select("seq", "payload"), out, k), state).awaitTermination()
-    return _payload(s.read.parquet(out))
+    return _payload(read_published(s, out))
+
+
+def routes(s: SparkSession, d: str) -> DataFrame:
+    """Lines that the sink by topic has written for each route."""
+    out = scratch(s, "routes")
+    write_by_topic(R.render(messages(s, d), "jsonl"), out)
+    return s.read.text(out).groupBy("route").agg(F.count("*").alias("n"))
 
 
 def stream_transactions(s: SparkSession, d: str) -> DataFrame:
@@ -115,7 +124,7 @@ def stream_transactions(s: SparkSession, d: str) -> DataFrame:
     s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = s.readStream.schema(s.read.parquet(source).schema).parquet(source)
     resolve_transactions_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return s.read.parquet(out).select("seq", "transactional_id", "topic", "value")
+    return s.read.parquet(out).select("seq", "transactional_id", "topic", F.col("value").cast("string").alias("value"))
 
 
 QUERIES = {
@@ -149,7 +158,7 @@ QUERIES = {
     "aborted_messages": lambda s, d: T.txn_outcomes(event_log(s, d)).where("outcome <> 'COMMIT'").select("seq", "transactional_id", "outcome"),
     "latest_commit": lambda s, d: T.latest_commit(_committed(s, d)).select("path", "seq", "end_seq"),
     "committed_files": committed_files,
-    "route_counts": lambda s, d: messages(s, d).groupBy(safe_segment(F.col("topic")).alias("route")).agg(F.count("*").alias("n")),
+    "route_counts": routes,
     "validate_jsonl": validated,
     "http_delivery": delivery,
     "dead_letters": dead_letters,

@@ -11,12 +11,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that the cluster shares; a local one only where none is named."""
+    """A new path in the folder that the cluster shares; a local one only where none is named and Spark runs in one process."""
     import tempfile
     import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         shared = tempfile.mkdtemp(prefix="tidewire-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/tidewire-{uuid.uuid4().hex}/{what}"

@@ -1,87 +1,196 @@
-"""File sinks: raw bytes, one output per topic, and transactions published together."""
+"""File sinks: text, raw bytes, one output per topic, and transactions published together."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import contextlib
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
+
+from tidewire.functions.paths import resolve_path, safe_segment
+
 
-from tidewire.functions.paths import safe_segment
+def _line() -> Column:
+    """A payload without the one newline at its end, which the text sink adds again."""
+    ends = F.expr("right(payload, 1) = X'0A'")
+    body = F.expr("substring(payload, 1, octet_length(payload) - 1)").cast("string")
+    return F.when(ends, body).otherwise(F.raise_error(F.lit("a payload does not end in a newline: use the raw_bytes sink")))
 
 
 def write_text(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Payloads as text, for lines that end in a newline of their own."""
-    df.select(F.expr("rtrim('\n', CAST(payload AS STRING))").alias("value")).write.mode(mode).text(path)
+    """Payloads byte by byte, for those that end in a newline; another one is an error. Null payloads are left out."""
+    df.where("payload IS NOT NULL").select(_line().alias("value")).write.mode(mode).text(path)
+
+
+def in_order(df: DataFrame, route: Column) -> DataFrame:
+    """df with `route`, dealt by ranges of route and seq: files follow one another in order, and a large route has several."""
+    return df.withColumn("route", route).repartitionByRange("route", "seq").sortWithinPartitions("route", "seq")
 
 
 def write_by_topic(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Payloads under route=<safe topic>, in order of seq within a file."""
-    routed = df.select(safe_segment(F.col("topic")).alias("route"), "seq", F.hex("payload").alias("payload"))
-    routed.sortWithinPartitions("route", "seq").select("route", "payload").write.mode(mode).partitionBy("route").text(path)
+    """Payloads under route=<safe topic>, byte by byte, in order of seq. As write_text otherwise."""
+    routed = in_order(df.where("payload IS NOT NULL"), safe_segment(F.col("topic")))
+    routed.select("route", _line().alias("value")).write.mode(mode).partitionBy("route").text(path)
 
 
 def publish(df: DataFrame, path: str, batch_id: int) -> None:
-    """Committed rows as one batch: a replay of the batch replaces it, and it appears whole or not at all."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    """Committed rows as one batch of a published table: it appears whole or not at all.
+
+    The rows are written under a name of their own; one more row in the table's manifest, a
+    single file, publishes them. A replay of the batch is published in its place.
+    """
+    spark, name = df.sparkSession, f"batch-{batch_id}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/data/{name}")
+    entry = spark.createDataFrame([(batch_id, name, time.time_ns())], "batch_id long, name string, version long")
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all published batches. What a failed or replaced batch has written is not among them."""
+    newest = spark.read.parquet(f"{path}/manifest").groupBy("batch_id").agg(F.max_by("name", "version").alias("name"))
+    return spark.read.parquet(*(f"{path}/data/{r['name']}" for r in newest.orderBy("batch_id").collect()))
 
 
 class RawSource(DataSource):
-    """Payload bytes verbatim: df.select("payload").write.format("raw_bytes").mode("append").save(path)."""
+    """Payload bytes verbatim, batch or stream: df.select("payload").write.format("raw_bytes").mode("append").save(path).
+
+    With a column route before payload, each route is a folder. Nulls add nothing. The path is
+    any that executors share and pyarrow opens.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "raw_bytes"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return RawWriter(self.options["path"])
+        return RawWriter(self.options["path"], schema.names)
 
+    def streamWriter(self, schema, overwrite: bool) -> DataSourceStreamWriter:
+        return RawStreamWriter(self.options["path"], schema.names)
 
-class RawWriter(DataSourceWriter):
-    """A file for each partition, named only when all have been written. Needs a path that all executors share."""
 
-    def __init__(self, path: str):
-        self.path = path
+class Written(WriterCommitMessage):
+    def __init__(self, files: list[tuple[str, str]]):
+        self.files = files
 
-    def write(self, rows) -> WriterCommitMessage:
-        import os
-        import uuid
 
-        os.makedirs(self.path, exist_ok=True)
-        name = os.path.join(self.path, f".{uuid.uuid4().hex}.tmp")
-        with open(name, "wb") as out:
-            for row in rows:
-                out.write(bytes(row[0] or b""))
-        message = WriterCommitMessage()
-        message.file = name
-        return message
+class _Raw:
+    """Tasks write hidden files; the driver names them when all are there, or removes them."""
 
-    def commit(self, messages) -> None:
-        import os
+    def __init__(self, path: str, columns: list[str]):
+        self.path, self.routed = path, columns[0] == "route"
 
-        for k, m in enumerate(messages):
-            if m is not None:
-                os.replace(m.file, os.path.join(self.path, f"part-{k:05d}-{os.path.basename(m.file)[1:-4]}"))
+    def _open(self):
+        from pyarrow import fs
 
-    def abort(self, messages) -> None:
-        import contextlib
-        import os
+        return fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
 
+    def write(self, rows) -> WriterCommitMessage:
+        store, top = self._open()
+        files: list[tuple[str, str]] = []
+        out = None
+        try:
+            for row in rows:
+                route = row[0] if self.routed else ""
+                if not files or files[-1][0] != route:
+                    if out is not None:
+                        out.close()
+                    folder = f"{top}/{route}" if route else top
+                    store.create_dir(folder, recursive=True)
+                    files.append((route, f"{folder}/.{uuid.uuid4().hex}.tmp"))
+                    out = store.open_output_stream(files[-1][1])
+                out.write(bytes(row[-1] or b""))
+            if out is not None:
+                out.close()
+        except BaseException:
+            self._remove([Written(files)])
+            raise
+        return Written(files)
+
+    def _publish(self, messages, name: str) -> None:
+        store, top = self._open()
+        for k, m in enumerate(messages):
+            for n, (route, file) in enumerate(m.files if m is not None else ()):
+                store.move(file, f"{top}/{route + '/' if route else ''}{name}-{k:05d}-{n:05d}")
+
+    def _remove(self, messages) -> None:
+        store, _ = self._open()
         for m in messages:
-            if m is not None:
+            for _, file in m.files if m is not None else ():
                 with contextlib.suppress(OSError):
-                    os.remove(m.file)
+                    store.delete_file(file)
+
+
+class RawWriter(_Raw, DataSourceWriter):
+    def commit(self, messages) -> None:
+        self._publish(messages, f"part-{time.time_ns():020d}")
+
+    def abort(self, messages) -> None:
+        self._remove(messages)
+
+
+class RawStreamWriter(_Raw, DataSourceStreamWriter):
+    """A replayed micro-batch takes the place of what it wrote before."""
+
+    def commit(self, messages, batchId: int) -> None:  # noqa: N803
+        from pyarrow import fs
+
+        store, top = self._open()
+        name = f"batch-{batchId:010d}"
+        for old in store.get_file_info(fs.FileSelector(top, allow_not_found=True, recursive=True)):
+            if old.base_name.startswith(f"{name}-"):
+                store.delete_file(old.path)
+        self._publish(messages, name)
+
+    def abort(self, messages, batchId: int) -> None:  # noqa: N803
+        self._remove(messages)
+
+
+class Sink:
+    """Where payloads go: console, http, pattern or path; `write(df, batch_id)` suits foreachBatch."""
+
+    def __init__(self, kind: str, dst: str, transactional: bool, options: dict):
+        self.kind, self.dst, self.transactional, self.options = kind, dst, transactional, options
+
+    def write(self, df: DataFrame, batch_id: int = 0) -> None:
+        from tidewire.functions.render import http_request
+        from tidewire.sinks import http
+
+        if self.transactional:
+            path = resolve_path(self.dst, F.col("topic"), F.col("transactional_id"))
+            publish(df.withColumn("path", path), self.options["table"], batch_id)
+        elif self.kind == "console":
+            df.orderBy("seq").select(F.col("payload").cast("string")).write.format("console").option("truncate", False).save()
+        elif self.kind == "http":
+            http.send(http_request(df, self.dst), **self.options)
+        else:
+            df.sparkSession.dataSource.register(RawSource)
+            pattern = self.kind == "pattern"
+            top, _, rest = self.dst.partition("{topic}") if pattern else (self.dst, "", "")
+            route = F.concat(F.lit(top.rpartition("/")[2]), safe_segment(F.col("topic")), F.lit(rest)) if pattern else F.lit("")
+            ordered = in_order(df.where("payload IS NOT NULL"), route)
+            ordered.select(*["route"] * pattern, "payload").write.format("raw_bytes").mode("append").save(top.rpartition("/")[0] if pattern else top)
 
 
-def open_sink(dst: str, transactional: bool = False) -> str:
-    """The kind of sink for a destination: console, http, pattern or path.
+def open_sink(dst: str, transactional: bool = False, **options) -> Sink:
+    """The sink of a destination: - (console), http(s)://, a pattern with {topic}, or a path.
 
-    Spark's storage schemes are paths. Another scheme is an error, and transactions go to files only.
+    Spark's storage schemes are paths. Another scheme is an error. Transactions go to files only,
+    whose pattern needs {txnID}; they are published in the table that the option `table` names.
+    Options of http: those of http.send.
     """
     storage = ("hdfs://", "s3a://", "file://", "abfss://", "gs://", "viewfs://")
-    if dst == "-" or dst.startswith(("http://", "https://")):
-        if transactional:
-            raise ValueError(f"transactions cannot be published to {dst!r}")
-        return "console" if dst == "-" else "http"
-    if "://" in dst and not dst.startswith(storage):
+    remote = dst.startswith(("http://", "https://"))
+    if transactional and (dst == "-" or remote):
+        raise ValueError(f"transactions cannot be published to {dst!r}")
+    if "://" in dst and not remote and not dst.startswith(storage):
         raise ValueError(f"unsupported scheme in {dst!r}")
-    return "pattern" if "{topic}" in dst or "{txnID}" in dst else "path"
+    if transactional and "{txnID}" not in dst:
+        raise ValueError(f"transactions would be published over one another: no {{txnID}} in {dst!r}")
+    if transactional and "table" not in options:
+        raise ValueError("transactions need the option table")
+    kind = "console" if dst == "-" else "http" if remote else "pattern" if "{topic}" in dst or "{txnID}" in dst else "path"
+    return Sink(kind, dst, transactional, options)

@@ -8,12 +8,15 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidewire.session import scratch
+
 OUTCOME = "seq long, attempts int, status int, delivered boolean, last_error string, payload binary"
 #: (url, body, headers, seq, attempt) -> status
 Transport = Callable[[str, bytes, dict, int, int], int]
 
 
 def post(url: str, body: bytes, headers: dict, seq: int, attempt: int, timeout: float = 30.0) -> int:
+    import http.client
     import urllib.error
     import urllib.request
 
@@ -22,6 +25,8 @@ def post(url: str, body: bytes, headers: dict, seq: int, attempt: int, timeout:
             return reply.status
     except urllib.error.HTTPError as e:
         return e.code
+    except http.client.HTTPException as e:  # a reply that is none counts as no reply
+        raise ConnectionError(f"{type(e).__name__}: {e}") from e
 
 
 def deliver(requests: DataFrame, transport: Transport = post, retries: int = 0, delay: float = 1.0) -> DataFrame:
@@ -53,6 +58,17 @@ def deliver(requests: DataFrame, transport: Transport = post, retries: int = 0,
     return requests.select("seq", "url", "body", "http_headers").sortWithinPartitions("seq").mapInPandas(run, OUTCOME)
 
 
+def send(requests: DataFrame, dead_letters: str | None = None, transport: Transport = post, retries: int = 0, delay: float = 1.0) -> None:
+    """Deliver requests once, and append what was not delivered to the table dead_letters; without one it is an error."""
+    path = scratch(requests.sparkSession, "outcomes")
+    deliver(requests, transport, retries, delay).write.parquet(path)
+    outcomes = requests.sparkSession.read.parquet(path)
+    if dead_letters is None:
+        require_delivered(outcomes)
+    else:
+        split_delivered(outcomes)[1].write.mode("append").parquet(dead_letters)
+
+
 def split_delivered(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(delivered, dead letters) of a written outcome table."""
     return outcomes.where("delivered"), outcomes.where("NOT delivered")

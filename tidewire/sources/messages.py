@@ -59,7 +59,7 @@ def parse_jsonl(lines: DataFrame, column: str = "line") -> DataFrame:
         text = F.col(f"r.{field}")
         return F.when(F.col(f"r.{field}_encoding") == "base64", F.unbase64(text)).otherwise(text.cast("binary"))
 
-    stamp = F.try_to_timestamp(F.regexp_replace("r.timestamp", r" \+0000 UTC$", ""))
+    stamp = F.from_utc_timestamp(F.try_to_timestamp(F.regexp_replace("r.timestamp", r" \+0000 UTC$", "")), F.current_timezone())
     return r.select("r.topic", "r.partition", "r.offset", raw("key").alias("key"), raw("value").alias("value"), "r.headers", stamp.alias("timestamp"), "r.client_addr")
 
 

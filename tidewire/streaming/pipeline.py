@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewire.functions.render import render
 from tidewire.operators.messages import filter_topics
 
-RESOLVED = "seq long, transactional_id string, topic string, value string"
+RESOLVED = "seq long, transactional_id string, topic string, value binary"
 
 
 def run_pipeline(stream: DataFrame, topics: list[str], fmt: str, write: Callable[[DataFrame, int], None], checkpoint: str, **options) -> StreamingQuery:
@@ -28,11 +29,16 @@ class TransactionResolver(StatefulProcessor):
     """Holds the rows of each open transaction; a commit releases them, an abort drops them.
 
     INIT rows carry assigned_pid. Input is in order of seq from one micro-batch to the next.
+    ttl_ms: what an id has pending is dropped after so many milliseconds without a row; by
+    default it is kept until its transaction ends, as in a batch.
     """
 
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.producer = handle.getValueState("producer", "inits long, pid long, active boolean")
-        self.pending = handle.getListState("pending", "seq long, topic string, value string")
+        self.pending = handle.getListState("pending", "seq long, topic string, value binary", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         inits, pid, active = self.producer.get() if self.producer.exists() else (0, None, False)
@@ -59,6 +65,7 @@ class TransactionResolver(StatefulProcessor):
         pass
 
 
-def resolve_transactions_stream(log: DataFrame) -> DataFrame:
-    """Committed messages of a streaming log; needs the RocksDB state store. Equals committed_messages of the whole log."""
-    return log.where("transactional_id IS NOT NULL").groupBy("transactional_id").transformWithState(TransactionResolver(), RESOLVED, "append", "none")
+def resolve_transactions_stream(log: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """Committed messages of a streaming log; needs the RocksDB state store. Without ttl_ms it equals committed_messages of the whole log."""
+    known = log.where("transactional_id IS NOT NULL").withColumn("value", F.col("value").cast("binary"))
+    return known.groupBy("transactional_id").transformWithState(TransactionResolver(ttl_ms), RESOLVED, "append", "none" if ttl_ms is None else "processingTime")
