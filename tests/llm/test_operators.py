@@ -60,6 +60,25 @@ def test_embeddings(spark):
     assert all(found[k].n_links == 0 and found[k].kept for k in (100, 101, 102, 103)) and not found[None].kept
 
 
+def test_embeddings_of_any_length(spark):
+    """Vectors whose squares leave the range of doubles, and tiles that meet."""
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [5e-324, 0.0]), (5, [1.0, 0.0]), (6, [0.0, -1e308])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
+def test_embedding_tiles(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 20)
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(60, 8)), np.repeat(rng.normal(size=(1, 8)), 30, axis=0) + rng.normal(size=(30, 8)) * 0.2])
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    pairs = [(a, b) for a, b in itertools.permutations(range(len(x)), 2) if unit[a] @ unit[b] >= 0.95]
+    up = components(pairs, range(len(x)))
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(table).collect()}
+    assert found == {k: (sum(a == k for a, _ in pairs), up[k]) for k in range(len(x))} and len(pairs) > 100
+
+
 def test_quantisation_bound():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(200, 24))

@@ -2,7 +2,8 @@
 
 A unit vector u is stored as s * q with q of 8 bits; e = |u - s q| is known exactly. The product
 of two stored vectors is then within e_a + e_b + e_a e_b of their cosine. Pairs that could reach
-the threshold within that bound, and only those, are computed again in double precision.
+the threshold within that bound, and only those, are computed again in double precision. Only
+the 8-bit forms go to every tile; the vectors themselves follow where they may link.
 """
 
 from __future__ import annotations
@@ -85,18 +86,45 @@ def link_tiles(ids: np.ndarray, copies: np.ndarray, raw: np.ndarray, n_left: int
     return links, forest.flat()
 
 
-_PLAIN = pa.schema([("vec_id", pa.int64()), ("size", pa.int32()), ("raw", pa.binary())])
+def may_link(q: np.ndarray, scale: np.ndarray, lost: np.ndarray, n_left: int, threshold: float) -> np.ndarray:
+    """Which vectors may link with another: of the first n_left with one of the others, or of all if all are left."""
+    wide = np.float32 if q.shape[1] * 127**2 < 1 << 24 else np.float64  # sums of products stay exact
+    q, n = q.astype(wide), len(q)
+    alone = n_left == n
+    right = np.arange(n) if alone else np.arange(n_left, n)
+    q_right, s_right, e_right = q[right].T.copy(), scale[right], lost[right]
+    found = np.zeros(n, bool)
+    for at in range(0, n_left, STRIP):
+        strip = np.arange(at, min(at + STRIP, n_left))
+        about = (q[strip] @ q_right) * (scale[strip][:, None] * s_right).astype(np.float32)
+        e = lost[strip][:, None]
+        near = about >= threshold - (e + e_right + e * e_right) - 1e-5
+        if alone:
+            near[np.arange(len(strip)), strip] = False
+        found[strip] |= near.any(axis=1)
+        found[right] |= near.any(axis=0)
+    return found
+
+
+_PLAIN = pa.schema([("vec_id", pa.int64()), ("size", pa.int32()), ("raw", pa.binary()), ("q", pa.binary()), ("scale", pa.float64()), ("lost", pa.float64())])
 
 
 def _plain(batches):
-    """Vectors as bytes of doubles; null where no cosine is defined."""
+    """Vectors as bytes of doubles, and their 8-bit form; null where no cosine is defined."""
     for batch in batches:
-        sizes, packed = [], []
+        rows = []
         for vector in batch.column(1).to_pylist():
             x = np.array([np.nan if v is None else v for v in vector or [np.nan]], np.float64)
-            good = bool(np.isfinite(x).all() and x.any() and 0 < x @ x < np.inf)
-            sizes.append(len(x) if good else None), packed.append(x.tobytes() if good else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], schema=_PLAIN)
+            if not np.isfinite(x).all() or not x.any():
+                rows.append((None,) * 5)
+                continue
+            with np.errstate(over="ignore", under="ignore"):
+                if not 1e-280 < x @ x < np.inf:  # the square leaves the range of doubles: the direction does not
+                    x = x / np.abs(x).max()
+            q, scale, lost = quantise((x / np.sqrt(x @ x))[None])
+            rows.append((len(x), x.tobytes(), q.tobytes(), float(scale[0]), float(lost[0])))
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(columns, list(_PLAIN)[1:], strict=True))], schema=_PLAIN)
 
 
 _LINKS = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
@@ -111,26 +139,42 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame
     with a null vec_id, which come back with a null component and kept false.
 
     Equal vectors are compared once, however many there are. The others are dealt to tiles of
-    some TILE vectors, and every pair of tiles is one task's work: each vector goes to as many
-    tasks as there are tiles. A task returns a row for each vector at most, never its pairs.
+    some TILE vectors, and every pair of tiles is one task's work: the 8-bit form of each vector
+    goes to as many tasks as there are tiles, the vector itself to those where it may link. A
+    task returns a row for each vector at most, never its pairs.
     """
-    rows = materialise(embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_plain, "vec_id long, size int, raw binary").withColumn("key", F.md5("raw")), "vectors")
-    groups = rows.where("vec_id IS NOT NULL AND raw IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("raw").alias("raw"), F.first("size").alias("size"))
+    rows = materialise(embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_plain, "vec_id long, size int, raw binary, q binary, scale double, lost double").withColumn("key", F.md5("raw")), "vectors")
+    kept = [F.min(c).alias(c) for c in ("raw", "size", "q", "scale", "lost")]  # equal in all rows of a key
+    groups = rows.where("vec_id IS NOT NULL AND raw IS NOT NULL").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), *kept)
     groups = materialise(groups, "distinct")
     n_tiles = -(-max(groups.count(), 1) // TILE)
     # A vector's pairs of tiles: its own with every tile, the smaller first.
     tile = F.pmod(F.xxhash64("id", "key"), F.lit(n_tiles))
-    dealt = groups.select("id", "copies", "raw", "size", tile.alias("tile")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1)).cast("array<long>")))
+    dealt = groups.select("id", "size", "q", "scale", "lost", tile.alias("tile")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1)).cast("array<long>")))
     dealt = dealt.withColumn("a", F.least("tile", "other")).withColumn("b", F.greatest("tile", "other"))
 
+    def sides(group: pa.Table) -> tuple[np.ndarray, int] | None:
+        """The rows of tile a before those of tile b, and how many; None if one side is empty."""
+        left = group["tile"].to_numpy() == group["a"].to_numpy()
+        n_left = int(left.sum())
+        if n_left == len(left) and group["a"][0].as_py() != group["b"][0].as_py() or n_left == 0:
+            return None
+        return np.argsort(~left, kind="stable"), n_left
+
+    def near(group: pa.Table) -> pa.Table:
+        if not (both := sides(group)):
+            return group.select(["id", "size", "tile", "a", "b"]).slice(0, 0)
+        order, n_left = both
+        q = np.frombuffer(b"".join(group["q"].to_pylist()), np.int8).reshape(group.num_rows, -1)
+        found = may_link(q[order], group["scale"].to_numpy()[order], group["lost"].to_numpy()[order], n_left, threshold)
+        return group.select(["id", "size", "tile", "a", "b"]).take(pa.array(order[found]))
+
     def links(group: pa.Table) -> pa.Table:
-        left = (group["tile"].to_numpy() == group["a"].to_numpy())
-        order = np.argsort(~left, kind="stable")
+        if not (both := sides(group)):
+            return pa.table([[], [], []], schema=_LINKS)
+        order, n_left = both
         ids, copies = group["id"].to_numpy()[order], group["copies"].to_numpy()[order]
         raw = np.frombuffer(b"".join(group["raw"].to_pylist()), np.float64).reshape(len(ids), -1)[order]
-        n_left = int(left.sum())
-        if n_left == len(ids) and group["a"][0].as_py() != group["b"][0].as_py() or n_left == 0:
-            return pa.table([[], [], []], schema=_LINKS)
         found, root = link_tiles(ids, copies, raw, n_left, threshold)
         # The smallest id of each local component stands for it.
         least = np.full(len(ids), np.iinfo(np.int64).max)
@@ -138,7 +182,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame
         some = np.flatnonzero(found)
         return pa.table([pa.array(ids[some]), pa.array(found[some]), pa.array(least[root[some]])], schema=_LINKS)
 
-    found = materialise(dealt.groupBy("size", "a", "b").applyInArrow(links, "id long, links long, root long"), "links")
+    met = materialise(dealt.select("id", "size", "q", "scale", "lost", "tile", "a", "b").groupBy("size", "a", "b").applyInArrow(near, "id long, size int, tile long, a long, b long"), "near")
+    met = met.join(groups.select("id", "copies", "raw"), "id")
+    found = materialise(met.groupBy("size", "a", "b").applyInArrow(links, "id long, links long, root long"), "links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     components = connected_components(found.select("id", "root"))
     each = groups.select("key", "id", "copies").join(counts, "id", "left").join(components.withColumnRenamed("node", "id"), "id", "left")
