@@ -342,6 +342,27 @@ def test_secrets(spark):
     assert secrets.scan(docs_of(spark, [(1, None)])).collect() == []
 
 
+def test_the_forest_overrules_the_pattern(spark):
+    """What looks like prose is no secret though a credential's name stands before it; what looks like a key is one though none does."""
+    rng = random.Random(31)
+    key = lambda: "".join(rng.choice("0123456789abcdefXYZQ") for _ in range(24))
+    words = ["please", "change", "this", "value", "before", "first", "start", "here", "again", "today"]
+    prose = lambda: "-".join(rng.sample(words, 4))
+    some = lambda: " ".join(rng.choices(words, k=rng.randrange(3, 7)))
+    texts = [(k, f"{some()} password={key()} {some()} {prose()} {some()}") for k in range(200)]
+    texts += [(200 + k, f"{some()} password={prose()} {some()}") for k in range(6)]
+    texts += [(300 + k, f"{some()} {key()} {some()}") for k in range(6)]
+    found = {(r.doc_id, r.found): r.secret for r in secrets.scan(docs_of(spark, texts)).collect()}
+    assert all(v for (k, x), v in found.items() if k < 200 and "-" not in x) and not any(v for (k, _), v in found.items() if 200 <= k < 300)
+    assert all(v for (k, _), v in found.items() if k >= 300) and not any(v for (k, x), v in found.items() if "-" in x)
+
+
+def test_many_candidates_in_one_text(spark):
+    text = " ".join(f"{'ab' * 8}{k:05d}" for k in range(20_000))
+    found = secrets.candidates(docs_of(spark, [(1, text)])).orderBy("start").collect()
+    assert [r.start for r in found] == [1 + 22 * k for k in range(20_000)] and found[-1].found == f"{'ab' * 8}19999"
+
+
 def test_secrets_given_to_a_credential(spark):
     """Short values and any characters, where the name of a credential stands before them."""
     texts = ["set password=hunter2, then", "passwd: 'S3cr3t!x' ok", "my_api_key = P@ss{w}ord$1", '"token": "two words" end', "/x?token=ab12cd&user=bob", "db_main_production_password=hunter2!", "secret=abc", "a word: hunter2", "SECRET=Zz9!\nlast"]

@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewire.llm.common import materialise
 
@@ -28,7 +29,9 @@ ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{
 ASSIGNED = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\s*[:=]\s*[\"']?$"
 SPEAKING = r"(?i)(pass|pwd|secret|token|key|auth|cred|bearer)"
 CONTEXT = 48
-FEATURES = ["length", "digit_share", "upper_share", "transitions", "coverage", "path_marks", "named_before", "assigned", "quoted", "word_gap"]
+#: What the forest sees: the candidate's own form and the words around it, but not the assignment
+#: or the issuer's format that labels it, so that it can overrule a label.
+FEATURES = ["length", "digit_share", "upper_share", "transitions", "coverage", "path_marks", "words_before", "words_after", "named_near", "quoted"]
 
 
 def candidates(documents: DataFrame) -> DataFrame:
@@ -37,29 +40,28 @@ def candidates(documents: DataFrame) -> DataFrame:
     start counts characters from 1; before and after are up to CONTEXT characters beside it. A
     candidate matches CANDIDATE, or is a value of SHORTEST characters and more that follows the
     name of a credential. A value joined to its name, as in password=..., is cut after it. Null
-    and empty texts have none; repeated rows give their findings again.
+    and empty texts have none; repeated rows give their findings again. Texts are searched once:
+    what is found is written to the shared folder.
     """
     named = F.greatest(*(F.contains(F.lower("text"), F.lit(x)) for x in HINTS))
     hits = documents.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE) | named)
     found, gaps = (F.when(named, of(f"{GIVEN}|{CANDIDATE}")).otherwise(of(CANDIDATE)) for of in (lambda x: F.regexp_extract_all("text", F.lit(f"({x})"), F.lit(1)), lambda x: F.split("text", x, -1)))
-    hits = hits.select("doc_id", found.alias("found"), gaps.alias("gaps"))
-    parts = F.arrays_zip(F.col("found"), F.expr("slice(gaps, 1, size(found))").alias("gap"), F.expr("slice(gaps, 2, size(found))").alias("next"), _starts())
-    each = hits.select("doc_id", F.explode(parts).alias("x"))
+    hits = hits.select(F.monotonically_increasing_id().alias("row"), "doc_id", found.alias("found"), gaps.alias("gaps"))
+    parts = F.arrays_zip(F.col("found"), F.expr("slice(gaps, 1, size(found))").alias("gap"), F.expr("slice(gaps, 2, size(found))").alias("next"))
+    each = hits.select("row", "doc_id", F.posexplode(parts).alias("k", "x"))
+    each = each.select("row", "doc_id", "k", "x.found", (F.length("x.gap") + F.length("x.found")).alias("n"), F.expr(f"right(x.gap, {CONTEXT})").alias("gap"), F.expr(f"left(x.next, {CONTEXT})").alias("next"))
+    # Where a candidate ends: the lengths of all gaps and candidates of its text up to it.
+    so_far = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    each = materialise(each, "found").withColumn("start", F.sum("n").over(so_far) - F.length("found") + 1)
+    each = each.select("doc_id", F.struct("found", "gap", "next", "start").alias("x"))
     name = F.when(F.col("x.found").rlike(f"^{_NAME}"), F.regexp_extract("x.found", f"^({_NAME}[\"']?)", 1)).otherwise("")
     cut = F.when(F.length("x.found") - F.length(name) >= SHORTEST, name).otherwise("")
     cut = F.when(cut != "", cut).otherwise(F.regexp_extract("x.found", r"^([A-Za-z_.-]{2,24}=)[^=]", 1))
     row = each.select("doc_id", "x", cut.alias("cut"))
-    row = row.select("doc_id", (F.col("x.start") + F.length("cut")).cast("long").alias("start"), F.expr("substring(x.found, length(cut) + 1)").alias("found"), F.concat(F.expr("right(x.gap, 48)"), "cut").alias("before"), F.expr("left(x.next, 48)").alias("after"))
+    row = row.select("doc_id", (F.col("x.start") + F.length("cut")).cast("long").alias("start"), F.expr("substring(x.found, length(cut) + 1)").alias("found"), F.concat("x.gap", "cut").alias("before"), F.col("x.next").alias("after"))
     return row.where((F.length("found") >= 16) | ((F.length("found") >= SHORTEST) & F.col("before").rlike(ASSIGNED)))
 
 
-def _starts():
-    """Where each candidate begins: the lengths of all gaps and candidates before it, and 1."""
-    both = "zip_with(found, slice(gaps, 1, size(found)), (f, g) -> struct(length(f) AS f, length(g) AS g))"
-    running = f"aggregate({both}, named_struct('at', 1, 'all', CAST(array() AS array<int>)), (acc, x) -> named_struct('at', acc.at + x.f + x.g, 'all', concat(acc.all, array(acc.at + x.g))), acc -> acc.all)"
-    return F.expr(running).alias("start")
-
-
 def dictionary(documents: DataFrame, share: float = 1e-4) -> list[str]:
     """Words of three to twelve letters that are at least `share` of all such words of all documents, and so 1 / share at most."""
     words = documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\b([a-z]{3,12})\b"), F.lit(1))).alias("word"))
@@ -89,7 +91,18 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     n = F.length("found")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("found", "[A-Z]+", "U"), "[a-z]+", "l"), "[0-9]+", "d")
     plain = F.lower("found")
-    rest = F.regexp_replace(plain, _any_of(words), "") if words else plain
+    known = _any_of(words)
+    rest = F.regexp_replace(plain, known, "") if words else plain
+
+    def spoken(text):
+        """The share of dictionary words in a text's letters."""
+        letters = F.regexp_replace(F.lower(text), "[^a-z]+", " ")
+        left = F.regexp_replace(letters, rf"\b{known}\b", "") if words else letters
+        size = F.length(F.translate(letters, " ", ""))
+        return F.when(size > 0, 1 - F.length(F.translate(left, " ", "")) / size).otherwise(0.0)
+
+    # Up to the word that may name the candidate.
+    earlier = F.regexp_replace("before", r"\S+\s*[:=]?\s*[\"']?$", "")
     return found.withColumns(
         {
             "length": n.cast("double"),
@@ -98,10 +111,10 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
             "transitions": F.length(kinds) / n,
             "coverage": 1 - F.length(rest) / n,
             "path_marks": (F.length(F.regexp_replace("found", "[^/.]", "")) + F.col("before").rlike(r"(://|[/\\])\S*$").cast("int")).cast("double"),
-            "named_before": F.regexp_extract("before", r"(\S+\s+\S*)$", 1).rlike(SPEAKING).cast("double"),
-            "assigned": F.col("before").rlike(r"[:=]\s*[\"']?$").cast("double"),
+            "words_before": spoken(earlier),
+            "words_after": spoken(F.col("after")),
+            "named_near": (earlier.rlike(SPEAKING) | F.col("after").rlike(SPEAKING)).cast("double"),
             "quoted": F.col("after").rlike("^[\"']").cast("double"),
-            "word_gap": F.col("before").rlike(r"(^|\s)$").cast("double"),
         }
     )
 
@@ -128,10 +141,12 @@ def scan(documents: DataFrame, labelled: DataFrame | None = None, threshold: flo
 
     score is the forest's share for a secret; secret is score >= threshold. `labelled` has
     findings with before, after and label; by default the documents' own candidates are
-    labelled by `label`. Without both labels, the label itself is the score.
+    labelled by `label`. The forest does not see what labels them, so a value that looks like
+    prose is no secret though it is given to a password. Without both labels, the label itself
+    is the score.
     """
     words = dictionary(documents)
-    found = with_features(candidates(documents), words)
+    found = materialise(with_features(candidates(documents), words), "features")
     model = fit(label(found) if labelled is None else with_features(labelled, words))
     if model is None:
         scored = label(found).withColumn("score", F.col("label"))
