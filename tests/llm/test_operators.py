@@ -447,3 +447,61 @@ def test_empty_tables(spark):
     assert lines.dedup_lines(none).collect() == [] and decontaminate.decontaminate(none, spark.createDataFrame([], "item_id long, text string")).collect() == []
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, label int, row long, k int, found string, copies long, block long, toxic int"
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    """Nulls everywhere, an empty and a very long text, repeated rows, and columns named as the operators' own."""
+    extra = (9, 0.5, "x", 1, 2, 3, "y", 4, 5, 1)
+    texts = [(k, f"some plain words of text number {k} and more", ("aa", None)[k % 2], ("s", None)[k % 2]) for k in range(8)]
+    texts += [(50, None, "aa", "s"), (51, "", None, None), (52, "long words " * 60_000, "aa", "s"), (None, "some words", "aa", "s"), (3, texts[3][1], "aa", "s")]
+    docs = spark.createDataFrame([(*t, *extra) for t in texts], CLASHING)
+    ids = sorted((t[0] for t in texts), key=str)
+    found = language_id.identify(docs, language_id.fit(docs)).collect()
+    assert sorted((r.doc_id for r in found), key=str) == ids and {r.lang_pred for r in found} == {"aa", "und"}
+    assert language_id.keep_identified(docs, language_id.fit(docs)).columns == docs.columns
+    labels = spark.createDataFrame([(k, k % 2, "t", 0.0) for k in range(6)] + [(None, 1, None, None), (7, None, None, None)], "doc_id long, toxic int, text string, score double")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert sorted((r.doc_id for r in scored), key=str) == ids and all(0 <= r.score <= 1 for r in scored)
+    assert secrets.scan(docs).collect() == []
+    mixed = mixing.mix(docs, None, None).collect()
+    assert sorted((r.doc_id for r in mixed if r.n_tokens), key=str) == sorted((t[0] for t in texts if t[1]), key=str)
+    assert lines.without_repeated_lines(docs).columns == docs.columns
+    long = next(r for r in substrings.remove_repeats(docs).collect() if r.doc_id == 52)
+    assert (long.n_words, long.n_removed) == (120_000, 0)
+    assert next(r for r in ngram_join.near_duplicates(docs).collect() if r.doc_id == 52).n_shingles == 2
+    pages = spark.createDataFrame([(1, "http://a.com/", "<p>" * 100_000, "h", "p", "r", 1.0), (None, None, None, None, None, None, None)], "page_id long, url string, html string, host string, path string, rule string, trust double")
+    assert sorted((str(r.page_id), r.verdict) for r in url_filter.judge(pages, [("block", "b.com/")]).collect()) == [("1", "allow"), ("None", "allow")]
+
+
+def test_empty_tables_of_the_rest(spark):
+    none = spark.createDataFrame([], CLASHING)
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert language_id.identify(none, language_id.fit(none)).collect() == [] == secrets.scan(none).collect()
+    assert language_id.held_out_rates(none) == {} and language_id.keep_identified(none, []).collect() == []
+    assert toxicity.score(none, toxicity.fit(none, labels)).collect() == [] == mixing.mix(none).collect()
+    assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string"), [("block", "b.com/")]).collect() == []
+
+
+def test_forest_in_parts(spark, monkeypatch):
+    """A partition that unites few nodes at once loses no connection."""
+    from tidewire.llm import common
+
+    monkeypatch.setattr(common, "FOREST_NODES", 3)
+    edges = [(k, k + 1) for k in range(40) if k % 8]
+    batches = [common.pa.RecordBatch.from_arrays([common.pa.array([a]), common.pa.array([b])], names=["a", "b"]) for a, b in edges]
+    found = [(r["u"], r["v"]) for batch in common._forest(iter(batches)) for r in batch.to_pylist()]
+    assert components(found, range(41)) == components(edges, range(41))
+
+
+def test_factorization_machine_scores_are_its_formula():
+    """Every pair of terms counts by the product of its factors."""
+    rng = np.random.default_rng(4)
+    place = np.array([0, -1, 1, 2, 3])
+    model = toxicity.FactorizationMachine(place, 0.3, rng.normal(size=4), rng.normal(size=(4, 3)))
+    for row in ([0, 2, 3, 4], [1, 2], [], [4]):
+        held = [place[t] for t in row if place[t] >= 0]
+        x = 0.3 + sum(model.weights[t] for t in held) + sum(model.factors[a] @ model.factors[b] for a, b in itertools.combinations(held, 2))
+        assert abs(model.scores([np.array(row, np.int64)])[0] - 1 / (1 + math.exp(-x))) < 1e-12

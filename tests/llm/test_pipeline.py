@@ -118,3 +118,9 @@ def test_language_stage_rejects_what_no_language_explains(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
     assert kept == {r[0] for r in rows if r[0] < 300}
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one of our own only where none is named."""
+    """The folder that driver and executors share; a local one of our own only where none is named and Spark runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         found = tempfile.mkdtemp(prefix="tidewire-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -69,8 +71,12 @@ def runs(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple
         yield key, held
 
 
+#: Nodes that a partition unites at once.
+FOREST_NODES = 1 << 20
+
+
 def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over the edges of one partition: each node beside the smallest node it reaches."""
+    """Union-find over the edges of one partition, FOREST_NODES nodes at a time: each beside the smallest it reaches."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -86,6 +92,9 @@ def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
+        if len(parent) > FOREST_NODES:
+            yield from batches_of(50_000, ((x, root(x)) for x in list(parent) if root(x) != x), _EDGE)
+            parent.clear()
     yield from batches_of(50_000, ((x, root(x)) for x in list(parent) if root(x) != x), _EDGE)
 
 
