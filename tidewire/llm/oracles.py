@@ -47,3 +47,78 @@ r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
 c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.a = d.doc_id
 """
+
+# Every pair by exact similarity; MinHash finds those of the given tables.
+ORACLES["op3_line_dedup"] = r"""
+WITH RECURSIVE x AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS held FROM documents),
+l AS MATERIALIZED (SELECT doc_id, k, trim(regexp_replace(lower(held[k]), '[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), ' ') AS line FROM x, unnest(range(1, len(held) + 1)) AS g(k) WHERE doc_id IS NOT NULL),
+d AS MATERIALIZED (SELECT row_number() OVER () AS id, line FROM (SELECT DISTINCT line FROM l WHERE line <> '')),
+s AS MATERIALIZED (SELECT DISTINCT id, substr(line, i, 8) AS g FROM d, unnest(range(1, greatest(1, length(line) - 7) + 1)) AS r(i)),
+o AS (SELECT g, count(*) AS often FROM s GROUP BY g),
+n AS MATERIALIZED (SELECT id, g, count(*) OVER (PARTITION BY id) AS n, row_number() OVER (PARTITION BY id ORDER BY often, g) AS place FROM s JOIN o USING (g)),
+head AS (SELECT id, g, n FROM n WHERE 5 * place <= n + 5),
+c AS (SELECT DISTINCT a.id AS a, b.id AS b, a.n + b.n AS n FROM head a JOIN head b ON a.g = b.g AND a.id < b.id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+p AS MATERIALIZED (SELECT a, b FROM (SELECT a, b, c.n, count(*) AS shared FROM c JOIN s u ON u.id = a JOIN s v ON v.id = b AND v.g = u.g GROUP BY ALL) WHERE 9 * shared >= 4 * n),
+e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+q AS (SELECT l.doc_id, l.k, least(d.id, coalesce(m.b, d.id)) AS root FROM l JOIN d USING (line) LEFT JOIN m ON m.a = d.id),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, k, rank() OVER (PARTITION BY root ORDER BY doc_id, k) AS turn FROM q) WHERE turn > 1),
+t AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
+SELECT x.doc_id, CAST(coalesce(len(held), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(list_filter(ks, lambda k: k <= len(held))), 0) AS BIGINT) AS n_removed,
+  CASE WHEN text IS NULL THEN NULL WHEN ks IS NULL THEN sha256(text) ELSE sha256(array_to_string(list_transform(list_filter(range(1, len(held) + 1), lambda k: NOT list_contains(ks, k)), lambda k: held[k]), chr(10))) END AS kept_sha256
+FROM x LEFT JOIN t USING (doc_id)
+"""
+
+# 150 rounds, at which what is left of the first ranks is 0.85 ** 150.
+ORACLES["op5_url_filter"] = r"""
+WITH RECURSIVE p AS MATERIALIZED (SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+f AS MATERIALIZED (SELECT page_id, html, host, path, CASE WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/en/7') THEN 'example.com/en/7'
+  WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/de/8') THEN 'example.net/de/8'
+  WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/en/') THEN 'com/en/' WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/de/') THEN 'net/de/'
+  WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/es/') THEN 'org/es/' END AS rule FROM p),
+v AS MATERIALIZED (SELECT page_id, html, host, path, rule, CASE WHEN rule IN ('example.com/en/7', 'net/de/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS verdict FROM f),
+l AS (SELECT host AS src, regexp_replace(unnest(regexp_extract_all(html, '(?i)\bhref[ \t\n\x0B\f\r]*=[ \t\n\x0B\f\r]*(?:["''][^"'']*|[^ \t\n\x0B\f\r"''>]+)')), '(?i)^href[ \t\n\x0B\f\r]*=[ \t\n\x0B\f\r]*["'']?', '') AS href FROM v WHERE host <> '' AND html IS NOT NULL),
+o AS (SELECT src, CASE WHEN prefix(href, '//') THEN 'http:' || href WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href END AS target FROM l),
+j AS (SELECT src, CASE WHEN target IS NULL THEN src ELSE translate(regexp_extract(target, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS dst FROM o),
+edges AS MATERIALIZED (SELECT src, dst, count(*) AS links FROM j WHERE dst <> '' GROUP BY src, dst),
+ways AS (SELECT 'trust' AS kind, src, dst, links FROM edges UNION ALL SELECT 'distrust', dst, src, links FROM edges),
+seeds AS (SELECT 'trust' AS kind, host, count(*) AS n FROM v WHERE host <> '' AND verdict = 'allow' GROUP BY host UNION ALL SELECT 'distrust', host, count(*) FROM v WHERE host <> '' AND verdict = 'block' GROUP BY host),
+home AS MATERIALIZED (SELECT kind, host, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY kind) AS rank FROM seeds),
+hosts AS (SELECT src AS host FROM edges UNION SELECT dst FROM edges UNION SELECT host FROM home),
+moves AS MATERIALIZED (SELECT kind, src, dst, CAST(links AS DOUBLE) / sum(links) OVER (PARTITION BY kind, src) AS share FROM ways
+  UNION ALL SELECT kind, host, host, 1.0 FROM hosts, (VALUES ('trust'), ('distrust')) AS x(kind) WHERE NOT EXISTS (SELECT 1 FROM ways WHERE ways.kind = x.kind AND ways.src = hosts.host)),
+r(k, kind, host, rank) AS (SELECT 0, kind, host, rank FROM home UNION ALL
+  SELECT k + 1, kind, host, sum(rank) FROM (
+    SELECT r.k, r.kind, moves.dst AS host, 0.85 * r.rank * moves.share AS rank FROM r JOIN moves ON moves.kind = r.kind AND moves.src = r.host WHERE r.k < 150
+    UNION ALL SELECT n.k, home.kind, home.host, 0.15 * home.rank FROM home, (SELECT max(k) AS k FROM r) AS n WHERE n.k < 150) GROUP BY k, kind, host),
+scores AS (SELECT host, coalesce(sum(rank) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS distrust FROM r WHERE k = 150 GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN distrust > 0 AND distrust >= 0.5 * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict, round(CASE WHEN trust + distrust > 0 THEN distrust / (trust + distrust) END, 3) AS distrust_share
+FROM v LEFT JOIN scores USING (host)
+"""
+
+ORACLES["op8_mixing"] = r"""
+WITH RECURSIVE c AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
+s AS MATERIALIZED (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens, count(*) AS n_docs FROM c GROUP BY source HAVING sum(n_tokens) > 0),
+t AS MATERIALIZED (SELECT CAST(sum(tokens) AS BIGINT) AS total, count(*) AS n, list(CAST(tokens AS DOUBLE)) AS held FROM s),
+wide(step, low, high) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) UNION ALL
+  SELECT step + 1, CASE WHEN fits THEN mid ELSE low END, CASE WHEN fits THEN high ELSE mid END FROM (
+    SELECT step, low, high, mid, ln(list_sum(p)) - list_sum(list_transform(p, lambda x: x * ln(x))) / list_sum(p) >= 0.95 * ln(n) AS fits FROM (
+      SELECT step, low, high, (low + high) / 2 AS mid, n, list_transform(held, lambda x: pow(x / total, (low + high) / 2)) AS p FROM wide, t WHERE step < 24))),
+seldom(step, low, high) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) UNION ALL
+  SELECT step + 1, CASE WHEN fits THEN low ELSE mid END, CASE WHEN fits THEN mid ELSE high END FROM (
+    SELECT step, low, high, mid, total * list_max(list_transform(held, lambda x: pow(x / total, mid) / x)) / list_sum(list_transform(held, lambda x: pow(x / total, mid))) <= 4.0 AS fits FROM (
+      SELECT step, low, high, (low + high) / 2 AS mid, total, held FROM seldom, t WHERE step < 24))),
+e AS (SELECT CASE WHEN n < 2 THEN 1.0 ELSE greatest((SELECT low FROM wide WHERE step = 24), (SELECT high FROM seldom WHERE step = 24)) END AS exponent FROM t),
+w AS (SELECT source, tokens, n_docs, total, pow(tokens / CAST(total AS DOUBLE), exponent) AS power FROM s, t, e),
+x AS (SELECT source, tokens, n_docs, total, round(power / (SELECT sum(power) FROM w), 9) AS weight FROM w),
+q AS MATERIALIZED (SELECT source, tokens, weight, CAST(floor(weight * CAST(total AS DOUBLE)) AS BIGINT) AS quota, CAST(ceil(n_docs / 4096.0) AS BIGINT) AS n_blocks FROM x),
+d AS (SELECT doc_id, source, n_tokens, tokens, weight, quota, n_blocks, md5(concat_ws(':', 'mix', source, CAST(doc_id AS VARCHAR))) AS draw FROM c JOIN q USING (source)),
+b AS MATERIALIZED (SELECT *, CAST('0x' || substr(draw, 1, 8) AS BIGINT) % n_blocks AS block FROM d),
+g AS (SELECT source, block, sum(n_tokens) AS n FROM b GROUP BY source, block),
+h AS (SELECT source, block, coalesce(sum(n) OVER (PARTITION BY source ORDER BY md5(concat_ws(':', 'mix', source, 'block', CAST(block AS VARCHAR))), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM g),
+a AS (SELECT b.*, ahead + coalesce(sum(n_tokens) OVER (PARTITION BY b.source, b.block ORDER BY draw, doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM b JOIN h ON h.source = b.source AND h.block = b.block),
+k AS (SELECT doc_id, source, n_tokens, tokens, weight, quota, place, quota // tokens + CASE WHEN place < quota % tokens THEN 1 ELSE 0 END AS copies FROM a)
+SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, weight, CAST(copies AS BIGINT) AS copies,
+  sha256(array_to_string(list_transform(range(CAST(copies AS BIGINT)), lambda i: CAST(round((i * tokens + place) / CAST(quota AS DOUBLE) * 1e9) AS BIGINT)), ',')) AS positions_sha256 FROM k WHERE copies > 0
+"""

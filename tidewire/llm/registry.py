@@ -20,6 +20,7 @@ def _remainder(n: int):
 
 
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark, exact windows only."""
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
     return found.select(
@@ -33,10 +34,14 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    """A verdict for every page; distrust_share is distrust / (trust + distrust) of its host, null where neither reaches it."""
+    found = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    both = F.col("trust") + F.col("distrust")
+    return found.select("page_id", "host", "path", "rule", "verdict", F.round(F.when(both > 0, F.col("distrust") / both), 3).alias("distrust_share"))
 
 
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; learned where crc32(doc_id) mod 5 is not 0."""
     documents = table(spark, sf_dir, "documents")
     models = language_id.fit(documents.where(_remainder(5) != 0).select("text", "lang"))
     found = language_id.identify(documents, models)
@@ -44,6 +49,7 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document; learned where crc32(doc_id) mod 4 is not 2."""
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels").where(_remainder(4) != 2))
     found = toxicity.score(documents, model)
@@ -51,29 +57,37 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document, by the digest of its text."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "start", "length", F.sha2("found", 256).alias("found_sha256"), "score", "secret")
 
 
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    """Every document of the mix; positions_sha256 is of the places of its copies in billionths, comma-joined."""
+    places = F.transform("positions", lambda p: F.round(p * 1e9).cast("long").cast("string"))
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", "n_tokens", "weight", "copies", F.sha2(F.concat_ws(",", places), 256).alias("positions_sha256"))
 
 
 def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.95."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 13 words that an earlier one has, by its digest."""
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
     return found.withColumnRenamed("kept", "kept_sha256")
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one, by its digest."""
     found = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
 def shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share three quarters of their shingles of five words."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
