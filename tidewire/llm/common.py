@@ -71,6 +71,25 @@ def runs(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple
         yield key, held
 
 
+#: A key with more than one in HOT rows is hot; so fewer than HOT keys are.
+HOT = 1000
+
+
+def join_copies(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """rows, left-joined by key with named (key, copies, ...): a row for each key of rows, and how many of rows have it.
+
+    The hot keys are broadcast, so their rows stay where they are, however many; the rows of
+    other keys meet by shuffle. Rows without a key match nothing and do not move either.
+    """
+    named = materialise(named, "named")
+    total = named.agg(F.sum("copies")).first()[0] or 0
+    hot = F.broadcast(named.where(F.col("copies") * HOT > total).drop("copies"))
+    others = named.where(F.col("copies") * HOT <= total).drop("copies")
+    keyed = rows.where("key IS NOT NULL")
+    cold = keyed.join(hot.select("key"), "key", "left_anti").join(others, "key", "left")
+    return keyed.join(hot, "key").unionByName(cold).unionByName(rows.where("key IS NULL"), allowMissingColumns=True)
+
+
 #: Nodes that a partition unites at once.
 FOREST_NODES = 1 << 20
 

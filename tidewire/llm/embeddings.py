@@ -8,12 +8,14 @@ the 8-bit forms go to every tile; the vectors themselves follow where they may l
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import connected_components, materialise
+from tidewire.llm.common import connected_components, join_copies, materialise
 
 #: Vectors of a tile, about. A product of two tiles runs in strips of STRIP rows.
 TILE = 4096
@@ -54,29 +56,38 @@ class _Forest:
             self.up[max(x, y)] = min(x, y)
 
 
+def candidates(q: np.ndarray, scale: np.ndarray, lost: np.ndarray, n_left: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b), a strip at a time, of all pairs of the first n_left with the others that may reach the threshold; with themselves if all are left.
+
+    The product of two strips is compared once with the loosest bound of each row; what passes
+    is held to the bound of its pair.
+    """
+    wide = np.float32 if q.shape[1] * 127**2 < 1 << 24 else np.float64  # sums of products stay exact
+    q, n = q.astype(wide), len(q)
+    alone = n_left == n
+    first = 0 if alone else n_left
+    q_right, s_right, e_right = q[first:].T.copy(), scale[first:].astype(wide), lost[first:]
+    for at in range(0, n_left, STRIP):
+        strip = slice(at, min(at + STRIP, n_left))
+        about = q[strip] @ q_right
+        about *= s_right
+        loosest = lost[strip] + e_right.max() + lost[strip] * e_right.max() + 1e-5
+        a, b = np.nonzero(about >= ((threshold - loosest) / scale[strip]).astype(wide)[:, None])
+        e_a, e_b = lost[strip][a], e_right[b]
+        ok = about[a, b] * scale[strip][a] >= threshold - (e_a + e_b + e_a * e_b) - 1e-5
+        a, b = at + a[ok], first + b[ok]
+        yield (a[b > a], b[b > a]) if alone else (a, b)
+
+
 def link_tiles(ids: np.ndarray, copies: np.ndarray, raw: np.ndarray, n_left: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(links, root place) of each vector, from pairs of the first n_left with the others; with themselves if all are left.
 
     links counts the rows that the linked vectors stand for (`copies`).
     """
     norm = np.sqrt(np.einsum("ij,ij->i", raw, raw))
-    q, scale, lost = quantise(raw / norm[:, None])
-    wide = np.float32 if raw.shape[1] * 127**2 < 1 << 24 else np.float64  # sums of products stay exact
-    q = q.astype(wide)
     n = len(ids)
-    alone = n_left == n
-    right = np.arange(n) if alone else np.arange(n_left, n)
     links, forest = np.zeros(n, np.int64), _Forest(n)
-    q_right, s_right, e_right = q[right].T.copy(), scale[right], lost[right]
-    for at in range(0, n_left, STRIP):
-        strip = np.arange(at, min(at + STRIP, n_left))
-        about = (q[strip] @ q_right) * (scale[strip][:, None] * s_right).astype(np.float32)
-        a, b = np.nonzero(about >= threshold - (lost[strip].max() + e_right.max() + lost[strip].max() * e_right.max()) - 1e-5)
-        if alone:
-            a, b = a[right[b] > strip[a]], b[right[b] > strip[a]]
-        e_a, e_b = lost[strip][a], e_right[b]
-        ok = about[a, b] >= threshold - (e_a + e_b + e_a * e_b) - 1e-5
-        a, b = strip[a[ok]], right[b[ok]]
+    for a, b in candidates(*quantise(raw / norm[:, None]), n_left, threshold):
         for k in range(0, len(a), PAIRS):
             x, y = a[k : k + PAIRS], b[k : k + PAIRS]
             exact = np.einsum("ij,ij->i", raw[x], raw[y]) / (norm[x] * norm[y]) >= threshold
@@ -88,21 +99,9 @@ def link_tiles(ids: np.ndarray, copies: np.ndarray, raw: np.ndarray, n_left: int
 
 def may_link(q: np.ndarray, scale: np.ndarray, lost: np.ndarray, n_left: int, threshold: float) -> np.ndarray:
     """Which vectors may link with another: of the first n_left with one of the others, or of all if all are left."""
-    wide = np.float32 if q.shape[1] * 127**2 < 1 << 24 else np.float64  # sums of products stay exact
-    q, n = q.astype(wide), len(q)
-    alone = n_left == n
-    right = np.arange(n) if alone else np.arange(n_left, n)
-    q_right, s_right, e_right = q[right].T.copy(), scale[right], lost[right]
-    found = np.zeros(n, bool)
-    for at in range(0, n_left, STRIP):
-        strip = np.arange(at, min(at + STRIP, n_left))
-        about = (q[strip] @ q_right) * (scale[strip][:, None] * s_right).astype(np.float32)
-        e = lost[strip][:, None]
-        near = about >= threshold - (e + e_right + e * e_right) - 1e-5
-        if alone:
-            near[np.arange(len(strip)), strip] = False
-        found[strip] |= near.any(axis=1)
-        found[right] |= near.any(axis=0)
+    found = np.zeros(len(q), bool)
+    for a, b in candidates(q, scale, lost, n_left, threshold):
+        found[a] = found[b] = True
     return found
 
 
@@ -188,6 +187,6 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     components = connected_components(found.select("id", "root"))
     each = groups.select("key", "id", "copies").join(counts, "id", "left").join(components.withColumnRenamed("node", "id"), "id", "left")
-    each = each.select("key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    whole = rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("key")).alias("key")).join(each, "key", "left")
+    each = each.select("key", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    whole = join_copies(rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("key")).alias("key")), each)
     return whole.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
