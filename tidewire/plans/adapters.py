@@ -29,7 +29,7 @@ WITH base AS (SELECT event_id AS seq, concat('txn-', CAST(user_id AS {S})) AS ti
   event_type, props, event_id % 5 AS r5, event_id % 3 AS r3 FROM {events}),
 cnt AS (SELECT *, sum(CASE WHEN kind = 'INIT' THEN 1 ELSE 0 END) OVER (PARTITION BY tid ORDER BY seq ROWS UNBOUNDED PRECEDING) AS inits,
   min(CASE WHEN kind = 'INIT' THEN seq END) OVER (PARTITION BY tid) AS first_init FROM base),
-pid AS (SELECT tid, row_number() OVER (ORDER BY first_init) AS pid FROM (SELECT DISTINCT tid, first_init FROM cnt WHERE first_init IS NOT NULL) z)
+{PID}
 SELECT c.seq, c.tid, c.kind, c.event_type AS topic, c.props AS value,
  CASE WHEN c.kind IN ('ADD', 'END') THEN CASE WHEN c.inits > 0 THEN p.pid ELSE -1 END END AS claimed_pid,
  CASE WHEN c.kind IN ('ADD', 'END') THEN CAST(greatest(c.inits, 1) - 1 - CASE WHEN c.r5 = 0 THEN 1 ELSE 0 END AS INT) END AS claimed_epoch,
@@ -37,6 +37,12 @@ SELECT c.seq, c.tid, c.kind, c.event_type AS topic, c.props AS value,
 FROM cnt c LEFT JOIN pid p ON c.tid = p.tid
 """
 
+#: Producer ids in order of first_init, numbered within ranges of it, so that no task sees all ids.
+PID = """ids AS (SELECT DISTINCT tid, first_init, CAST(floor(first_init / 65536) AS BIGINT) AS part FROM cnt WHERE first_init IS NOT NULL),
+sizes AS (SELECT part, count(*) AS n FROM ids GROUP BY part),
+starts AS (SELECT part, CAST(sum(n) OVER (ORDER BY part) - n AS BIGINT) AS start FROM sizes),
+pid AS (SELECT i.tid, row_number() OVER (PARTITION BY i.part ORDER BY i.first_init) + s.start AS pid FROM ids i JOIN starts s ON i.part = s.part)"""
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
@@ -58,5 +64,5 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log, with the generator's own producer ids as assigned_pid for the streaming form."""
-    log = spark.sql(LOG.replace("{S}", "STRING"), events=_events(spark, sf_dir))
+    log = spark.sql(LOG.replace("{PID}", PID).replace("{S}", "STRING"), events=_events(spark, sf_dir))
     return log.withColumnsRenamed({"tid": "transactional_id", "pid": "assigned_pid"}).withColumn("assigned_pid", F.col("assigned_pid").cast("long"))

@@ -3,7 +3,8 @@
 from tidewire.plans.adapters import LOG, RECORDS
 
 _R = RECORDS.replace("{S}", "VARCHAR").replace("{MS}", "(epoch_us(ts) // 1000)").replace("{events}", "events")
-_L = LOG.replace("{S}", "VARCHAR").replace("{events}", "events")
+_PID = "pid AS (SELECT tid, row_number() OVER (ORDER BY first_init) AS pid FROM (SELECT DISTINCT tid, first_init FROM cnt WHERE first_init IS NOT NULL) z)"
+_L = LOG.replace("{PID}", _PID).replace("{S}", "VARCHAR").replace("{events}", "events")
 _M = f"WITH m AS MATERIALIZED ({_R}), "
 _SAFE = "regexp_replace(topic, '^\\.\\./', '')"
 
