@@ -22,14 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Write df as a table of the shared folder and read it again.
+def materialise(df: DataFrame, what: str, **options) -> DataFrame:
+    """Write df as a table of the shared folder, with the writer's options, and read it again.
 
     This cuts the lineage: a lost executor costs the tasks it ran, never the steps before.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewire-{uuid.uuid4().hex}/{what}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, embeddings, language_id, lines, mixing, ngram_join, secrets, substrings, toxicity, url_filter
+from tidewire.llm import decontaminate, embeddings, language_id, lines, mixing, ngram_join, packing, secrets, substrings, toxicity, url_filter
 from tidewire.llm.common import table
 from tidewire.llm.oracles import ORACLES
 
@@ -91,6 +91,14 @@ def shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 4,096 tokens, by the digest of their ids."""
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_embedding_dedup": embedding_groups,
     "op2_decontamination": contamination,
@@ -102,4 +110,5 @@ QUERIES = {
     "op8_mixing": mixture,
     "op9_language_id": language,
     "op10_substring_dedup": substring_dedup,
+    "op13_packing": packed,
 }
