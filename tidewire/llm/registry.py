@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, embeddings, language_id, lines, mixing, ngram_join, packing, secrets, substrings, toxicity, url_filter
+from tidewire.llm import collocations, conversations, decontaminate, embeddings, language_id, lines, mixing, ngram_join, packing, secrets, substrings, toxicity, url_filter
 from tidewire.llm.common import table
 from tidewire.llm.oracles import ORACLES
 
@@ -91,6 +91,21 @@ def shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What it takes to repair every conversation once it is damaged; one that lost all its rows has no faults."""
+    given = table(spark, sf_dir, "conversations")
+    found = conversations.audit(conversations.damage(given)).withColumnRenamed("conv_id", "found_id")
+    ids = given.select(F.col("conv_id").cast("long")).distinct()
+    both = ids.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")) & F.col("audit").isNotNull(), "left")
+    none = F.sha2(F.lit(""), 256)
+    return both.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in conversations.COUNTS), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", none).alias("repaired_sha256"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language by the score of their weakest cut."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 4,096 tokens, by the digest of their ids."""
     import public_tokenizers
@@ -110,5 +125,7 @@ QUERIES = {
     "op8_mixing": mixture,
     "op9_language_id": language,
     "op10_substring_dedup": substring_dedup,
+    "op11_conversation_repair": repairs,
+    "op12_collocations": phrases,
     "op13_packing": packed,
 }
