@@ -47,10 +47,21 @@ def test_words_have_the_ids_of_the_text():
 
     whole, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH, True)
     rng = random.Random(1)
-    parts = ["a", "B", "é", "é", "́", " ", "\t", "\n", "\x0b", "\x1c", "\x85", " ", " ", "‍", "'s", "'LL", "1", "²", "<|endoftext|>", "<|ENDOFTEXT|>", "Σ", "İ", "字", "\U0001f600", "-", "\x00", "'", "ﬁ"]
-    for _ in range(3000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randrange(25)))
-        assert np.frombuffer(encoder(text), "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    parts = ["a", "B", "é", "é", "́", " ", "\t", "\n", "\x0b", "\x1c", "\x85", " ", " ", "‍", "'s", "'LL", "1", "²", "<|endoftext|>", "<|ENDOFTEXT|>", "Σ", "İ", "字", "\U0001f600", "-", "\x00", "'", "ﬁ", "I", "\u0307", ".", ",", "?", "(", "×", "³", "Ł", "ab"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(50)]
+        for text, ids in zip(texts, encoder(texts), strict=True):
+            assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    from tokenizers import Tokenizer
+
+    places = packing.word_places
+    monkeypatch.setattr(packing, "word_places", lambda text: (places(text)[0] % np.uint64(7), *places(text)[1:]))
+    texts = ["one two three four five six seven", "", "nine two ten eleven", " twelve one. ONE!"]
+    whole = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u2").tolist() for x in packing.Encoder(PATH, True)(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @pytest.mark.parametrize(("file", "by_word", "small"), [("word_bpe_49k.json", True, True), ("byte_bpe_50k.json", False, False)])

@@ -7,19 +7,23 @@ places by their rank among those of their length.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import materialise
+from tidewire.llm.words import word_places
 
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 1 << 18
+#: Words whose ids a worker keeps, some 150 bytes each.
+KEPT_WORDS = 1 << 20
 #: Rows (24 bytes each) up to which the first ranks of the tasks are broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 1 << 20
 
@@ -87,8 +91,9 @@ class Plan:
 class Encoder:
     """Token ids of texts as bytes, 2 a token where the vocabulary allows, else 4.
 
-    by_word: the tokenizer drops ASCII white space and lets nothing reach across it, so that the
-    ids of a text are those of its words, which are looked up.
+    by_word: the tokenizer lower-cases, drops ASCII white space, lets nothing reach across it,
+    takes runs of letters and of marks apart, and marks the last token of each by </w>. The ids
+    of a text are then those of its words, which are looked up; new ones are encoded together.
     """
 
     def __init__(self, path: str, by_word: bool):
@@ -98,20 +103,81 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype(id_type(self.tokenizer.get_vocab_size()))
         self.by_word, self.known = by_word, {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
+        ids = self._ids(b" ".join(words).decode("utf-8", "replace"))
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):  # some word is several runs; none has no token
+            half = len(words) // 2
+            return self._of_words(words[:half]) + self._of_words(words[half:]) if half else [ids.tobytes()]
+        raw, stops = ids.tobytes(), (stops * self.kind.itemsize).tolist()
+        return [raw[i:j] for i, j in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words that are not known; marks at the end, which are a run of their own, go apart."""
+        missing = [w for w in words if w not in self.known]
+        if len(self.known) + len(missing) > KEPT_WORDS:
+            self.known, missing = {}, words
+        cut = {w: (w[: m.start()], m[0]) for w in missing if (m := _TAIL.search(w))}
+        new = {x for w in missing for x in cut.get(w, (w,))}.difference(self.known)
+        plain = [w for w in new if _PLAIN.fullmatch(w)]
+        for k in range(0, len(plain), 1000):
+            self.known.update(zip(plain[k : k + 1000], self._of_words(plain[k : k + 1000]), strict=True))
+        for w in new.difference(plain):
+            self.known[w] = self._ids(w.decode("utf-8", "replace")).tobytes()
+        self.known.update({w: self.known[a] + self.known[b] for w, (a, b) in cut.items()})
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
-            return self._ids([text])[0]
-        words = text.encode("utf-8", "replace").split()
-        if new := list(set(words).difference(self.known)):
-            if len(self.known) + len(new) > KEPT_WORDS:
-                self.known = {}
-                new = list(set(words))
-            self.known.update(zip(new, self._ids([w.decode("utf-8", "replace") for w in new]), strict=True))
-        return b"".join(map(self.known.__getitem__, words))
+            return [self._ids(x).tobytes() for x in texts]
+        raws = [x.encode("utf-8", "replace") for x in texts]
+        # Case matters in special tokens alone.
+        whole = b"\n".join(x if b"<|" in x else x.lower() for x in raws)
+        hashes, start, end = word_places(whole)
+        _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        size = end - start
+        if not self._same(whole, start, size, first[word]):  # two words of one hash: tell them apart by themselves
+            number: dict[bytes, int] = {}
+            word = np.array([number.setdefault(w, len(number)) for w in whole.split()])
+            first = np.unique(word, return_index=True)[1]
+        words = [whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        self._learn(words)
+        found = [self.known[w] for w in words]
+        ids = np.frombuffer(b"".join(found), self.kind)
+        n = np.array([len(x) for x in found], np.int64) // self.kind.itemsize
+        counts = n[word]
+        ids = ids[np.repeat((np.cumsum(n) - n)[word] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
+        last = np.searchsorted(start, np.cumsum([len(x) + 1 for x in raws]))
+        stops = np.concatenate(([0], np.cumsum(counts)))[last].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    @staticmethod
+    def _same(whole: bytes, start: np.ndarray, size: np.ndarray, like: np.ndarray) -> bool:
+        """Whether each word has the bytes of the word `like`."""
+        if (size != size[like]).any():
+            return False
+        raw, step = np.frombuffer(whole, np.uint8), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        return bool((raw[np.repeat(start, size) + step] == raw[np.repeat(start[like], size) + step]).all())
+
+
+#: Marks at the end of a word, which are a token run of their own behind a letter or digit.
+_TAIL = re.compile(rb"(?<=[A-Za-z0-9])[.,;:!?]+\Z")
+#: Words that are most likely one run: letters of ASCII and of other two-byte characters.
+_PLAIN = re.compile(rb"(?:[A-Za-z]|[\xc3-\xc9][\x80-\xbf])+")
+
+
+@functools.cache
+def encoder(path: str, by_word: bool) -> Encoder:
+    """One for a worker, which keeps its words from task to task."""
+    return Encoder(path, by_word)
 
 
 def id_type(vocabulary: int) -> str:
@@ -121,6 +187,20 @@ def id_type(vocabulary: int) -> str:
 _IDS = pa.schema([("task", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("fulls", pa.int64()), ("bin", pa.int32()), ("nth", pa.int64())])
 
 
+#: Bytes of text encoded together.
+TOGETHER = 8 << 20
+
+
+def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch (doc_id, text) in slices of some TOGETHER bytes."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TOGETHER, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def tokenized(documents: DataFrame, tokenizer: str, length: int, end_id: int, by_word: bool) -> DataFrame:
     """A row for each document: its ids with end_id behind them, and its rank within its task.
 
@@ -129,18 +209,17 @@ def tokenized(documents: DataFrame, tokenizer: str, length: int, end_id: int, by
     """
 
     def encode(batches):
-        encoder = Encoder(tokenizer, by_word)
-        end, width = np.array([end_id], encoder.kind).tobytes(), encoder.kind.itemsize
+        encoded = encoder(tokenizer, by_word)
+        end, width = np.array([end_id], encoded.kind).tobytes(), encoded.kind.itemsize
         task, fulls, seen = TaskContext.get().partitionId(), 0, np.zeros(length, np.int64)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder(text.as_py() or "") + end
-                n = len(ids) // width
-                rows.append((task, doc_id, ids, n, fulls, n % length, int(seen[n % length])))
-                fulls += n // length
-                seen[n % length] += 1
-            if rows:
+            for some in _some(batch):
+                rows = []
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoded([x or "" for x in some.column(1).to_pylist()]), strict=True):
+                    n = len(ids) // width + 1
+                    rows.append((task, doc_id, ids + end, n, fulls, n % length, int(seen[n % length])))
+                    fulls += n // length
+                    seen[n % length] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _IDS, strict=True)], schema=_IDS)
 
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -200,7 +279,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int =
     no pieces; other columns are left alone.
     """
     spark = documents.sparkSession
-    kind = np.dtype(id_type(_vocabulary(tokenizer)))
+    kind = encoder(tokenizer, by_word).kind
     ids = materialise(tokenized(documents, tokenizer, length, end_id, by_word), "ids", compression="zstd")
     # Ranks over all tasks: what each task has of each length, summed over the tasks before it.
     rests = ids.where("bin > 0").groupBy("task", "bin").agg(F.count("*").alias("n"))
@@ -224,12 +303,6 @@ def pack(documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int =
     return ranked.mapInArrow(place, PIECES)
 
 
-def _vocabulary(tokenizer: str) -> int:
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(tokenizer).get_vocab_size()
-
-
 _SEQUENCES = pa.schema([("sequence_id", pa.int64()), ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))])
 
 
