@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tidewire.session import configure
+from tidewire.operators.transactions import running_total
+from tidewire.session import configure, materialise
 from tidewire.sources.messages import normalize_messages
 
 ALLOWED = ["click", "purchase", "view"]
@@ -23,27 +25,6 @@ SELECT event_id AS seq, CAST(floor(event_id / 10) AS BIGINT) AS request_id,
 FROM {events}
 """
 
-LOG = """
-WITH base AS (SELECT event_id AS seq, concat('txn-', CAST(user_id AS {S})) AS tid,
-  CASE event_type WHEN 'signup' THEN 'INIT' WHEN 'view' THEN 'ADD' WHEN 'error' THEN 'END' ELSE 'MSG' END AS kind,
-  event_type, props, event_id % 5 AS r5, event_id % 3 AS r3 FROM {events}),
-cnt AS (SELECT *, sum(CASE WHEN kind = 'INIT' THEN 1 ELSE 0 END) OVER (PARTITION BY tid ORDER BY seq ROWS UNBOUNDED PRECEDING) AS inits,
-  min(CASE WHEN kind = 'INIT' THEN seq END) OVER (PARTITION BY tid) AS first_init FROM base),
-{PID}
-SELECT c.seq, c.tid, c.kind, c.event_type AS topic, c.props AS value,
- CASE WHEN c.kind IN ('ADD', 'END') THEN CASE WHEN c.inits > 0 THEN p.pid ELSE -1 END END AS claimed_pid,
- CASE WHEN c.kind IN ('ADD', 'END') THEN CAST(greatest(c.inits, 1) - 1 - CASE WHEN c.r5 = 0 THEN 1 ELSE 0 END AS INT) END AS claimed_epoch,
- CASE WHEN c.kind = 'END' THEN c.r3 <> 0 END AS is_commit, p.pid AS pid
-FROM cnt c LEFT JOIN pid p ON c.tid = p.tid
-"""
-
-#: Producer ids in order of first_init, numbered within ranges of it, so that no task sees all ids.
-PID = """ids AS (SELECT DISTINCT tid, first_init, CAST(floor(first_init / 65536) AS BIGINT) AS part FROM cnt WHERE first_init IS NOT NULL),
-sizes AS (SELECT part, count(*) AS n FROM ids GROUP BY part),
-starts AS (SELECT part, CAST(sum(n) OVER (ORDER BY part) - n AS BIGINT) AS start FROM sizes),
-pid AS (SELECT i.tid, row_number() OVER (PARTITION BY i.part ORDER BY i.first_init) + s.start AS pid FROM ids i JOIN starts s ON i.part = s.part)"""
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -63,6 +44,31 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log, with the generator's own producer ids as assigned_pid for the streaming form."""
-    log = spark.sql(LOG.replace("{PID}", PID).replace("{S}", "STRING"), events=_events(spark, sf_dir))
-    return log.withColumnsRenamed({"tid": "transactional_id", "pid": "assigned_pid"}).withColumn("assigned_pid", F.col("assigned_pid").cast("long"))
+    """The log as LOG has it, with the generator's own producer ids as assigned_pid for the streaming form; derived once, and written.
+
+    Producer ids number the ids in order of their first INIT, within ranges of it and then over
+    the ranges, so that no task sees all ids.
+    """
+    events = _events(spark, sf_dir)
+    kind = F.when(F.col("event_type") == "signup", "INIT").when(F.col("event_type") == "view", "ADD").when(F.col("event_type") == "error", "END").otherwise("MSG")
+    firsts = materialise(events.where("event_type = 'signup'").groupBy("user_id").agg(F.min("event_id").alias("first")).withColumn("part", F.floor(F.col("first") / F.lit(1 << 16))), "firsts")
+    offsets = running_total(firsts.groupBy("part").agg(F.count("*").alias("n")), "part", "n").select("part", "before")
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("first"))
+    pids = firsts.withColumn("k", rank).join(offsets, "part").select("user_id", (F.col("before") + F.col("k")).cast("long").alias("assigned_pid"))
+    seen = F.count_if(F.col("kind") == "INIT").over(Window.partitionBy("user_id").orderBy("event_id"))
+    rows = events.withColumn("kind", kind).withColumn("inits", seen).join(pids, "user_id", "left")
+    asks = F.col("kind").isin("ADD", "END")
+    return materialise(
+        rows.select(
+            F.col("event_id").alias("seq"),
+            F.concat(F.lit("txn-"), F.col("user_id").cast("string")).alias("transactional_id"),
+            "kind",
+            F.col("event_type").alias("topic"),
+            F.col("props").alias("value"),
+            F.when(asks, F.when(F.col("inits") > 0, F.col("assigned_pid")).otherwise(F.lit(-1))).alias("claimed_pid"),
+            F.when(asks, F.greatest("inits", F.lit(1)) - 1 - (F.col("event_id") % 5 == 0).cast("int")).cast("int").alias("claimed_epoch"),
+            F.when(F.col("kind") == "END", F.col("event_id") % 3 != 0).alias("is_commit"),
+            "assigned_pid",
+        ),
+        "log",
+    )

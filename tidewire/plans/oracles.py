@@ -1,10 +1,21 @@
 """DuckDB SQL for the registered queries."""
 
-from tidewire.plans.adapters import LOG, RECORDS
+from tidewire.plans.adapters import RECORDS
 
 _R = RECORDS.replace("{S}", "VARCHAR").replace("{MS}", "(epoch_us(ts) // 1000)").replace("{events}", "events")
-_PID = "pid AS (SELECT tid, row_number() OVER (ORDER BY first_init) AS pid FROM (SELECT DISTINCT tid, first_init FROM cnt WHERE first_init IS NOT NULL) z)"
-_L = LOG.replace("{PID}", _PID).replace("{S}", "VARCHAR").replace("{events}", "events")
+_L = """
+WITH base AS (SELECT event_id AS seq, concat('txn-', CAST(user_id AS VARCHAR)) AS tid,
+  CASE event_type WHEN 'signup' THEN 'INIT' WHEN 'view' THEN 'ADD' WHEN 'error' THEN 'END' ELSE 'MSG' END AS kind,
+  event_type, props, event_id % 5 AS r5, event_id % 3 AS r3 FROM events),
+cnt AS (SELECT *, sum(CASE WHEN kind = 'INIT' THEN 1 ELSE 0 END) OVER (PARTITION BY tid ORDER BY seq ROWS UNBOUNDED PRECEDING) AS inits,
+  min(CASE WHEN kind = 'INIT' THEN seq END) OVER (PARTITION BY tid) AS first_init FROM base),
+pid AS (SELECT tid, row_number() OVER (ORDER BY first_init) AS pid FROM (SELECT DISTINCT tid, first_init FROM cnt WHERE first_init IS NOT NULL) z)
+SELECT c.seq, c.tid, c.kind, c.event_type AS topic, c.props AS value,
+ CASE WHEN c.kind IN ('ADD', 'END') THEN CASE WHEN c.inits > 0 THEN p.pid ELSE -1 END END AS claimed_pid,
+ CASE WHEN c.kind IN ('ADD', 'END') THEN CAST(greatest(c.inits, 1) - 1 - CASE WHEN c.r5 = 0 THEN 1 ELSE 0 END AS INT) END AS claimed_epoch,
+ CASE WHEN c.kind = 'END' THEN c.r3 <> 0 END AS is_commit, p.pid AS pid
+FROM cnt c LEFT JOIN pid p ON c.tid = p.tid
+"""
 _M = f"WITH m AS MATERIALIZED ({_R}), "
 _SAFE = "regexp_replace(topic, '^\\.\\./', '')"
 

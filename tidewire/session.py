@@ -1,6 +1,6 @@
 """Session settings that the operators rely on, in one place."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,3 +22,10 @@ def scratch(spark: SparkSession, what: str) -> str:
         shared = tempfile.mkdtemp(prefix="tidewire-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/tidewire-{uuid.uuid4().hex}/{what}"
+
+
+def materialise(df: DataFrame, what: str) -> DataFrame:
+    """Write df to the shared folder and read it again: what follows uses it often, and no executor's loss undoes it."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
