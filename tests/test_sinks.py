@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import render as R
 from tidewire.sinks import http
-from tidewire.sinks.files import RawSource, open_sink, publish, read_published, write_by_topic, write_text
+from tidewire.sinks.files import RawSource, open_sink, split_pattern, write_by_topic, write_text
+from tidewire.sinks.published import publish, read_published
 from tidewire.sources.messages import MESSAGE
 from tidewire.streaming.pipeline import run_pipeline
 
@@ -95,7 +96,23 @@ def test_raw_bytes_of_a_stream(spark, tmp_path):
     stream = spark.readStream.schema("payload binary").parquet(str(tmp_path / "in"))
     for state in ("one", "two"):  # the second run replays the batch
         stream.writeStream.format("raw_bytes").option("checkpointLocation", str(tmp_path / state)).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "out").iterdir())) == b"a\0b"
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("batch-*"))) == b"a\0b"
+
+
+def test_a_commit_of_raw_bytes_lists_no_other_batch(tmp_path, monkeypatch):
+    from pyarrow import fs
+
+    from tidewire.sinks.files import RawStreamWriter
+
+    writer = RawStreamWriter(str(tmp_path / "out"), ["route", "payload"])
+    for k in range(30):
+        writer.commit([writer.write([("a/b", bytearray(f"{k};".encode()))]), None], k)
+    monkeypatch.setattr(fs, "FileSelector", lambda *a, **b: (_ for _ in ()).throw(AssertionError("listed")))
+    writer.commit([writer.write([("a/b", bytearray(b"new;")), ("c", bytearray(b"x"))])], 29)
+    writer.abort([writer.write([("a/b", bytearray(b"gone"))])], 30)
+    monkeypatch.undo()
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "out/a/b").iterdir())) == b"".join(f"{k};".encode() for k in range(29)) + b"new;"
+    assert [p.read_bytes() for p in (tmp_path / "out/c").iterdir()] == [b"x"]
 
 
 def test_text_is_verbatim(spark, tmp_path):
@@ -120,25 +137,34 @@ def test_routes_hold_the_bytes_in_order(spark, tmp_path):
     assert held(tmp_path / "one") == b"".join(f"{k}\n".encode() for k in range(60))
 
 
+def test_patterns(spark, tmp_path):
+    df = spark.createDataFrame([(1, "../clicks", None, bytearray(b"c;")), (2, "views", None, bytearray(b"v;"))], PAYLOADS)
+    held = lambda: {str(p.parent.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("part-*")}
+    for pattern in ("{topic}/{topic}.log", "deep/x-{topic}/y/{topic}-{topic}", "{topic}.log"):
+        open_sink(f"{tmp_path}/{pattern}").write(df)
+    assert held() == {w.replace("T", t): b for t, b in (("clicks", b"c;"), ("views", b"v;")) for w in ("T/T.log", "deep/x-T/y/T-T", "T.log")}
+    assert [split_pattern(x) for x in ("{topic}.log", "/{topic}", "a/b-{topic}/c/{topic}", "s3a://x/{topic}")] == [("", "{topic}.log"), ("/", "{topic}"), ("a", "b-{topic}/c/{topic}"), ("s3a://x", "{topic}")]
+
+
 def test_published_whole_or_not_at_all(spark, tmp_path):
     out = str(tmp_path / "out")
     df = spark.createDataFrame([(1, "t", "x/1", bytearray(b"a")), (2, "u", "x/1", bytearray(b"b"))], PAYLOADS)
     sink = open_sink("out/{topic}/{txnID}.log", transactional=True, table=out)
     for k in (7, 7, 8):
         sink.write(df, k)
-    assert sorted((r.path, r.seq) for r in read_published(spark, out).collect()) == 2 * [("out/t/1.log", 1)] + 2 * [("out/u/1.log", 2)]
+    assert sorted((r.path, r.seq) for r in read_published(spark, out).collect()) == [("out/t/1.log", 1), ("out/u/1.log", 2)]
     broken = df.withColumn("payload", F.when(F.col("seq") == 1, F.col("payload")).otherwise(F.raise_error(F.lit("broken")).cast("binary")))
     with pytest.raises(Exception, match="broken"):
         publish(broken, out, 9)
-    assert read_published(spark, out).count() == 4
+    assert read_published(spark, out).count() == 2
     publish(df.limit(0).withColumn("path", F.lit("")), out, 10)  # an empty commit changes nothing
-    assert read_published(spark, out).count() == 4
+    assert read_published(spark, out).count() == 2
 
 
 def test_open_sink():
     assert [open_sink(x).kind for x in ("-", "https://a/b", "out/{topic}.log", "out.log", "s3a://b/c")] == ["console", "http", "pattern", "path", "path"]
     assert open_sink("{txnID}", transactional=True, table="t").kind == "pattern"
-    for dst, transactional, said in (("ftp://a/b", False, "unsupported"), ("-", True, "published to"), ("http://a", True, "published to"), ("out.log", True, "txnID"), ("{topic}", True, "txnID"), ("{txnID}", True, "table")):
+    for dst, transactional, said in (("ftp://a/b", False, "unsupported"), ("-", True, "published to"), ("http://a", True, "published to"), ("out.log", True, "txnID"), ("{topic}", True, "txnID"), ("{txnID}", True, "table"), ("x/{txnID}.log", False, "outside transactions")):
         with pytest.raises(ValueError, match=said):
             open_sink(dst, transactional)
 

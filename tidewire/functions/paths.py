@@ -1,5 +1,8 @@
 """Path-safe names for topics and transactions."""
 
+import posixpath
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +27,11 @@ def safe_segment(name: Column) -> Column:
 
 
 def resolve_path(pattern: str, topic: Column, transaction: Column | None = None) -> Column:
-    """The pattern with {txnID}, then {topic}, replaced by their safe segments."""
-    path = F.lit(pattern)
+    """The pattern with {txnID}, then {topic}, replaced by their safe segments, as the shortest path of the same meaning.
+
+    A safe segment is one name, so the pattern can be shortened beforehand; one with a scheme is left as it is.
+    """
+    path = F.lit(pattern if "://" in pattern else re.sub("^//", "/", posixpath.normpath(pattern)))
     if transaction is not None:
         path = F.replace(path, F.lit("{txnID}"), safe_segment(transaction))
     return F.replace(path, F.lit("{topic}"), safe_segment(topic))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidewire.operators.transactions import RANGE
 
 #: Outcome codes of a partition of a request: these must be these numbers.
 OK, FAILED, CORRUPT, UNKNOWN_TOPIC = 0, -1, 2, 3
@@ -63,10 +66,24 @@ def request_batches(df: DataFrame, topics: list[str]) -> DataFrame:
     return kept.groupBy("request_id").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).cast("long").alias("bytes"), F.countDistinct("topic").alias("n_topics"))
 
 
-def assemble_files(df: DataFrame) -> DataFrame:
-    """(path, content): the payloads of each path in order of seq. A preview: a path's bytes meet in one row."""
-    parts = F.array_sort(F.collect_list(F.struct("seq", "payload")))
-    return df.groupBy("path").agg(parts.alias("parts")).select("path", F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["payload"])), "")).alias("content"))
+def assemble_files(df: DataFrame, chunk_bytes: int = 1 << 20) -> DataFrame:
+    """(path, chunk, start, content): the payloads of each path in order of seq, in chunks.
+
+    start: the bytes of the path before the chunk. A payload belongs to the chunk that its own
+    first byte falls in, start div chunk_bytes; null and empty ones add nothing. Where a payload
+    starts is found from sums over ranges of seq, so neither a path nor its rows meet in one
+    task: a window has one range of it, and a row one chunk. df is read twice, once without content.
+    """
+    part = F.floor(F.col("seq") / F.lit(RANGE))
+    rows = df.select("path", "seq", F.coalesce("payload", F.lit(b"")).alias("payload")).withColumns({"part": part, "size": F.octet_length("payload").cast("long")})
+    sums = rows.groupBy("path", "part").agg(F.sum("size").alias("n"))
+    sums = sums.select("path", "part", (F.sum("n").over(Window.partitionBy("path").orderBy("part")) - F.col("n")).alias("before"))
+    within = F.sum("size").over(Window.partitionBy("path", "part").orderBy("seq")) - F.col("size")
+    placed = rows.withColumn("within", within).join(sums, ["path", "part"]).withColumn("start", F.col("before") + F.col("within"))
+    placed = placed.withColumn("chunk", F.floor(F.col("start") / F.lit(chunk_bytes)))
+    # Each byte as a character and back, since bytes cannot be joined.
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "payload"))), lambda p: F.decode(p["payload"], "ISO-8859-1")), "")
+    return placed.groupBy("path", "chunk").agg(F.min("start").alias("start"), F.encode(text, "ISO-8859-1").alias("content"))
 
 
 def path_collisions(df: DataFrame) -> DataFrame:

@@ -54,6 +54,8 @@ msg AS (SELECT seq, tid AS transactional_id, topic, value, coalesce(nt, 'OPEN')
 com AS (SELECT *, 'out/' || topic || '/' || transactional_id || '.log' AS path FROM msg WHERE outcome = 'COMMIT'),
 new AS (SELECT com.* FROM com JOIN (SELECT path, max(end_seq) AS end_seq FROM com GROUP BY path) z USING (path, end_seq)) """
 
+_CHUNKS = """b AS (SELECT *, sum(strlen(line)) OVER (PARTITION BY path ORDER BY seq) - strlen(line) AS start FROM l),
+files AS (SELECT path, CAST(start // 256 AS BIGINT) AS chunk, CAST(min(start) AS BIGINT) AS start, string_agg(line, '' ORDER BY seq) AS content FROM b GROUP BY path, start // 256)"""
 _ALLOWED = "topic IN ('click', 'purchase', 'view')"
 _BAD = "e AS (SELECT m.*, b.request_id IS NOT NULL AS parse_error, m.request_id % 23 = 0 AS failed FROM m LEFT JOIN (SELECT DISTINCT request_id, topic, part FROM m WHERE seq % 97 = 0) b ON m.request_id = b.request_id AND m.topic = b.topic AND m.part = b.part) "
 
@@ -70,7 +72,7 @@ ORACLES = {
     "render_jsonl": _jsonl() + "SELECT seq, line || chr(10) AS payload FROM line",
     "render_jsonl_b64key": _jsonl(key=True) + "SELECT seq, line || chr(10) AS payload FROM line",
     "render_jsonl_b64value": _jsonl(value=True) + "SELECT seq, line || chr(10) AS payload FROM line",
-    "render_template": _M[:-2] + " SELECT seq, concat(topic, '|', part, '|', off, '|', coalesce(k, ''), '|', coalesce(v, ''), '|', coalesce(strlen(k), -1), '|', coalesce(strlen(v), 0), '|', coalesce(ts_ms, -1), chr(10)) AS payload FROM m",
+    "render_template": _M[:-2] + " SELECT seq, concat('at ', coalesce(ts_ms, -1), ': ', topic, '/', part, '@', off, chr(9), '<', coalesce(strlen(k), -1), '>', coalesce(k, ''), '=<', coalesce(strlen(v), 0), '>', coalesce(v, ''), '%', chr(10)) AS payload FROM m",
     "topic_id": _M[:-2] + " SELECT seq, substr(sha256(topic), 1, 32) AS topic_id FROM m",
     "safe_segment": _M[:-2] + f" SELECT seq, {_SAFE} AS segment FROM m",
     "resolve_path": _M[:-2] + f" SELECT seq, 'out/' || {_SAFE} || '/' || transactional_id || '.log' AS path FROM m WHERE transactional_id IS NOT NULL",
@@ -79,7 +81,7 @@ ORACLES = {
  CASE WHEN k IS NULL THEN '' ELSE concat(chr(10), 'x-kafka-key=', base64(encode(k))) END, chr(10), 'x-kafka-offset=', off, chr(10), 'x-kafka-partition=', part, CASE WHEN ts_ms IS NULL THEN '' ELSE concat(chr(10), 'x-kafka-timestamp=', ts_ms) END, chr(10), 'x-kafka-topic=', topic) AS headers FROM m""",
     "produce_outcomes": _M + _BAD + f"SELECT request_id, topic, part, CAST(CASE WHEN NOT {_ALLOWED} THEN 3 WHEN bool_or(parse_error) THEN 2 WHEN bool_or(failed) THEN -1 ELSE 0 END AS INT) AS code, count(*) AS n FROM e GROUP BY request_id, topic, part",
     "request_batches": _M + _BAD + f"SELECT request_id, count(*) AS n, CAST(coalesce(sum(strlen(v)), 0) AS BIGINT) AS bytes, count(DISTINCT topic) AS n_topics FROM e WHERE {_ALLOWED} AND NOT parse_error GROUP BY request_id",
-    "assemble_files": _M + f"f AS (SELECT 'out/' || {_SAFE} || '.log' AS path, string_agg(concat(off, ':', coalesce(v, ''), chr(10)), '' ORDER BY seq) AS content FROM m GROUP BY 1) SELECT path, sha256(content) AS content_sha256, CAST(strlen(content) AS BIGINT) AS n_bytes FROM f",
+    "assemble_files": _M + f"l AS (SELECT 'out/' || {_SAFE} || '.log' AS path, seq, concat(off, ':', coalesce(v, ''), chr(10)) AS line FROM m), {_CHUNKS} SELECT path, chunk, start, sha256(content) AS content_sha256, CAST(strlen(content) AS BIGINT) AS n_bytes FROM files",
     "path_collisions": _M[:-2] + f" SELECT {_SAFE} AS path, string_agg(DISTINCT topic, ',' ORDER BY topic) AS names FROM m GROUP BY 1 HAVING count(DISTINCT topic) > 1",
     "producer_sessions": _T + "SELECT seq, tid AS transactional_id, pid, epoch FROM ses",
     "fence_checks": _T + "SELECT seq, tid AS transactional_id, kind, NOT valid AS fenced FROM val WHERE kind IN ('ADD', 'END')",
@@ -89,11 +91,9 @@ ORACLES = {
     "committed_messages": _T + "SELECT seq, transactional_id, topic, value FROM com",
     "aborted_messages": _T + "SELECT seq, transactional_id, outcome FROM msg WHERE outcome <> 'COMMIT'",
     "latest_commit": _T + "SELECT path, seq, end_seq FROM new",
-    "committed_files": _T + "SELECT path, string_agg(coalesce(value, '') || chr(10), '' ORDER BY seq) AS content FROM new GROUP BY path",
+    **dict.fromkeys(("committed_files", "published_batches", "stream_committed_files"), _T.rstrip() + f", l AS (SELECT path, seq, coalesce(value, '') || chr(10) AS line FROM new), {_CHUNKS} SELECT path, chunk, start, content FROM files"),
     "route_counts": _M[:-2] + f" SELECT {_SAFE} AS route, count(*) AS n FROM m GROUP BY 1",
     "validate_jsonl": _M[:-2] + " SELECT seq, CASE WHEN seq % 31 = 0 THEN 'not a JSON object' WHEN seq % 37 = 0 THEN 'missing offset; unknown field' WHEN seq % 41 = 0 THEN 'value_encoding unknown' WHEN seq % 43 = 0 THEN 'type of partition' ELSE '' END AS reasons FROM m",
-    "http_delivery": _M[:-2] + " SELECT seq, CAST(least(seq % 5 + 1, 3) AS INT) AS attempts, CAST(CASE WHEN seq % 5 <= 2 THEN 200 ELSE 503 END AS INT) AS status, seq % 5 <= 2 AS delivered, CASE WHEN seq % 5 > 2 THEN 'status 503' END AS last_error FROM m",
-    "dead_letters": _M[:-2] + " SELECT seq, hex(encode(coalesce(v, ''))) || '0A' AS payload_hex FROM m WHERE seq % 5 > 2",
     "stream_pipeline": _jsonl() + f"SELECT seq, line || chr(10) AS payload FROM line WHERE {_ALLOWED}",
     "stream_transactions": _T + "SELECT seq, transactional_id, topic, value FROM com",
 }

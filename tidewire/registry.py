@@ -12,18 +12,20 @@ from tidewire.operators import transactions as T
 from tidewire.operators.validate import validate_jsonl
 from tidewire.plans.adapters import ALLOWED, event_log, messages
 from tidewire.plans.oracles import ORACLES
-from tidewire.session import scratch
-from tidewire.sinks import http
-from tidewire.sinks.files import open_sink, publish, read_published, write_by_topic
+from tidewire.session import materialise, scratch
+from tidewire.sinks.files import open_sink, write_by_topic
+from tidewire.sinks.published import publish, read_published
 from tidewire.sources.messages import event_log as union_log
 from tidewire.sources.messages import parse_jsonl
-from tidewire.streaming.pipeline import resolve_transactions_stream, run_pipeline
+from tidewire.streaming.pipeline import resolve_transactions_stream, run_pipeline, run_transactions
 
 __all__ = ["ORACLES", "QUERIES"]
 
-TEMPLATE = "%t|%p|%o|%k|%s|%K|%S|%T\\n"
+TEMPLATE = "at %T: %t/%p@%o\\t<%K>%k=<%S>%s%%\\n"
 URL = "http://collector.example/in"
 PATH = "out/{topic}/{txnID}.log"
+#: Small, so that files of the given tables have several.
+CHUNK_BYTES = 256
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -65,31 +67,54 @@ def request_rows(s: SparkSession, d: str) -> DataFrame:
     return requests(s, d).select("seq", "url", F.hex("body").alias("body_hex"), F.array_join(entries, "\n").alias("headers"))
 
 
-def _stub(url: str, body: bytes, headers: dict, seq: int, attempt: int) -> int:
-    return 200 if attempt > seq % 5 else 503
+def _committed(s: SparkSession, d: str) -> DataFrame:
+    rows = T.committed_messages(event_log(s, d))
+    return rows.withColumn("path", resolve_path(PATH, F.col("topic"), F.col("transactional_id")))
 
 
-def delivery(s: SparkSession, d: str) -> DataFrame:
-    return http.deliver(requests(s, d), _stub, retries=2, delay=0).select("seq", "attempts", "status", "delivered", "last_error")
+def _files(published: DataFrame) -> DataFrame:
+    return M.assemble_files(published, CHUNK_BYTES).select("path", "chunk", "start", F.col("content").cast("string").alias("content"))
 
 
-def dead_letters(s: SparkSession, d: str) -> DataFrame:
-    path = scratch(s, "outcomes")
-    http.deliver(requests(s, d), _stub, retries=2, delay=0).write.parquet(path)
-    return http.split_delivered(s.read.parquet(path))[1].select("seq", F.hex("payload").alias("payload_hex"))
+def committed_files(s: SparkSession, d: str) -> DataFrame:
+    """Flagship: resolve the log, publish what is committed at once, the newest commit of each path, and show the files' chunks."""
+    table = scratch(s, "published")
+    committed = T.committed_messages(event_log(s, d))
+    open_sink(PATH, transactional=True, table=table).write(committed.withColumn("payload", R.binary()))
+    return _files(read_published(s, table))
 
 
-def _committed(s: SparkSession, d: str) -> DataFrame:
-    rows = T.committed_messages(event_log(s, d))
-    return rows.withColumn("path", resolve_path(PATH, F.col("topic"), F.col("transactional_id")))
+def published_batches(s: SparkSession, d: str) -> DataFrame:
+    """As committed_files, but transactions that end in the first half of the log are one batch, the others the next, and then the first is replayed."""
+    table = scratch(s, "published")
+    committed = materialise(T.committed_messages(event_log(s, d)).withColumn("payload", R.binary()), "committed")
+    sink = open_sink(PATH, transactional=True, table=table)
+    early = F.col("end_seq") < (committed.agg(F.max("end_seq")).first()[0] or 0) / 2
+    for batch, rows in ((0, committed.where(early)), (1, committed.where(~early)), (0, committed.where(early))):
+        sink.write(rows, batch)
+    return _files(read_published(s, table))
 
 
-def committed_files(s: SparkSession, d: str) -> DataFrame:
-    """Flagship: resolve the log, keep the newest commit of each path, publish its rows at once, and show what was published."""
-    table = scratch(s, "published")
-    newest = T.latest_commit(_committed(s, d)).withColumn("payload", R.binary())
-    open_sink(PATH, transactional=True, table=table).write(newest.drop("path"))
-    return M.assemble_files(read_published(s, table)).select("path", F.col("content").cast("string").alias("content"))
+def stream_committed_files(s: SparkSession, d: str) -> DataFrame:
+    """As committed_files, from a stream of several micro-batches: resolved in state, published batch by batch."""
+    table, state = scratch(s, "published"), scratch(s, "state")
+    _rocksdb(s)
+    run_transactions(_in_batches(s, event_log(s, d)), PATH, table, state, lambda df: df.withColumn("payload", R.binary())).awaitTermination()
+    return _files(read_published(s, table))
+
+
+def _rocksdb(s: SparkSession) -> None:
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def _in_batches(s: SparkSession, log: DataFrame) -> DataFrame:
+    """The log as a stream of three micro-batches, one behind the other in order of seq; files of a later one are younger."""
+    source = scratch(s, "in")
+    last = log.agg(F.max("seq")).first()[0] or 0
+    for k in range(3):
+        part = F.least(F.floor(3 * F.col("seq") / (last + 1)), F.lit(2))
+        log.where(part == k).repartition(4).write.mode("append").parquet(source)
+    return s.readStream.schema(log.schema).option("maxFilesPerTrigger", 4).parquet(source)
 
 
 def collisions(s: SparkSession, d: str) -> DataFrame:
@@ -99,7 +124,7 @@ def collisions(s: SparkSession, d: str) -> DataFrame:
 
 def files(s: SparkSession, d: str) -> DataFrame:
     df = R.render(messages(s, d), "template", text="%o:%s\\n").withColumn("path", resolve_path("out/{topic}.log", F.col("topic")))
-    return M.assemble_files(df).select("path", F.sha2("content", 256).alias("content_sha256"), F.octet_length("content").cast("long").alias("n_bytes"))
+    return M.assemble_files(df, CHUNK_BYTES).select("path", "chunk", "start", F.sha2("content", 256).alias("content_sha256"), F.octet_length("content").cast("long").alias("n_bytes"))
 
 
 def stream_pipeline(s: SparkSession, d: str) -> DataFrame:
@@ -119,11 +144,10 @@ def routes(s: SparkSession, d: str) -> DataFrame:
 
 
 def stream_transactions(s: SparkSession, d: str) -> DataFrame:
-    source, out, state = scratch(s, "in"), scratch(s, "out"), scratch(s, "state")
-    event_log(s, d).write.parquet(source)
-    s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = s.readStream.schema(s.read.parquet(source).schema).parquet(source)
-    resolve_transactions_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    out, state = scratch(s, "out"), scratch(s, "state")
+    _rocksdb(s)
+    resolved = resolve_transactions_stream(_in_batches(s, event_log(s, d)))
+    resolved.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return s.read.parquet(out).select("seq", "transactional_id", "topic", F.col("value").cast("string").alias("value"))
 
 
@@ -158,10 +182,10 @@ QUERIES = {
     "aborted_messages": lambda s, d: T.txn_outcomes(event_log(s, d)).where("outcome <> 'COMMIT'").select("seq", "transactional_id", "outcome"),
     "latest_commit": lambda s, d: T.latest_commit(_committed(s, d)).select("path", "seq", "end_seq"),
     "committed_files": committed_files,
+    "published_batches": published_batches,
+    "stream_committed_files": stream_committed_files,
     "route_counts": routes,
     "validate_jsonl": validated,
-    "http_delivery": delivery,
-    "dead_letters": dead_letters,
     "stream_pipeline": stream_pipeline,
     "stream_transactions": stream_transactions,
 }

@@ -1,16 +1,19 @@
-"""File sinks: text, raw bytes, one output per topic, and transactions published together."""
+"""File sinks: text, raw bytes, one output per topic, and what a destination opens."""
 
 from __future__ import annotations
 
 import contextlib
+import json
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage
 
 from tidewire.functions.paths import resolve_path, safe_segment
+from tidewire.operators.transactions import latest_commit
+from tidewire.sinks.published import publish
 
 
 def _line() -> Column:
@@ -36,24 +39,6 @@ def write_by_topic(df: DataFrame, path: str, mode: str = "append") -> None:
     routed.select("route", _line().alias("value")).write.mode(mode).partitionBy("route").text(path)
 
 
-def publish(df: DataFrame, path: str, batch_id: int) -> None:
-    """Committed rows as one batch of a published table: it appears whole or not at all.
-
-    The rows are written under a name of their own; one more row in the table's manifest, a
-    single file, publishes them. A replay of the batch is published in its place.
-    """
-    spark, name = df.sparkSession, f"batch-{batch_id}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{path}/data/{name}")
-    entry = spark.createDataFrame([(batch_id, name, time.time_ns())], "batch_id long, name string, version long")
-    entry.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
-
-
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all published batches. What a failed or replaced batch has written is not among them."""
-    newest = spark.read.parquet(f"{path}/manifest").groupBy("batch_id").agg(F.max_by("name", "version").alias("name"))
-    return spark.read.parquet(*(f"{path}/data/{r['name']}" for r in newest.orderBy("batch_id").collect()))
-
-
 class RawSource(DataSource):
     """Payload bytes verbatim, batch or stream: df.select("payload").write.format("raw_bytes").mode("append").save(path).
 
@@ -110,11 +95,9 @@ class _Raw:
             raise
         return Written(files)
 
-    def _publish(self, messages, name: str) -> None:
-        store, top = self._open()
-        for k, m in enumerate(messages):
-            for n, (route, file) in enumerate(m.files if m is not None else ()):
-                store.move(file, f"{top}/{route + '/' if route else ''}{name}-{k:05d}-{n:05d}")
+    def _named(self, messages, name: str) -> list[tuple[str, str]]:
+        """(hidden file, name below the path) of all that tasks have written."""
+        return [(file, f"{route + '/' if route else ''}{name}-{k:05d}-{n:05d}") for k, m in enumerate(messages) for n, (route, file) in enumerate(m.files if m is not None else ())]
 
     def _remove(self, messages) -> None:
         store, _ = self._open()
@@ -126,29 +109,50 @@ class _Raw:
 
 class RawWriter(_Raw, DataSourceWriter):
     def commit(self, messages) -> None:
-        self._publish(messages, f"part-{time.time_ns():020d}")
+        store, top = self._open()
+        for file, name in self._named(messages, f"part-{time.time_ns():020d}"):
+            store.move(file, f"{top}/{name}")
 
     def abort(self, messages) -> None:
         self._remove(messages)
 
 
 class RawStreamWriter(_Raw, DataSourceStreamWriter):
-    """A replayed micro-batch takes the place of what it wrote before."""
+    """A replayed micro-batch takes the place of what it wrote before.
+
+    What a batch is to publish is first written to its own file in _commits, so that neither a
+    commit nor a replay lists what other batches have written.
+    """
 
     def commit(self, messages, batchId: int) -> None:  # noqa: N803
         from pyarrow import fs
 
         store, top = self._open()
-        name = f"batch-{batchId:010d}"
-        for old in store.get_file_info(fs.FileSelector(top, allow_not_found=True, recursive=True)):
-            if old.base_name.startswith(f"{name}-"):
-                store.delete_file(old.path)
-        self._publish(messages, name)
+        log = f"{top}/_commits/{batchId:010d}"
+        if store.get_file_info(log).type != fs.FileType.NotFound:
+            with store.open_input_stream(log) as f:
+                for old in json.loads(f.read()):
+                    with contextlib.suppress(OSError):  # one that did not come so far
+                        store.delete_file(f"{top}/{old}")
+        # Names of one attempt are its own, so a broken one is found and removed.
+        moves = self._named(messages, f"batch-{batchId:010d}")
+        store.create_dir(f"{top}/_commits", recursive=True)
+        with store.open_output_stream(log) as f:
+            f.write(json.dumps([name for _, name in moves]).encode())
+        for file, name in moves:
+            store.move(file, f"{top}/{name}")
 
     def abort(self, messages, batchId: int) -> None:  # noqa: N803
         self._remove(messages)
 
 
+def split_pattern(pattern: str) -> tuple[str, str]:
+    """(folder, rest): the folders of a pattern that have no placeholder, and what is left, which names a route of any depth."""
+    start = pattern.index("{topic}")
+    folder, slash, _ = pattern[:start].rpartition("/")
+    return folder + slash if folder in ("", "/") or folder.endswith(":/") else folder, pattern[len(folder + slash) :]
+
+
 class Sink:
     """Where payloads go: console, http, pattern or path; `write(df, batch_id)` suits foreachBatch."""
 
@@ -160,26 +164,29 @@ class Sink:
         from tidewire.sinks import http
 
         if self.transactional:
-            path = resolve_path(self.dst, F.col("topic"), F.col("transactional_id"))
-            publish(df.withColumn("path", path), self.options["table"], batch_id)
+            routed = df.withColumn("path", resolve_path(self.dst, F.col("topic"), F.col("transactional_id")))
+            publish(latest_commit(routed) if "end_seq" in df.columns else routed, self.options["table"], batch_id)
         elif self.kind == "console":
             df.orderBy("seq").select(F.col("payload").cast("string")).write.format("console").option("truncate", False).save()
         elif self.kind == "http":
             http.send(http_request(df, self.dst), **self.options)
         else:
             df.sparkSession.dataSource.register(RawSource)
-            pattern = self.kind == "pattern"
-            top, _, rest = self.dst.partition("{topic}") if pattern else (self.dst, "", "")
-            route = F.concat(F.lit(top.rpartition("/")[2]), safe_segment(F.col("topic")), F.lit(rest)) if pattern else F.lit("")
-            ordered = in_order(df.where("payload IS NOT NULL"), route)
-            ordered.select(*["route"] * pattern, "payload").write.format("raw_bytes").mode("append").save(top.rpartition("/")[0] if pattern else top)
+            kept = df.where("payload IS NOT NULL")
+            if self.kind == "pattern":
+                folder, rest = split_pattern(self.dst)
+                in_order(kept, resolve_path(rest, F.col("topic"))).select("route", "payload").write.format("raw_bytes").mode("append").save(folder or ".")
+            else:
+                in_order(kept, F.lit("")).select("payload").write.format("raw_bytes").mode("append").save(self.dst)
 
 
 def open_sink(dst: str, transactional: bool = False, **options) -> Sink:
     """The sink of a destination: - (console), http(s)://, a pattern with {topic}, or a path.
 
-    Spark's storage schemes are paths. Another scheme is an error. Transactions go to files only,
-    whose pattern needs {txnID}; they are published in the table that the option `table` names.
+    Every {topic} of a pattern is replaced, and the folder that comes out holds the topic's
+    files. Spark's storage schemes are paths. Another scheme is an error. Transactions go to
+    files only, whose pattern needs {txnID}, as no other may have; they are published in the
+    table that the option `table` names. With end_seq, only the newest commit of a path is.
     Options of http: those of http.send.
     """
     storage = ("hdfs://", "s3a://", "file://", "abfss://", "gs://", "viewfs://")
@@ -190,7 +197,9 @@ def open_sink(dst: str, transactional: bool = False, **options) -> Sink:
         raise ValueError(f"unsupported scheme in {dst!r}")
     if transactional and "{txnID}" not in dst:
         raise ValueError(f"transactions would be published over one another: no {{txnID}} in {dst!r}")
+    if not transactional and "{txnID}" in dst:
+        raise ValueError(f"{{txnID}} in {dst!r} names nothing outside transactions")
     if transactional and "table" not in options:
         raise ValueError("transactions need the option table")
-    kind = "console" if dst == "-" else "http" if remote else "pattern" if "{topic}" in dst or "{txnID}" in dst else "path"
+    kind = "console" if dst == "-" else "http" if remote else "pattern" if "{topic}" in dst or transactional else "path"
     return Sink(kind, dst, transactional, options)

@@ -1,4 +1,4 @@
-"""Streaming: the capture pipeline, and transactions resolved in keyed state."""
+"""Streaming: the capture pipeline, and transactions resolved in keyed state and published."""
 
 from __future__ import annotations
 
@@ -11,8 +11,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidewire.functions.render import render
 from tidewire.operators.messages import filter_topics
+from tidewire.operators.transactions import EPOCHS
+from tidewire.sinks.files import open_sink
 
-RESOLVED = "seq long, transactional_id string, topic string, value binary"
+RESOLVED = "seq long, transactional_id string, topic string, value binary, end_seq long"
+#: Arrival numbers of a chunk of pending rows, and rows that wait before they go to their chunks.
+CHUNK, BUFFER = 1024, 16384
 
 
 def run_pipeline(stream: DataFrame, topics: list[str], fmt: str, write: Callable[[DataFrame, int], None], checkpoint: str, **options) -> StreamingQuery:
@@ -26,40 +30,93 @@ def run_pipeline(stream: DataFrame, topics: list[str], fmt: str, write: Callable
 
 
 class TransactionResolver(StatefulProcessor):
-    """Holds the rows of each open transaction; a commit releases them, an abort drops them.
+    """Holds the rows of each open transaction; a commit releases them in order of seq, an abort drops them.
 
-    INIT rows carry assigned_pid. Input is in order of seq from one micro-batch to the next.
-    ttl_ms: what an id has pending is dropped after so many milliseconds without a row; by
-    default it is kept until its transaction ends, as in a batch.
+    INIT rows carry assigned_pid. Input is in order of seq from one micro-batch to the next; in
+    a micro-batch it may be in any. Messages wait in state, a chunk for each CHUNK arrival
+    numbers; at most BUFFER of them and a chunk are in memory, and the requests of a micro-batch.
+
+    ttl_ms: a transaction that gets no row for so long is dropped as a whole at the end of the
+    next micro-batch, and so is what still comes of it up to the next terminal of its id; a
+    commit then releases nothing. By default it waits until it ends, as in a batch.
     """
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.producer = handle.getValueState("producer", "inits long, pid long, active boolean")
-        self.pending = handle.getListState("pending", "seq long, topic string, value binary", self.ttl_ms)
+        self.handle = handle
+        self.producer = handle.getValueState("producer", "inits long, pid long, active boolean, dropped boolean, timer long")
+        self.pending = handle.getMapState("pending", "chunk long", "rows array<struct<seq:long,topic:string,value:binary>>")
+
+    def _append(self, rows: list[tuple]) -> None:
+        chunks: dict[int, list] = {}
+        for row in rows:
+            chunks.setdefault(row[0] // CHUNK, []).append(row)
+        for chunk, more in chunks.items():
+            self.pending.updateValue((chunk,), (self._rows(chunk) + more,))
+
+    def _rows(self, chunk: int) -> list[tuple]:
+        """The rows of a chunk as plain tuples, the only ones that state takes."""
+        return [tuple(r) for r in self.pending.getValue((chunk,))[0]] if self.pending.containsKey((chunk,)) else []
+
+    def _chunks(self) -> list[int]:
+        return sorted(k[0] for k in self.pending.keys())
+
+    def _release(self, key, end: int, commit: bool) -> Iterator[Row]:
+        """What waits before `end`, a chunk at a time; it leaves the state."""
+        for chunk in self._chunks():
+            if chunk * CHUNK >= end:
+                break
+            rows = sorted(self._rows(chunk), key=lambda r: r[0])
+            later = [r for r in rows if r[0] >= end]
+            if later:
+                self.pending.updateValue((chunk,), (later,))
+            else:
+                self.pending.removeKey((chunk,))
+            for seq, topic, value in rows if commit else ():
+                if seq < end:
+                    yield Row(seq=seq, transactional_id=key[0], topic=topic, value=value, end_seq=end)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        inits, pid, active = self.producer.get() if self.producer.exists() else (0, None, False)
-        for r in sorted(rows, key=lambda r: r["seq"]):
+        inits, pid, active, dropped, timer = self.producer.get() if self.producer.exists() else (0, None, False, False, None)
+        requests, waiting = [], []
+        for r in rows:
             if r["kind"] == "MSG":
-                self.pending.appendValue((r["seq"], r["topic"], r["value"]))
-                continue
-            valid = inits > 0 and r["claimed_pid"] == pid and r["claimed_epoch"] == (inits - 1) % 32768
+                waiting.append((r["seq"], r["topic"], r["value"]))
+                if len(waiting) >= BUFFER:
+                    self._append(waiting)
+                    waiting = []
+            else:
+                requests.append(r)
+        self._append(waiting)
+        for r in sorted(requests, key=lambda r: r["seq"]):
+            valid = inits > 0 and r["claimed_pid"] == pid and r["claimed_epoch"] == (inits - 1) % EPOCHS
+            ends = valid and r["kind"] == "END" or r["kind"] == "INIT" and (active or dropped)
+            if ends:
+                yield from self._release(key, r["seq"], r["kind"] == "END" and r["is_commit"] and not dropped)
+                dropped = False
             if r["kind"] == "INIT":
-                if active:
-                    self.pending.clear()
                 inits, pid, active = inits + 1, r["assigned_pid"], False
-            elif r["kind"] == "ADD" and valid:
-                active = True
-            elif r["kind"] == "END" and valid:
-                active = False
-                if r["is_commit"]:
-                    for seq, topic, value in self.pending.get():
-                        yield Row(seq=seq, transactional_id=key[0], topic=topic, value=value)
-                self.pending.clear()
-        self.producer.update((inits, pid, active))
+            elif valid:
+                active = r["kind"] == "ADD"
+        waits = bool(self._chunks())
+        if dropped and waits:
+            self.pending.clear()
+        if self.ttl_ms is not None:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = None
+            if (waits or active) and not dropped:
+                timer = timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms
+                self.handle.registerTimer(timer)
+        self.producer.update((inits, pid, active, dropped, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        inits, pid, _, _, _ = self.producer.get()
+        self.pending.clear()
+        self.producer.update((inits, pid, False, True, None))
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -69,3 +126,14 @@ def resolve_transactions_stream(log: DataFrame, ttl_ms: int | None = None) -> Da
     """Committed messages of a streaming log; needs the RocksDB state store. Without ttl_ms it equals committed_messages of the whole log."""
     known = log.where("transactional_id IS NOT NULL").withColumn("value", F.col("value").cast("binary"))
     return known.groupBy("transactional_id").transformWithState(TransactionResolver(ttl_ms), RESOLVED, "append", "none" if ttl_ms is None else "processingTime")
+
+
+def run_transactions(log: DataFrame, pattern: str, table: str, checkpoint: str, fmt: Callable[[DataFrame], DataFrame], ttl_ms: int | None = None) -> StreamingQuery:
+    """Resolve a streaming log and publish what each micro-batch commits, by path, in a table for read_published.
+
+    Exactly once: state and micro-batch are those of the checkpoint, a micro-batch is published
+    by one line of the manifest, and one that comes again takes its own place. fmt adds `payload`.
+    """
+    sink = open_sink(pattern, transactional=True, table=table)
+    resolved = resolve_transactions_stream(log, ttl_ms)
+    return resolved.writeStream.foreachBatch(lambda df, k: sink.write(fmt(df), k)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
