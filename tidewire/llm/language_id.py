@@ -17,12 +17,17 @@ from pyspark.sql import functions as F
 
 #: Bytes of a segment, and segments that parse side by side; where they meet, phrases are set right.
 SEGMENT, SIDE_BY_SIDE = 2048, 4096
-LETTER = re.compile(r"[^\W\d_]")
+PLAIN_LETTER = re.compile("[A-Za-z]")
 UNDETERMINED = "und"
 #: A text of so many times its language's usual phrases, and so many more, is in no learned language.
 FAR, SPARE = 2.0, 8
 
 
+def has_letter(text: str) -> bool:
+    r"""Whether a text has a character of Unicode's category L, as \p{L} in fit: no number, mark or sign."""
+    return PLAIN_LETTER.search(text) is not None or any(map(str.isalpha, text))
+
+
 def _byte_classes() -> np.ndarray:
     """Bytes that are neither ASCII letters nor part of a non-ASCII character count as a space."""
     classes = np.full(256, 32, np.uint8)
@@ -228,7 +233,7 @@ def identify(documents: DataFrame, models: list) -> DataFrame:
         models = automata(shared.value)
         for batch in _slices(batches):
             texts = batch.column(1).to_pylist()
-            texts = [t if t and LETTER.search(t) and models else None for t in texts]
+            texts = [t if t and has_letter(t) and models else None for t in texts]
             counts, sizes = parse_counts(models, texts)
             names, scores, rates = [], [], []
             for text, row, n in zip(texts, counts, sizes, strict=True):
@@ -284,7 +289,7 @@ def keep_identified(documents: DataFrame, models: list, languages: list[str] | N
         models = automata(shared.value)
         most = np.array([FAR * (rates or {}).get(name, np.inf) for name, *_ in models])
         for batch in _slices(batches):
-            texts = [t if t and LETTER.search(t) and models else None for t in batch.column(at).to_pylist()]
+            texts = [t if t and has_letter(t) and models else None for t in batch.column(at).to_pylist()]
             names = [None] * len(texts)
             if models:
                 counts, sizes = parse_counts(models, texts)
