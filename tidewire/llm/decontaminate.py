@@ -212,8 +212,9 @@ def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int
     items (item_ids with such a window) and near_items (those with a window whose words lie
     close together), both as sorted strings without repeats. A window is `width` consecutive
     words of an item; an item of fewer words is one window, one without words or with a null
-    text or id has none. Shards are searched where they lie. Up to BLOCK_BYTES of items are broadcast at once;
-    a larger benchmark is split into blocks, and their matches are merged by document.
+    text or id has none. Shards are searched where they lie. Some BLOCK_BYTES of items are broadcast
+    at once; a larger benchmark is split into blocks, one of which after the other is searched,
+    written and taken back, and their matches are merged by document.
     """
     spark = index.sparkSession
     asked = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
@@ -232,9 +233,12 @@ def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int
                     raw = np.frombuffer(positions.as_buffer(), np.int32)
                     yield _summary(shared.value, shard, ids, starts, search(shared.value, starts, terms, term_starts, raw, slop))
 
-        parts.append(index.mapInArrow(match, MATCHES))
-    if n_blocks == 1:
-        return parts[0].drop("shard", "place")
+        found = index.mapInArrow(match, MATCHES)
+        if n_blocks == 1:
+            return found.drop("shard", "place")
+        # One block is out at a time: its matches are written, of later blocks those that there are.
+        parts.append(materialise(found if not k else found.where(F.size("spans") + F.size("near_items") > 0), "matches"))
+        shared.destroy()
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
