@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.common import materialise
 from tidewire.llm.decontaminate import words_of
 
 BITS = 18
@@ -131,8 +132,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_documents: int = 20_000) ->
     """Learn from documents (doc_id, text) and labels (doc_id, toxic).
 
     At most `max_documents` labelled rows are used, those of least hash; so many ids are
-    broadcast to the documents, and so many rows of hashed terms come to the driver. Rows with
-    a null id, text or label teach nothing. How many terms and epochs the model has is chosen by
+    broadcast to the documents, and so many rows come to the driver, each of the most telling
+    terms alone, TERMS at most, whatever its text's length. Rows with a null id, text or label teach nothing. How many terms and epochs the model has is chosen by
     cross-validation over these rows. Without labels of both kinds the score is their smoothed
     share.
     """
@@ -142,15 +143,26 @@ def fit(documents: DataFrame, labels: DataFrame, max_documents: int = 20_000) ->
     def hashed(batches):
         terms = Terms()
         for batch in batches:
-            packed = [terms(t.as_py()).tobytes() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["doc_id", "toxic", "terms"])
-
-    found = rows.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"), "text").mapInArrow(hashed, "doc_id long, toxic int, terms binary").collect()
-    found = sorted(found, key=lambda r: (r["doc_id"], r["toxic"], bytes(r["terms"])))
-    terms, toxic = [np.frombuffer(r["terms"], np.int32) for r in found], np.array([int(r["toxic"] == 1) for r in found])
+            picked = [terms(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(picked, pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms"])
+
+    of_rows = rows.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"), "text").mapInArrow(hashed, "doc_id long, toxic int, terms array<int>")
+    of_rows = materialise(of_rows.withColumn("toxic", (F.col("toxic") == 1).cast("int")), "terms")
+    best = F.array(*(F.lit(t) for t in best_terms(of_rows, max(TERMS)))).cast("array<int>")
+    found = of_rows.select("doc_id", "toxic", F.array_intersect("terms", best).alias("terms")).collect()
+    found = sorted(found, key=lambda r: (r["doc_id"], r["toxic"], r["terms"]))
+    terms, toxic = [np.array(r["terms"], np.int32) for r in found], np.array([r["toxic"] for r in found], np.int64)
     return train(terms, toxic, **choose(terms, toxic))
 
 
+def best_terms(rows: DataFrame, n_terms: int) -> list[int]:
+    """Of rows (toxic, terms), the n_terms terms of three rows or more that tell the labels apart best; of equal ones the least."""
+    n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    counts = rows.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("positive")).where("n >= 3")
+    gain = F.abs(F.col("positive") / max(positive, 1) - (F.col("n") - F.col("positive")) / max(n - positive, 1)) / F.sqrt(F.col("n") / max(n, 1))
+    return [r["term"] for r in counts.where(gain > 0).orderBy(F.desc(gain), "term").limit(n_terms).select("term").collect()]
+
+
 _OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
