@@ -41,4 +41,4 @@ def test_toxicity_of_held_out_documents(spark, oracle):
     """Few toxic documents are labelled at this scale, and some labels are noise."""
     found = registry.QUERIES["op4_toxicity"](spark, SF).toPandas()  # noqa: F841, DuckDB reads it
     counts = dict(oracle.sql("SELECT toxic, [sum(predicted), count(*)] FROM found JOIN labels USING (doc_id) WHERE held_out AND toxic IS NOT NULL GROUP BY toxic").fetchall())
-    assert counts[1][0] >= 0.5 * counts[1][1] and counts[0][0] <= 0.03 * counts[0][1]
+    assert counts[1][0] >= 0.6 * counts[1][1] and counts[0][0] <= 0.03 * counts[0][1]

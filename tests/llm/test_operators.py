@@ -4,6 +4,8 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
+import re
 
 import numpy as np
 import pytest
@@ -357,6 +359,42 @@ def test_the_forest_overrules_the_pattern(spark):
     assert all(v for (k, _), v in found.items() if k >= 300) and not any(v for (k, x), v in found.items() if "-" in x)
 
 
+def test_findings_of_held_out_documents(spark):
+    """Where the patterns contradict one another or are silent, and in documents that teach nothing, the forest alone decides."""
+    rng = random.Random(5)
+    key = lambda: "".join(rng.choice("0123456789abcdefXYZQ") for _ in range(24))
+    prose = lambda: "".join(rng.choice(["water", "stone", "river", "bridge", "garden"]) for _ in range(4))
+    texts = [(k, f"we set token={key()} there and {prose()} here, not token={prose()}, nor {key()} there") for k in range(120)]
+    found = secrets.scan(docs_of(spark, texts)).collect()
+    held = {k for k, _ in texts if zlib.crc32(str(k).encode()) % 4 == 2}
+    assert {r.doc_id for r in found if r.held_out} == held and len(held) > 15
+    wrong = [r for r in found if r.secret != (not r.found.isalpha())]
+    assert not wrong and {(r.claimed, r.secret) for r in found if r.held_out} == {(a, b) for a in (False, True) for b in (False, True)}
+
+
+def test_features_by_plain_python(spark):
+    rng, words = random.Random(8), ["stone", "river", "stones", "ver"]
+    some = lambda n: "".join(rng.choice(["stone", "river", "Stones", "ver", " ", "A", "b9", "/", ".", "7", "é", ": ", "=", '"', "pass", "\n", "_"]) for _ in range(rng.randrange(n)))
+    rows = [(k, some(8) + "x", some(9), some(9)) for k in range(400)]
+    found = secrets.with_features(spark.createDataFrame(rows, "doc_id long, found string, before string, after string"), words)
+    known = "|".join(sorted(words, key=len, reverse=True))
+
+    def spoken(text):
+        letters = re.sub("[^a-z]+", " ", text.lower())
+        left = re.sub(rf"\b(?:{known})\b", "", letters)
+        size = len(letters.replace(" ", ""))
+        return 1 - len(left.replace(" ", "")) / size if size else 0.0
+
+    for r in found.collect():
+        n, earlier = len(r.found), re.sub(r"\S+[ \t\n\v\f\r]*[:=]?[ \t\n\v\f\r]*[\"']?$", "", r.before)
+        kinds = re.sub("[0-9]+", "d", re.sub("[a-z]+", "l", re.sub("[A-Z]+", "U", r.found)))
+        want = [n, len(re.findall("[0-9]", r.found)) / n, len(re.findall("[A-Z]", r.found)) / n, len(kinds) / n, 1 - len(re.sub(known, "", r.found.lower())) / n]
+        want += [r.found.count("/") + r.found.count(".") + bool(re.search(r"(://|[/\\])\S*$", r.before)), spoken(earlier), spoken(r.after)]
+        named = "pass|pwd|secret|token|key|auth|cred|bearer"
+        want += [bool(re.search(named, earlier.lower()) or re.search(named, r.after.lower())), r.after[:1] in ('"', "'")]
+        assert [r[f] for f in secrets.FEATURES] == pytest.approx([float(x) for x in want]), r
+
+
 def test_many_candidates_in_one_text(spark):
     text = " ".join(f"{'ab' * 8}{k:05d}" for k in range(20_000))
     found = secrets.candidates(docs_of(spark, [(1, text)])).orderBy("start").collect()
@@ -505,3 +543,10 @@ def test_factorization_machine_scores_are_its_formula():
         held = [place[t] for t in row if place[t] >= 0]
         x = 0.3 + sum(model.weights[t] for t in held) + sum(model.factors[a] @ model.factors[b] for a, b in itertools.combinations(held, 2))
         assert abs(model.scores([np.array(row, np.int64)])[0] - 1 / (1 + math.exp(-x))) < 1e-12
+
+
+def test_texts_without_letters_have_no_language(spark):
+    docs = spark.createDataFrame([(k, "the water of the stone and the river " * 3, "en") for k in range(5)], "doc_id long, text string, lang string")
+    texts = ["²", "½ Ⅳ", "\u0301\u0308", "_ 12 \u0663", "\U0001f600", "ª", "ʰ", "字", "x2"]
+    found = language_id.identify(docs_of(spark, list(enumerate(texts))), language_id.fit(docs)).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in found] == ["und"] * 5 + ["en"] * 4

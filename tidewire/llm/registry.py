@@ -59,7 +59,7 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document, by the digest of its text."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "start", "length", F.sha2("found", 256).alias("found_sha256"), "score", "secret")
+    return found.select("doc_id", "start", "length", F.sha2("found", 256).alias("found_sha256"), "score", "secret", "claimed", "held_out")
 
 
 def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

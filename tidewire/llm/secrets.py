@@ -24,7 +24,7 @@ _VALUE = rf"(?:\"[^\"\n]{{{SHORTEST},128}}(?=\")|'[^'\n]{{{SHORTEST},128}}(?=')|
 GIVEN = f"{_NAME}{_VALUE}"
 #: Texts without any of these give nothing to a credential.
 HINTS = ["passw", "secret", "token", "apikey", "api_key"]
-#: Findings that are labelled as secrets by their issuer's format, or as the value given to a credential.
+#: Findings that are claimed to be secrets by their issuer's format, or as the value given to a credential.
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
 ASSIGNED = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\s*[:=]\s*[\"']?$"
 SPEAKING = r"(?i)(pass|pwd|secret|token|key|auth|cred|bearer)"
@@ -120,10 +120,26 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 
 
 def label(found: DataFrame) -> DataFrame:
-    """Findings with `label`: 1 if an issuer's format or an assignment to a credential marks them, else 0."""
+    """Findings with `label`: 1 if a pattern claims them, an issuer's format or an assignment to a credential, else 0."""
     return found.withColumn("label", (F.col("found").rlike(ISSUED) | F.col("before").rlike(ASSIGNED)).cast("double"))
 
 
+#: What denies that a finding is a secret: no digit or nothing else, the name of a host, or a word that stands for a value.
+DENIED = r"(?i)^[^0-9]*$|^[0-9.+-]*$|\.(com|org|net|io|edu|gov|html?|png|jpe?g|js|css)\b|example|sample|changeme|placeholder|dummy|your_|<|x{4}|\*{3}"
+
+
+def agreed(found: DataFrame) -> DataFrame:
+    """Findings with `label`: 1 where a pattern claims them and none denies them, 0 where it is the other way round, null where patterns contradict one another or are silent."""
+    denied = F.col("found").rlike(DENIED)
+    claimed = label(found)
+    return claimed.withColumn("label", F.when((F.col("label") == 1) & ~denied, 1.0).when((F.col("label") == 0) & denied, 0.0))
+
+
+def held_out():
+    """Documents whose findings teach nothing by default: those of crc32(doc_id as text) mod 4 = 2, and of null ids."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
+
+
 def fit(labelled: DataFrame, max_findings: int = 20_000, trees: int = 20, depth: int = 6) -> RandomForestClassificationModel | None:
     """A forest over FEATURES, from at most `max_findings` labelled findings of each label, those of least hash.
 
@@ -137,19 +153,20 @@ def fit(labelled: DataFrame, max_findings: int = 20_000, trees: int = 20, depth:
 
 
 def scan(documents: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, start, length, found, score, secret), a row for each candidate of documents (doc_id, text).
-
-    score is the forest's share for a secret; secret is score >= threshold. `labelled` has
-    findings with before, after and label; by default the documents' own candidates are
-    labelled by `label`. The forest does not see what labels them, so a value that looks like
-    prose is no secret though it is given to a password. Without both labels, the label itself
-    is the score.
+    """(doc_id, start, length, found, score, secret, claimed, held_out), a row for each candidate of documents (doc_id, text).
+
+    score is the forest's share for a secret; secret is score >= threshold; claimed is what
+    the patterns of `label` say. `labelled` has findings with before, after and label; by default
+    the forest learns from the documents' own candidates that `agreed` labels and that are not
+    held out, and decides on all: on held-out ones it has not seen, and on those where the patterns
+    contradict one another or say nothing. It does not see assignments and formats, so what looks
+    like prose is no secret though it is given to a password. Without both labels, claimed is the score.
     """
     words = dictionary(documents)
-    found = materialise(with_features(candidates(documents), words), "features")
-    model = fit(label(found) if labelled is None else with_features(labelled, words))
+    found = materialise(label(with_features(candidates(documents), words)).withColumnRenamed("label", "claim").withColumn("held_out", held_out()), "features")
+    model = fit(agreed(found).where("label IS NOT NULL AND NOT held_out") if labelled is None else with_features(labelled, words))
     if model is None:
-        scored = label(found).withColumn("score", F.col("label"))
+        scored = found.withColumn("score", F.col("claim"))
     else:
         scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "start", F.length("found").cast("long").alias("length"), "found", "score", (F.col("score") >= threshold).alias("secret"))
+    return scored.select("doc_id", "start", F.length("found").cast("long").alias("length"), "found", "score", (F.col("score") >= threshold).alias("secret"), (F.col("claim") == 1).alias("claimed"), "held_out")
