@@ -1,7 +1,8 @@
 """Delivery over real HTTP, raw bytes, routes, and publishing as a whole."""
 
+import os
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ def test_delivery_over_http(spark, server):
     out = {r.seq: r for r in http.deliver(df, retries=1, delay=0).collect()}
     assert [(out[k].attempts, out[k].delivered) for k in range(5)] == [(1, True), (2, True), (2, False), (2, False), (2, True)]
     assert (out[2].last_error, out[3].status) == ("status 204", 500)
+    assert [out[k].attempts for k in range(5)] == [1, 2, 2, 2, 2]
     assert [b for b, _ in got] == [b"b0", b"b1", b"b1", b"b2", b"b2", b"b3", b"b3", b"b4", b"b4"] and most[0] == 1
     assert got[0][1]["x-kafka-offset"] == "0" and got[0][1]["x-kafka-topic"] == "t"
 
@@ -66,6 +68,87 @@ def test_nobody_listens(spark, tmp_path):
     assert [(r.seq, r.attempts, r.status, bytes(r.payload)) for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == [(1, 1, None, b"x")]
 
 
+@pytest.fixture
+def kept():
+    """A server that keeps connections open: how many there were, and the bodies and raw headers that came."""
+    connections, got = [], []
+
+    class Handler(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def setup(self):
+            connections.append(self)
+            super().setup()
+
+        def do_POST(self):  # noqa: N802
+            got.append((self.rfile.read(int(self.headers["content-length"])), dict(self.headers.items())))
+            self.send_response(200)
+            self.send_header("content-length", "2")
+            if got[-1][0] == b"last":
+                self.send_header("connection", "close")
+            self.end_headers()
+            self.wfile.write(b"ok")
+
+        def log_message(self, *args):
+            pass
+
+    httpd = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=httpd.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{httpd.server_port}/in?x=1", got, connections
+    httpd.shutdown()
+
+
+def test_one_connection_for_a_partition(spark, kept):
+    url, got, connections = kept
+    rows = [(k, url, bytearray(b"last" if k == 49 else f"{k}".encode()), {"x": str(k)}) for k in range(100)]
+    out = http.deliver(spark.createDataFrame(rows, REQUEST).coalesce(1)).collect()
+    assert all(r.delivered and r.attempts == 1 for r in out) and [h["x"] for _, h in got] == [str(k) for k in range(100)]
+    assert len(connections) == 2  # the server closed one after row 49
+
+
+def test_no_header_ends_the_task(spark, kept):
+    url, got, _ = kept
+    odd = [{"x-kafka-header-a": "日本"}, {"x-kafka-header-b": "a\r\nb"}, {"x-kafka-ü: ": "1"}, {"x-kafka-header-c": "é"}]
+    rows = [(k, url, bytearray(b"v"), h) for k, h in enumerate(odd)] + [(9, "http://[bad", bytearray(b"v"), {})]
+    out = {r.seq: r for r in http.deliver(spark.createDataFrame(rows, REQUEST).coalesce(1), retries=1, delay=0).collect()}
+    assert [out[k].delivered for k in (0, 1, 2, 3, 9)] == [True, False, False, True, False]
+    assert all(out[k].attempts == 2 and out[k].last_error for k in (1, 2, 9))
+    sent = [v.encode("latin-1").decode() for _, h in got for k, v in h.items() if k.startswith("x-kafka")]
+    assert sent == ["日本", "é"]
+
+
+def test_a_task_tried_again_posts_no_answered_row_twice(spark, kept, tmp_path):
+    url, got, _ = kept
+    once = str(tmp_path / "failed")
+
+    class Failing(http.Session):
+        def __call__(self, url, body, headers):
+            if body == b"7" and not os.path.exists(once):
+                open(once, "w").close()
+                raise RuntimeError("the task fails")
+            return super().__call__(url, body, headers)
+
+    rows = [(k, url, bytearray(f"{k}".encode()), {}) for k in range(20)]
+    df = spark.createDataFrame(rows, REQUEST).coalesce(1)
+    ledger = str(tmp_path / "ledger")
+    with pytest.raises(Exception, match="the task fails"):  # a local session tries a task once
+        http.send(df, transport=Failing, ledger=ledger, batch_id=4)
+    assert [b for b, _ in got] == [f"{k}".encode() for k in range(7)]
+    http.send(df, transport=Failing, ledger=ledger, batch_id=4)
+    http.send(df, transport=Failing, ledger=ledger, batch_id=4)
+    assert [b for b, _ in got] == [f"{k}".encode() for k in range(20)]
+    http.send(df.limit(1), ledger=ledger, batch_id=5)
+    assert len(got) == 21
+
+
+def test_a_task_reads_its_own_outbox(spark, kept, tmp_path):
+    url, got, _ = kept
+    df = spark.createDataFrame([(k, url, bytearray(f"{k}".encode()), {}) for k in range(4)], REQUEST).coalesce(1)
+    first = http.deliver(df, outbox=str(tmp_path)).collect()
+    next((tmp_path / "000000").iterdir()).write_text(next((tmp_path / "000000").iterdir()).read_text() + '{"seq": 3, "att')
+    assert http.deliver(df, outbox=str(tmp_path)).collect() == first and len(got) == 4
+
+
 def test_http_sink(spark, server):
     url, got, _, _ = server
     df = spark.createDataFrame([("a", 3, 9, bytearray(b"k"), bytearray(b"v"), {"One": "1"}, None, False, "c", None)], MESSAGE).withColumn("seq", F.lit(1).cast("long"))

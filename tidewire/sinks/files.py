@@ -169,7 +169,7 @@ class Sink:
         elif self.kind == "console":
             df.orderBy("seq").select(F.col("payload").cast("string")).write.format("console").option("truncate", False).save()
         elif self.kind == "http":
-            http.send(http_request(df, self.dst), **self.options)
+            http.send(http_request(df, self.dst), batch_id=batch_id, **self.options)
         else:
             df.sparkSession.dataSource.register(RawSource)
             kept = df.where("payload IS NOT NULL")
