@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidewire.operators.validate import validate_jsonl
+from tidewire.session import materialise
+from tidewire.sinks.published import publish
 
 MESSAGE = "topic string, partition int, offset bigint, key binary, value binary, headers map<string,string>, timestamp timestamp, tombstone boolean, client_addr string, transactional_id string"
 #: A captured JSON line.
@@ -65,3 +70,22 @@ def parse_jsonl(lines: DataFrame, column: str = "line") -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return parse_jsonl(spark.read.text(path).withColumnRenamed("value", "line"))
+
+
+def stream_jsonl(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Captured lines of a folder as a stream (line), file by file as they come; options are those of Spark's text source."""
+    return spark.readStream.options(**options).text(path).withColumnRenamed("value", "line")
+
+
+def capture_jsonl(lines: DataFrame, table: str, quarantine: str, checkpoint: str) -> StreamingQuery:
+    """Lines of a stream that conform, as message rows published in `table`; the others with their reasons in `quarantine`.
+
+    A micro-batch is validated once and published in each by its number, so one that comes again takes its own place.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        checked = materialise(validate_jsonl(df), "checked")
+        publish(parse_jsonl(checked.where(F.size("reasons") == 0)), table, batch_id)
+        publish(checked.where(F.size("reasons") > 0).select("line", "reasons"), quarantine, batch_id)
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -16,7 +16,7 @@ from tidewire.sinks.files import open_sink
 
 RESOLVED = "seq long, transactional_id string, topic string, value binary, end_seq long"
 #: Arrival numbers of a chunk of pending rows, and rows that wait before they go to their chunks.
-CHUNK, BUFFER = 1024, 16384
+CHUNK, BUFFER = 4096, 65536
 
 
 def run_pipeline(stream: DataFrame, topics: list[str], fmt: str, write: Callable[[DataFrame, int], None], checkpoint: str, **options) -> StreamingQuery:
@@ -47,33 +47,34 @@ class TransactionResolver(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.producer = handle.getValueState("producer", "inits long, pid long, active boolean, dropped boolean, timer long")
-        self.pending = handle.getMapState("pending", "chunk long", "rows array<struct<seq:long,topic:string,value:binary>>")
+        self.pending = handle.getMapState("pending", "chunk long, run long", "rows array<struct<seq:long,topic:string,value:binary>>")
 
     def _append(self, rows: list[tuple]) -> None:
-        chunks: dict[int, list] = {}
+        """Put rows into a run of their own for each of their chunks: nothing is read back or written again."""
+        runs: dict[tuple, list] = {}
         for row in rows:
-            chunks.setdefault(row[0] // CHUNK, []).append(row)
-        for chunk, more in chunks.items():
-            self.pending.updateValue((chunk,), (self._rows(chunk) + more,))
+            runs.setdefault((row[0] // CHUNK, rows[0][0]), []).append(row)
+        for key, some in runs.items():
+            self.pending.updateValue(key, (some,))
 
-    def _rows(self, chunk: int) -> list[tuple]:
-        """The rows of a chunk as plain tuples, the only ones that state takes."""
-        return [tuple(r) for r in self.pending.getValue((chunk,))[0]] if self.pending.containsKey((chunk,)) else []
-
-    def _chunks(self) -> list[int]:
-        return sorted(k[0] for k in self.pending.keys())
+    def _runs(self) -> dict[int, list[tuple]]:
+        """The runs that wait, by chunk in order."""
+        found: dict[int, list] = {}
+        for chunk, run in sorted(tuple(k) for k in self.pending.keys()):
+            found.setdefault(chunk, []).append((chunk, run))
+        return found
 
     def _release(self, key, end: int, commit: bool) -> Iterator[Row]:
         """What waits before `end`, a chunk at a time; it leaves the state."""
-        for chunk in self._chunks():
+        for chunk, runs in self._runs().items():
             if chunk * CHUNK >= end:
                 break
-            rows = sorted(self._rows(chunk), key=lambda r: r[0])
-            later = [r for r in rows if r[0] >= end]
-            if later:
-                self.pending.updateValue((chunk,), (later,))
-            else:
-                self.pending.removeKey((chunk,))
+            # State takes plain tuples only.
+            rows = sorted((tuple(r) for k in runs for r in self.pending.getValue(k)[0]), key=lambda r: r[0])
+            for k in runs:
+                self.pending.removeKey(k)
+            if later := [r for r in rows if r[0] >= end]:
+                self._append(later)
             for seq, topic, value in rows if commit else ():
                 if seq < end:
                     yield Row(seq=seq, transactional_id=key[0], topic=topic, value=value, end_seq=end)
@@ -89,7 +90,8 @@ class TransactionResolver(StatefulProcessor):
                     waiting = []
             else:
                 requests.append(r)
-        self._append(waiting)
+        if waiting:
+            self._append(waiting)
         for r in sorted(requests, key=lambda r: r["seq"]):
             valid = inits > 0 and r["claimed_pid"] == pid and r["claimed_epoch"] == (inits - 1) % EPOCHS
             ends = valid and r["kind"] == "END" or r["kind"] == "INIT" and (active or dropped)
@@ -100,7 +102,7 @@ class TransactionResolver(StatefulProcessor):
                 inits, pid, active = inits + 1, r["assigned_pid"], False
             elif valid:
                 active = r["kind"] == "ADD"
-        waits = bool(self._chunks())
+        waits = self.pending.exists()
         if dropped and waits:
             self.pending.clear()
         if self.ttl_ms is not None:
@@ -133,7 +135,8 @@ def run_transactions(log: DataFrame, pattern: str, table: str, checkpoint: str,
 
     Exactly once: state and micro-batch are those of the checkpoint, a micro-batch is published
     by one line of the manifest, and one that comes again takes its own place. fmt adds `payload`.
+    The query ends when all there is has been read; with ttl_ms, whose timers need it, it goes on until it is stopped.
     """
     sink = open_sink(pattern, transactional=True, table=table)
     resolved = resolve_transactions_stream(log, ttl_ms)
-    return resolved.writeStream.foreachBatch(lambda df, k: sink.write(fmt(df), k)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return resolved.writeStream.foreachBatch(lambda df, k: sink.write(fmt(df), k)).option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if ttl_ms is None else {"processingTime": "1 second"})).start()
