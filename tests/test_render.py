@@ -1,6 +1,7 @@
 """Renderers, separators and path names against expected bytes."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,23 +22,53 @@ def rendered(spark, rows, fmt, **options):
     return [bytes(r[0]) for r in R.render(df, fmt, **options).select("payload").collect()]
 
 
-@pytest.mark.parametrize(
-    ("text", "wanted"),
-    [
-        ("%T;%S;%K;%s;%k;%o;%p;%t", b'1720549805250;11;11;{"sum": 12};customer 17;7001;3;orders.eu'),
-        ("%k\\t%t\\r\\n", b"customer 17\torders.eu\r\n"),
-        ("\\0%p\\0", b"\x003\0"),
-        ("%%%%k", b"%%k"),
-        ("\\w%", b"\\w%"),
-        ("%o\\\\t", b"7001\\t"),
-    ],
-)
-def test_template(spark, text, wanted):
-    assert rendered(spark, [ORDER], "template", text=text) == [wanted]
+def generated(seed, n=40):
+    """Message rows with nulls, empty and odd bytes."""
+    rng = random.Random(seed)
+    some = lambda: rng.choice([None, b"", b"plain", bytes(rng.randrange(256) for _ in range(rng.randrange(9)))])
+    for _ in range(n):
+        key, value = some(), some()
+        stamp = None if rng.random() < 0.3 else datetime.datetime.fromtimestamp(rng.randrange(2_000_000_000_000) / 1000, datetime.UTC)
+        yield rng.choice(["", "x.y", "ü/ö"]), rng.randrange(9), rng.randrange(1 << 40), key and bytearray(key) if key else key, value and bytearray(value) if value else value, {}, stamp, value is None, "c", None
 
 
-def test_template_of_nulls(spark):
-    assert rendered(spark, [TOMBSTONE], "template", text="[%s]%S %K[%k] %T") == [b"[]0 -1[] -1"]
+def millis(stamp):
+    return -1 if stamp is None else round(stamp.timestamp() * 1000)
+
+
+#: What each verb stands for, of (topic, partition, offset, key, value, headers, timestamp, ...).
+MEANING = {
+    "o": lambda r: str(r[2]).encode(),
+    "S": lambda r: str(len(r[4] or b"")).encode(),
+    "t": lambda r: r[0].encode(),
+    "K": lambda r: str(-1 if r[3] is None else len(r[3])).encode(),
+    "s": lambda r: bytes(r[4] or b""),
+    "T": lambda r: str(millis(r[6])).encode(),
+    "k": lambda r: bytes(r[3] or b""),
+    "p": lambda r: str(r[1]).encode(),
+}
+
+
+@pytest.mark.parametrize("verb", MEANING)
+def test_a_verb(spark, verb):
+    rows = list(generated(ord(verb)))
+    found = rendered(spark, rows, "template", text=f"<%{verb}>")
+    assert found == [b"<" + MEANING[verb](r) + b">" for r in rows]
+
+
+def test_random_templates(spark):
+    """Verbs, escapes and plain text in any order, against a reading from left to right."""
+    rng, rows = random.Random(6), list(generated(1, 5))
+    plain = {"%%": b"%", "\\n": b"\n", "\\r": b"\r", "\\t": b"\t", "\\0": b"\0", "\\\\": b"\\", "\\w": b"\\w", "é": "é".encode(), " x": b" x"}
+    for _ in range(12):
+        parts = [rng.choice([*plain, *(f"%{v}" for v in MEANING)]) for _ in range(rng.randrange(1, 12))]
+        wanted = [b"".join(plain[p] if p in plain else MEANING[p[1]](r) for p in parts) for r in rows]
+        assert rendered(spark, rows, "template", text="".join(parts)) == wanted
+
+
+@pytest.mark.parametrize("end", ["%", "\\"])
+def test_half_a_verb_or_escape_at_the_end_is_text(spark, end):
+    assert rendered(spark, [ORDER], "template", text=f"%p{end}") == [f"3{end}".encode()]
 
 
 def test_unknown_verb():
@@ -78,11 +109,34 @@ def test_options_of_another_format(spark, wrong):
         R.render(spark.createDataFrame([ORDER], MESSAGE), **wrong)
 
 
+def safe_name(name):
+    """The rule in plain Python: the last name of the path once . and .. are taken out."""
+    left = []
+    for part in name.split("/"):
+        if part in ("", "."):
+            continue
+        if part != "..":
+            left.append(part)
+        elif left and left[-1] != "..":
+            left.pop()
+        elif not name.startswith("/"):
+            left.append("..")
+    return left[-1] if left and left[-1] != ".." else "_"
+
+
 def test_safe_segment(spark):
-    cases = {"orders.eu": "orders.eu", "x/y/z": "z", "x\\y": "x\\y", "D:log": "D:log", "../../../root": "root", ".cache": ".cache", "..x": "..x", "": "_", "..": "_", "//": "_", ".": "_", "q/r/..": "q", "q/..": "_", "q/./r/": "r", "/../..": "_"}
-    df = spark.createDataFrame([(k,) for k in cases], "name string")
-    assert {r[0]: r[1] for r in df.select("name", safe_segment(F.col("name"))).collect()} == cases
-    assert df.limit(1).select(resolve_path("{topic}/{txnID}", F.lit("../t"), F.lit("x{topic}"))).first()[0] == "t/xt"
+    rng = random.Random(4)
+    names = {"".join(rng.choice(["/", "/", "..", ".", "q", "é", "\\", ":", " ", "...", "Z9"]) for _ in range(rng.randrange(9))) for _ in range(600)}
+    df = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    found = {r[0]: r[1] for r in df.select("name", safe_segment(F.col("name"))).collect()}
+    assert found == {n: safe_name(n) for n in names} and len(set(found.values())) > 60
+
+
+def test_paths(spark):
+    df = spark.range(1)
+    path = lambda pattern, topic, txn=None: df.select(resolve_path(pattern, F.lit(topic), None if txn is None else F.lit(txn))).first()[0]
+    assert path("{topic}/{txnID}", "../t", "x{topic}") == "t/xt"
+    assert [path(p, "t") for p in ("a//b/./../{topic}", "//{topic}", "./{topic}.log", "s3a://x//{topic}")] == ["a/t", "/t", "t.log", "s3a://x//t"]
 
 
 def test_integers_in_any_form(spark):

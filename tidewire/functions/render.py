@@ -51,7 +51,11 @@ def sorted_map(col: Column) -> Column:
 
 
 def jsonl(key_base64: bool = False, value_base64: bool = False) -> Column:
-    """A JSON line. A null key goes with its encoding; so do empty headers and an unset time."""
+    """A JSON line. A null key goes with its encoding; so do empty headers and an unset time.
+
+    Control characters are escaped with hex digits in upper case, as Spark writes them; another
+    writer's lower case is the same JSON in other bytes.
+    """
 
     def text(col: Column, packed: bool) -> Column:
         return base64(col) if packed else F.make_valid_utf8(col.cast("string"))
