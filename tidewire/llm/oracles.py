@@ -122,3 +122,52 @@ k AS (SELECT doc_id, source, n_tokens, tokens, weight, quota, place, quota // to
 SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, weight, CAST(copies AS BIGINT) AS copies,
   sha256(array_to_string(list_transform(range(CAST(copies AS BIGINT)), lambda i: CAST(round((i * tokens + place) / CAST(quota AS DOUBLE) * 1e9) AS BIGINT)), ',')) AS positions_sha256 FROM k WHERE copies > 0
 """
+
+ORACLES["op12_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS MATERIALIZED (SELECT row_number() OVER () AS id, lang, piece FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+w AS (SELECT id, lang, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) AS word, generate_subscripts(regexp_extract_all(piece, '[^\x20\x09]+'), 1) AS i FROM p),
+v AS MATERIALIZED (SELECT lang, word, lead(word, 1) OVER o AS next, lead(word, 2) OVER o AS last FROM w WINDOW o AS (PARTITION BY id ORDER BY i)),
+g AS (SELECT lang, 1 AS k, word AS phrase FROM v UNION ALL SELECT lang, 2, word || ' ' || next FROM v WHERE next IS NOT NULL UNION ALL SELECT lang, 3, word || ' ' || next || ' ' || last FROM v WHERE last IS NOT NULL),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS x FROM f WHERE k > 1 AND a >= 10),
+cut AS (SELECT c.*, j, h.a AS l, t.a AS r, CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score FROM c, unnest([1, 2]) AS s(j)
+  JOIN f h ON h.lang = c.lang AND h.k = j AND h.phrase = array_to_string(x[1:j], ' ') JOIN f t ON t.lang = c.lang AND t.k = c.k - j AND t.phrase = array_to_string(x[j + 1:c.k], ' ') WHERE j < c.k),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+over_ AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, array_to_string(x[1:2], ' ') AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, array_to_string(x[2:3], ' '), a FROM c WHERE k = 3) GROUP BY lang, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+kept AS (SELECT low.* FROM low LEFT JOIN over_ o ON o.lang = low.lang AND o.phrase = low.phrase AND low.k = 2 WHERE o.longer IS NULL OR 100 * o.longer < 50 * low.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLES["op11_conversation_repair"] = r"""
+WITH RECURSIVE y AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations),
+-- CRC-32, bit by bit
+z AS (SELECT *, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, length(key) + 1), lambda k: CAST(unicode(substr(key, k, 1)) AS BIGINT))),
+  lambda acc, b: list_reduce(list_concat([xor(acc, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda u, v: CASE WHEN u % 2 = 1 THEN xor(u >> 1, CAST(3988292384 AS BIGINT)) ELSE u >> 1 END)), CAST(4294967295 AS BIGINT)) % 20 AS h FROM y),
+m AS MATERIALIZED (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM z, unnest(CASE WHEN h = 0 THEN [] WHEN h = 3 THEN [0, 1] ELSE [0] END) AS c(copy)),
+o AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, role, text, left(role, 1) AS ini,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS tail FROM m),
+f AS MATERIALIZED (SELECT *, CASE WHEN tail = '' THEN 'b' WHEN again THEN 'd' WHEN tail NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+  CASE WHEN i > 1 AND lag(ini) OVER (PARTITION BY c ORDER BY i) || ini NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END AS bad FROM o),
+-- states: 0 nothing yet, 1 system, 2 user, 3 assistant; insertions (at most two in a row) lead from one to another
+ins(q, p, cost, edits, lines) AS (SELECT q, q, 0, '', '' FROM unnest([0, 1, 2, 3]) AS s(q) UNION ALL
+  SELECT q, CASE WHEN p = 2 THEN 3 ELSE 2 END, cost + 3, edits || 'I', lines || CASE WHEN p = 2 THEN chr(10) || 'assistant:' ELSE chr(10) || 'user:' END FROM ins WHERE cost < 6),
+turn_(p, role, t) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+keep(p, ini, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3), (0, '', 0), (1, '', 1), (2, '', 2), (3, '', 3)),
+arc AS MATERIALIZED (
+  SELECT c, i, n, q, p AS t, ins.cost + 4 AS cost, edits || 'D' AS edits, lines FROM f, ins
+  UNION ALL SELECT c, i, n, q, t, ins.cost + CASE WHEN fault = 't' THEN 3 ELSE 0 END, edits || 'K', lines || chr(10) || role || ':' || text FROM f JOIN keep USING (ini) JOIN ins USING (p) WHERE fault NOT IN ('b', 'd')
+  UNION ALL SELECT c, i, n, q, t, ins.cost + 3 + CASE WHEN fault = 't' THEN 3 ELSE 0 END, edits || 'R', lines || chr(10) || turn_.role || ':' || text FROM f, turn_ JOIN ins USING (p) WHERE fault NOT IN ('b', 'd')),
+best(c, i, q, cost, edits, lines) AS (SELECT DISTINCT c, CAST(0 AS BIGINT), 0, 0, '', '' FROM f UNION ALL
+  SELECT c, i, t, cost, edits, lines FROM (SELECT b.c, a.i, a.t, b.cost + a.cost AS cost, b.edits || a.edits AS edits, b.lines || a.lines AS lines FROM best b JOIN arc a ON a.c = b.c AND a.i = b.i + 1 AND a.q = b.q)
+  QUALIFY row_number() OVER (PARTITION BY c, t ORDER BY cost, edits) = 1),
+done AS (SELECT b.c, b.cost + ins.cost AS cost, b.edits || ins.edits AS edits, b.lines || ins.lines AS lines FROM best b JOIN (SELECT DISTINCT c, n FROM f) x ON x.c = b.c AND x.n = b.i JOIN ins ON ins.q = b.q AND ins.p IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY b.c ORDER BY b.cost + ins.cost, b.edits || ins.edits) = 1),
+s AS (SELECT c, any_value(conv_id) AS conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, sum(bad) AS illegal FROM f GROUP BY c)
+SELECT k.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+  CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(edits, '') AS audit, sha256(coalesce(substr(lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN done ON done.c = s.c
+"""
