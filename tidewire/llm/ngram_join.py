@@ -274,11 +274,14 @@ def _blocks(near: DataFrame, percent: int) -> DataFrame:
     lists = materialise(ordered.where(left >= 0).select("key", F.explode(F.slice("tokens", F.lit(1), left + 1)).alias("x")).select("key", F.col("x.token").alias("token")), "lists")
     heads = lists.groupBy("token").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead < last").select("token", "lead")
     blocks = materialise(lists.join(heads, "token").where("lead <> key").select("lead", "key").distinct(), "pairs")
-    # A lead and its member that meet in the block of a lead that is no member itself need no block of their own.
-    tops = blocks.select("lead").distinct().join(blocks.select(F.col("key").alias("lead")), "lead", "left_anti")
-    of_lead = blocks.join(tops, "lead").groupBy(F.col("key").alias("lead")).agg(F.min("lead").alias("top"))
+    # A block whose lead and members are all in one other block needs no comparisons of its own. That
+    # one's lead is smaller, so of blocks within blocks the outermost stays. A block that is only
+    # partly there stays whole: its members there meet the rest of it nowhere else.
+    sizes = materialise(blocks.groupBy("lead").agg(F.count("*").alias("n")), "sizes")
+    of_lead = blocks.join(sizes.select(F.col("lead").alias("key")), "key", "left_semi").join(sizes, "lead").groupBy(F.col("key").alias("lead")).agg(F.max_by("lead", F.struct("n", "lead")).alias("top"))
     there = blocks.select(F.col("lead").alias("top"), "key")
-    return blocks.join(of_lead, "lead", "left").join(there, ["top", "key"], "left_anti").select("lead", "key")
+    within = blocks.join(of_lead, "lead").join(there, ["top", "key"], "left_semi").groupBy("lead").agg(F.count("*").alias("n"))
+    return blocks.join(within.join(sizes, ["lead", "n"], "left_semi"), "lead", "left_anti").select("lead", "key")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
