@@ -102,6 +102,61 @@ def test_a_million_pending_rows_in_order(rocksdb, tmp_path):
     assert resource.getrusage(resource.RUSAGE_CHILDREN).ru_maxrss < 8 << 20  # KB, with the JVM
 
 
+class Held:
+    """State in memory that counts what is written to it."""
+
+    def __init__(self):
+        self.rows, self.written, self.value = {}, 0, None
+
+    def getValueState(self, *_):
+        return self
+
+    def getMapState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None if not self.rows else True
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def keys(self):
+        return iter(list(self.rows))
+
+    def getValue(self, key):
+        return self.rows[key]
+
+    def updateValue(self, key, value):
+        self.rows[key], self.written = value, self.written + 1
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def clear(self):
+        self.rows.clear()
+
+
+def test_state_is_written_once_for_what_outlasts_a_batch(monkeypatch):
+    """Rows of an id that lie far apart in the log took a run of state each."""
+    row = lambda r: dict(zip((f.split()[0] for f in LOG.split(", ")), r, strict=True))
+    state, resolver = Held(), pipeline.TransactionResolver()
+    resolver.init(state)
+    far = [init(0, 1), ask(10_000, "ADD"), *(msg(k * 10_000) for k in range(2, 40)), ask(400_000, "END", commit=True), *(msg(k * 10_000) for k in range(41, 60))]
+    found = list(resolver.handleInputRows(("t",), iter(map(row, far)), None))
+    assert [r.seq for r in found] == [k * 10_000 for k in range(2, 40)]
+    assert state.written == 1 and len(state.rows) == 1
+    monkeypatch.setattr(pipeline, "BUFFER", 7)
+    monkeypatch.setattr(pipeline, "CHUNK", 3)
+    more = [ask(600_000, "ADD"), *(msg(k * 10_000) for k in range(61, 100)), ask(1_000_000, "END", commit=True), msg(1_000_001)]
+    random.Random(1).shuffle(more)
+    found = list(resolver.handleInputRows(("t",), iter(map(row, more)), None))
+    assert [r.seq for r in found] == [k * 10_000 for k in range(41, 100) if k != 60]
+    assert [r[0] for rows, in state.rows.values() for r in rows] == [1_000_001]
+
+
 def test_captured_lines_as_a_stream(spark, tmp_path):
     good = '{"topic":"t","partition":1,"offset":%d,"value":"v","value_encoding":"utf-8","client_addr":"c"}'
     lines = [good % k if k % 3 else ("oops", '{"topic":1}', "")[k // 3 % 3] for k in range(30)]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -15,8 +17,9 @@ from tidewire.operators.transactions import EPOCHS
 from tidewire.sinks.files import open_sink
 
 RESOLVED = "seq long, transactional_id string, topic string, value binary, end_seq long"
-#: Arrival numbers of a chunk of pending rows, and rows that wait before they go to their chunks.
+#: Rows of a run of pending rows in state, and rows of an id that a micro-batch holds before they go there.
 CHUNK, BUFFER = 4096, 65536
+_seq = itemgetter(0)
 
 
 def run_pipeline(stream: DataFrame, topics: list[str], fmt: str, write: Callable[[DataFrame, int], None], checkpoint: str, **options) -> StreamingQuery:
@@ -33,8 +36,9 @@ class TransactionResolver(StatefulProcessor):
     """Holds the rows of each open transaction; a commit releases them in order of seq, an abort drops them.
 
     INIT rows carry assigned_pid. Input is in order of seq from one micro-batch to the next; in
-    a micro-batch it may be in any. Messages wait in state, a chunk for each CHUNK arrival
-    numbers; at most BUFFER of them and a chunk are in memory, and the requests of a micro-batch.
+    a micro-batch it may be in any. Messages wait in memory to the end of the
+    micro-batch, BUFFER of an id at most; more, and what outlasts it, go to state in sorted runs
+    of CHUNK rows. A release opens only runs that overlap, one for each BUFFER of rows about.
 
     ttl_ms: a transaction that gets no row for so long is dropped as a whole at the end of the
     next micro-batch, and so is what still comes of it up to the next terminal of its id; a
@@ -49,62 +53,65 @@ class TransactionResolver(StatefulProcessor):
         self.producer = handle.getValueState("producer", "inits long, pid long, active boolean, dropped boolean, timer long")
         self.pending = handle.getMapState("pending", "chunk long, run long", "rows array<struct<seq:long,topic:string,value:binary>>")
 
-    def _append(self, rows: list[tuple]) -> None:
-        """Put rows into a run of their own for each of their chunks: nothing is read back or written again."""
-        runs: dict[tuple, list] = {}
-        for row in rows:
-            runs.setdefault((row[0] // CHUNK, rows[0][0]), []).append(row)
-        for key, some in runs.items():
-            self.pending.updateValue(key, (some,))
-
-    def _runs(self) -> dict[int, list[tuple]]:
-        """The runs that wait, by chunk in order."""
-        found: dict[int, list] = {}
-        for chunk, run in sorted(tuple(k) for k in self.pending.keys()):
-            found.setdefault(chunk, []).append((chunk, run))
-        return found
-
-    def _release(self, key, end: int, commit: bool) -> Iterator[Row]:
-        """What waits before `end`, a chunk at a time; it leaves the state."""
-        for chunk, runs in self._runs().items():
-            if chunk * CHUNK >= end:
-                break
-            # State takes plain tuples only.
-            rows = sorted((tuple(r) for k in runs for r in self.pending.getValue(k)[0]), key=lambda r: r[0])
-            for k in runs:
-                self.pending.removeKey(k)
-            if later := [r for r in rows if r[0] >= end]:
-                self._append(later)
-            for seq, topic, value in rows if commit else ():
-                if seq < end:
-                    yield Row(seq=seq, transactional_id=key[0], topic=topic, value=value, end_seq=end)
+    def _append(self, rows: list[tuple]) -> list[tuple]:
+        """Put rows into runs in order of seq, of CHUNK rows each, told by their first and last seq: the runs' keys."""
+        rows.sort(key=_seq)
+        runs = [rows[k : k + CHUNK] for k in range(0, len(rows), CHUNK)]
+        keys = [(run[0][0], run[-1][0]) for run in runs]
+        for key, run in zip(keys, runs, strict=True):
+            self.pending.updateValue(key, (run,))
+        return keys
+
+    def _release(self, key, end: int, commit: bool, held: list[tuple], stored: list[tuple]) -> Iterator[Row]:
+        """What waits before `end`, in order of seq; it leaves `held`, the rows at hand, and the runs `stored` in state.
+
+        Runs are opened in order of their first row, so that only those that overlap are at hand at once.
+        """
+        ready = sorted((r for r in held if r[0] < end), key=_seq)
+        held[:] = [r for r in held if r[0] >= end]
+        first = sorted(k for k in stored if k[0] < end)
+        stored[:] = [k for k in stored if k[0] >= end]
+        for run in [*first, (end, end)]:
+            n = bisect_left(ready, run[0], key=_seq)
+            for seq, topic, value in ready[:n] if commit else ():
+                yield Row(seq=seq, transactional_id=key[0], topic=topic, value=value, end_seq=end)
+            ready = ready[n:]
+            if run[0] < end:
+                # State takes plain tuples only.
+                rows = [tuple(r) for r in self.pending.getValue(run)[0]]
+                self.pending.removeKey(run)
+                if later := [r for r in rows if r[0] >= end]:
+                    stored += self._append(later)
+                ready = sorted(ready + [r for r in rows if r[0] < end], key=_seq)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        inits, pid, active, dropped, timer = self.producer.get() if self.producer.exists() else (0, None, False, False, None)
-        requests, waiting = [], []
+        known = self.producer.get()
+        inits, pid, active, dropped, timer = known or (0, None, False, False, None)
+        stored = [tuple(k) for k in self.pending.keys()] if known else []
+        requests, held = [], []
         for r in rows:
             if r["kind"] == "MSG":
-                waiting.append((r["seq"], r["topic"], r["value"]))
-                if len(waiting) >= BUFFER:
-                    self._append(waiting)
-                    waiting = []
+                held.append((r["seq"], r["topic"], r["value"]))
+                if len(held) >= BUFFER:
+                    stored += self._append(held)
+                    held = []
             else:
                 requests.append(r)
-        if waiting:
-            self._append(waiting)
         for r in sorted(requests, key=lambda r: r["seq"]):
             valid = inits > 0 and r["claimed_pid"] == pid and r["claimed_epoch"] == (inits - 1) % EPOCHS
             ends = valid and r["kind"] == "END" or r["kind"] == "INIT" and (active or dropped)
             if ends:
-                yield from self._release(key, r["seq"], r["kind"] == "END" and r["is_commit"] and not dropped)
+                yield from self._release(key, r["seq"], r["kind"] == "END" and r["is_commit"] and not dropped, held, stored)
                 dropped = False
             if r["kind"] == "INIT":
                 inits, pid, active = inits + 1, r["assigned_pid"], False
             elif valid:
                 active = r["kind"] == "ADD"
-        waits = self.pending.exists()
-        if dropped and waits:
+        waits = bool(held or stored)
+        if dropped and stored:
             self.pending.clear()
+        if held and not dropped:
+            self._append(held)
         if self.ttl_ms is not None:
             if timer is not None:
                 self.handle.deleteTimer(timer)
