@@ -157,6 +157,22 @@ def test_state_is_written_once_for_what_outlasts_a_batch(monkeypatch):
     assert [r[0] for rows, in state.rows.values() for r in rows] == [1_000_001]
 
 
+def test_a_batch_goes_through_state_once(rocksdb, tmp_path, monkeypatch):
+    """What the sink gets, it may read again; it got the stateful plan itself, and read it twice."""
+    plans = []
+
+    class Sink:
+        def write(self, df, batch_id):
+            plans.append(df._jdf.queryExecution().toString())
+
+    monkeypatch.setattr(pipeline, "open_sink", lambda *_, **__: Sink())
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    rocksdb.createDataFrame([init(0, 1), ask(1, "ADD"), msg(2), ask(3, "END", commit=True)], LOG).write.parquet(source)
+    log = rocksdb.readStream.schema(LOG).parquet(source)
+    pipeline.run_transactions(log, "out/{topic}/{txnID}.log", str(tmp_path / "table"), state, lambda df: df).awaitTermination()
+    assert plans and not any("TransformWithState" in p for p in plans)
+
+
 def test_captured_lines_as_a_stream(spark, tmp_path):
     good = '{"topic":"t","partition":1,"offset":%d,"value":"v","value_encoding":"utf-8","client_addr":"c"}'
     lines = [good % k if k % 3 else ("oops", '{"topic":1}', "")[k // 3 % 3] for k in range(30)]

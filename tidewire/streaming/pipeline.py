@@ -14,6 +14,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tidewire.functions.render import render
 from tidewire.operators.messages import filter_topics
 from tidewire.operators.transactions import EPOCHS
+from tidewire.session import materialise
 from tidewire.sinks.files import open_sink
 
 RESOLVED = "seq long, transactional_id string, topic string, value binary, end_seq long"
@@ -146,4 +147,9 @@ def run_transactions(log: DataFrame, pattern: str, table: str, checkpoint: str,
     """
     sink = open_sink(pattern, transactional=True, table=table)
     resolved = resolve_transactions_stream(log, ttl_ms)
-    return resolved.writeStream.foreachBatch(lambda df, k: sink.write(fmt(df), k)).option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if ttl_ms is None else {"processingTime": "1 second"})).start()
+
+    def publish(df: DataFrame, batch_id: int) -> None:
+        # The sink reads its rows twice, for the newest commits and for what they hold; state is gone through once.
+        sink.write(fmt(materialise(df, "resolved")), batch_id)
+
+    return resolved.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if ttl_ms is None else {"processingTime": "1 second"})).start()
