@@ -83,3 +83,32 @@ def test_exact_beyond_64_bits(spark):
 def test_empty_table(spark):
     assert C.collocations(spark.createDataFrame([], DOCS)).collect() == []
     assert C.collocations(spark.createDataFrame([(1, None, None, 1, "")], DOCS)).collect() == []
+
+
+def test_a_chunk_of_words_is_counted_in_parts():
+    """The parts of a chunk are its suffixes, and none but one part of them is sorted at once."""
+    import random
+
+    import numpy as np
+
+    from tidewire.llm import collocations
+    from tidewire.llm.words import word_places
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghijklm") + rng.choice(["", "", "."]) for _ in range(300)).encode().translate(collocations.LETTERS) for _ in range(3)]
+    chunk = collocations.Chunk(["x", "y", "x"], texts, [word_places(t) for t in texts])
+    everything = np.ones(len(chunk.hashes), bool)
+    rows = lambda part: list(zip(*(x.tolist() for x in chunk.suffixes(everything, part=part)), strict=True))
+    parts = [rows(k) for k in range(collocations.PARTS)]
+    assert sorted(sum(parts, [])) == sorted(rows(None))
+    assert max(map(len, parts)) < len(rows(None))
+
+
+def test_a_task_trims_when_it_ends(monkeypatch):
+    from tidewire.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "trim", lambda: calls.append(1))
+    run = common.trimmed(lambda batches: iter(batches))([1, 2])
+    assert next(run) == 1 and not calls
+    assert list(run) == [2] and calls == [1]

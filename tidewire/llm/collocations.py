@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import materialise
+from tidewire.llm.common import materialise, trim, trimmed
 from tidewire.llm.words import is_in, mixed, word_places
 
 #: Suffixes of a group (28 bytes each): the memory budget. Also the words that a task has at hand.
 BUDGET = 1 << 20
+#: Parts of a task's words, by their hashes, whose suffixes are sorted one after the other.
+PARTS = 4
 #: Prefixes over the budget, about, at most: from 2^40 words on the budget grows with the corpus.
 MOST_HOT = 1 << 20
 #: Bits of the largest table that tells frequent words from most others.
@@ -67,22 +69,33 @@ class Chunk:
         """Rows of _COUNTED: every word, every language's total, and the pairs that have `share` occurrences or more."""
         values, first, counts = np.unique(self.hashes, return_index=True, return_counts=True)
         text, begins = np.repeat(np.arange(len(self.texts)), self.sizes)[first], np.cumsum(self.sizes) - self.sizes
-        rows = []
-        for h, t, at, n in zip(values.view(np.int64).tolist(), text.tolist(), (first - begins[text]).tolist(), counts.tolist(), strict=True):
-            rows.append((self.langs[t], self.texts[t][self.first[t][at] : self.last[t][at]].decode("utf-8", "replace"), h, 0, n))
+        at = first - begins[text]
+        of_word = [self.texts[t][self.first[t][k] : self.last[t][k]].decode("utf-8", "replace") for t, k in zip(text.tolist(), at.tolist(), strict=True)]
+        # Columns, not rows: a tuple for each word would take more than the chunk.
+        langs = pa.DictionaryArray.from_arrays(pa.array(text), pa.array(self.langs, pa.string())).cast(pa.string())
+        known = [langs, pa.array(of_word, pa.string()), pa.array(values.view(np.int64)), pa.array(np.zeros(len(values), np.int64)), pa.array(counts.astype(np.int64))]
+        del of_word, first, at, text
         totals: dict[str, int] = {}
         for lang, n in zip(self.langs, self.sizes.tolist(), strict=True):
             totals[lang] = totals.get(lang, 0) + n
-        rows += [(lang, None, 0, 0, n) for lang, n in totals.items()]
-        w1, w2, _, n = self.suffixes(np.ones(len(self.hashes), bool), 2)
-        often = n >= share
-        rows += [(None, None, a, b, c) for a, b, c in zip(w1[often].view(np.int64).tolist(), w2[often].view(np.int64).tolist(), n[often].tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _COUNTED, strict=True)], schema=_COUNTED)
-
-    def suffixes(self, frequent: np.ndarray, depth: int = 3) -> tuple[np.ndarray, ...]:
-        """(w1, w2, w3, n): the distinct suffixes of two words or more, cut at `depth`, the piece's end and words that aren't frequent; 0 is no word."""
+        rows = [(lang, None, 0, 0, n) for lang, n in totals.items()]
+        everything = np.ones(len(self.hashes), bool)
+        for part in range(PARTS):
+            w1, w2, _, n = self.suffixes(everything, 2, part)
+            often = n >= share
+            rows += [(None, None, a, b, c) for a, b, c in zip(w1[often].view(np.int64).tolist(), w2[often].view(np.int64).tolist(), n[often].tolist(), strict=True)]
+        more = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _COUNTED, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(known, more, strict=True)], schema=_COUNTED)
+
+    def suffixes(self, frequent: np.ndarray, depth: int = 3, part: int | None = None) -> tuple[np.ndarray, ...]:
+        """(w1, w2, w3, n): the distinct suffixes of two words or more, cut at `depth`, the piece's end and words that aren't frequent; 0 is no word.
+
+        part: only those whose first word's hash is in this one of PARTS, so that less is sorted at once.
+        """
         h, piece, n = self.hashes, self.pieces, len(self.hashes)
         at = np.flatnonzero(frequent[:-1] & frequent[1:] & (piece[:-1] == piece[1:])) if n > 1 else np.zeros(0, np.int64)
+        if part is not None:
+            at = at[h[at] % np.uint64(PARTS) == part]
         w1, w2, w3 = h[at], h[at + 1] if n > 1 else h[:0], np.zeros(len(at), np.uint64)
         if depth > 2:
             third = np.minimum(at + 2, n - 1)
@@ -114,11 +127,14 @@ def _chunks(batches) -> Iterator[Chunk]:
             found = word_places(raw)
             if not len(found[0]):
                 continue
-            langs.append(lang), texts.append(raw), words.append(found)
+            # Places fit 32 bits, as texts are under 2 GB.
+            langs.append(lang), texts.append(raw), words.append((found[0], found[1].astype(np.int32), found[2].astype(np.int32)))
             size += len(found[0])
             if size >= BUDGET:
-                yield Chunk(langs, texts, words)
+                chunk = Chunk(langs, texts, words)
                 langs, texts, words, size = [], [], [], 0
+                yield chunk
+                del chunk  # nor may the caller hold it while the next is gathered
     if langs:
         yield Chunk(langs, texts, words)
 
@@ -187,8 +203,9 @@ def vocabulary(documents: DataFrame, least: int) -> tuple[DataFrame, int]:
         for chunk in _chunks(batches):
             # What a chunk does not report of a pair sums to half the budget over all chunks.
             yield chunk.vocabulary(budget * sum(map(len, chunk.texts)) / (2 * n_bytes))
+            del chunk
 
-    counted = texts.mapInArrow(count, "lang string, word string, w1 long, w2 long, n long").groupBy("lang", "word", "w1", "w2").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(trimmed(count), "lang string, word string, w1 long, w2 long, n long").groupBy("lang", "word", "w1", "w2").agg(F.sum("n").alias("n"))
     kept = counted.where((F.col("n") >= least) & F.col("word").isNotNull() | (F.col("w1") == 0) | (F.col("w2") != 0) & (F.col("n") > budget // 2))
     return materialise(kept, "vocabulary"), budget
 
@@ -231,11 +248,15 @@ def phrase_counts(documents: DataFrame, counted: DataFrame, budget: int, least:
         for chunk in _chunks(batches):
             place = chunk.hashes & mask
             frequent = (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            w1, w2, w3, n = chunk.suffixes(frequent)
-            group = groups.value.of(w1, w2, w3)
-            for k in range(0, len(n), 1 << 17):
-                some = slice(k, k + (1 << 17))
-                yield pa.RecordBatch.from_arrays([pa.array(group[some]), *(pa.array(w[some].view(np.int64)) for w in (w1, w2, w3)), pa.array(n[some].astype(np.int32))], schema=_SENT)
+            del place
+            for part in range(PARTS):
+                w1, w2, w3, n = chunk.suffixes(frequent, part=part)
+                group = groups.value.of(w1, w2, w3)
+                for k in range(0, len(n), 1 << 17):
+                    some = slice(k, k + (1 << 17))
+                    yield pa.RecordBatch.from_arrays([pa.array(group[some]), *(pa.array(w[some].view(np.int64)) for w in (w1, w2, w3)), pa.array(n[some].astype(np.int32))], schema=_SENT)
+                del w1, w2, w3, n, group
+            del chunk, frequent
 
     def build(group: pa.Table) -> pa.Table:
         tree = Subtree(*(_unsigned(group[w]) for w in ("w1", "w2", "w3")), group["n"].to_numpy().astype(np.int64))
@@ -246,9 +267,12 @@ def phrase_counts(documents: DataFrame, counted: DataFrame, budget: int, least:
         part = np.concatenate((np.zeros(len(leaf), bool), hot[stay]))
         w3 = np.concatenate((tree.w3[leaf], np.zeros(len(node), np.uint64)))
         both = np.concatenate((leaf, node))
-        return pa.table([pa.array(tree.w1[both].view(np.int64)), pa.array(tree.w2[both].view(np.int64)), pa.array(w3.view(np.int64)), pa.array(np.concatenate((tree.leaf_totals[keep], tree.node_totals[stay]))), pa.array(part)], schema=_NODES)
+        found = pa.table([pa.array(tree.w1[both].view(np.int64)), pa.array(tree.w2[both].view(np.int64)), pa.array(w3.view(np.int64)), pa.array(np.concatenate((tree.leaf_totals[keep], tree.node_totals[stay]))), pa.array(part)], schema=_NODES)
+        del tree
+        trim()
+        return found
 
-    sent = _texts(documents).mapInArrow(send, "group long, w1 long, w2 long, w3 long, n int")
+    sent = _texts(documents).mapInArrow(trimmed(send), "group long, w1 long, w2 long, w3 long, n int")
     nodes = materialise(sent.groupBy("group").applyInArrow(build, "w1 long, w2 long, w3 long, a long, part boolean"), "nodes")
     whole = nodes.where("part").groupBy("w1", "w2", "w3").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return nodes.where("NOT part").drop("part").unionByName(whole)

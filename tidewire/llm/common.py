@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trim() -> None:
+    """Give memory that is free in this process back to the system: Arrow and malloc keep it, in each idle Python worker, beside later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def trimmed(work: Callable) -> Callable:
+    """A function for mapInArrow that trims when its task ends."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            trim()
+
+    return run
+
+
 def batches_of(size: int, rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches of at most `size` rows."""
     held: list[tuple] = []
@@ -131,7 +153,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns[:2]
     forest = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    forest = forest.mapInArrow(_forest, "u long, v long")
+    forest = forest.mapInArrow(trimmed(_forest), "u long, v long")
     now = materialise(forest.distinct(), "forest")
     seen = None
     while True:

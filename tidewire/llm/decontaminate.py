@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import materialise
+from tidewire.llm.common import materialise, trimmed
 
 #: Words of a shard, but for a longer document, which is a shard of its own.
 SHARD_WORDS = 1 << 19
@@ -79,7 +79,7 @@ def build_index(documents: DataFrame) -> DataFrame:
         if ids:
             yield _shard(ids, texts)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(build, INDEX)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(trimmed(build), INDEX)
 
 
 class Phrases:
@@ -233,7 +233,7 @@ def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int
                     raw = np.frombuffer(positions.as_buffer(), np.int32)
                     yield _summary(shared.value, shard, ids, starts, search(shared.value, starts, terms, term_starts, raw, slop))
 
-        found = index.mapInArrow(match, MATCHES)
+        found = index.mapInArrow(trimmed(match), MATCHES)
         if n_blocks == 1:
             return found.drop("shard", "place")
         # One block is out at a time: its matches are written, of later blocks those that there are.
