@@ -8,9 +8,10 @@ import zlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidewire.llm import blocks, decontaminate, embeddings, language_id, lines, mixing, ngram_join, secrets, substrings, toxicity, url_filter
+from tidewire.llm import blocks, common, decontaminate, embeddings, language_id, lines, mixing, ngram_join, secrets, substrings, toxicity, url_filter
 from tidewire.llm.common import connected_components
 
 DOC = "doc_id long, text string, lang string, source string, n_words int, gone int"
@@ -208,6 +209,30 @@ def test_near_items(spark, monkeypatch):
     assert {r.doc_id: set(r["near_items"]) for r in found} == want and any(want.values())
 
 
+def test_shingle_sets_of_many_lines():
+    """Lines hashed together have the sets that each has alone: short, empty, equal, non-ASCII and very long ones."""
+    rng = random.Random(4)
+    texts = ["", "a", "abcdefg", "abcdefgh", "abcdefgh", "aaaaaaaaaaaaaaaa", "ärger über öl", "x" * 40_000, "\U0001f600" * 9]
+    texts += ["".join(rng.choices("abc ", k=rng.randrange(1, 300))) for _ in range(400)]
+    packed = [t.encode() for t in texts]
+    many = lines.shingle_sets(packed)
+    assert len(many) == len(packed) and all(np.array_equal(lines.shingle_set(p), m) for p, m in zip(packed, many, strict=True))
+    assert lines.shingle_sets([]) == []
+
+
+def test_runs_unpacks_many_rows_at_once():
+    """A run spans slices and batches; the last column is unpacked for many rows in one call."""
+    sizes = []
+
+    def unpack(values):
+        sizes.append(len(values))
+        return [v + 1 for v in values]
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([0] * n), pa.array(range(n))], names=["k", "v"]) for n in (common.SLICE_ROWS + 5, 3)]
+    assert list(common.runs(batches, 1, unpack)) == [((0,), [(v + 1,) for n in (common.SLICE_ROWS + 5, 3) for v in range(n)])]
+    assert sizes == [common.SLICE_ROWS, 5, 3]
+
+
 def test_lines(spark):
     line = "the quick brown fox jumps over the lazy dog while seventeen other animals keep watching it quietly from afar"
     texts = [(1, f"{line}\nanother line of words that is different\n\nX"), (2, f"fresh\n{line}!"), (3, f"{line.upper()}\n\nx"), (4, None), (5, ""), (None, line)]

@@ -105,10 +105,9 @@ def _match(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataFrame:
 
     def search(batches):
         def found():
-            for (lead, _), group in runs(batches, 2):
-                sets = [(role, key, unpack(tokens)) for role, _, key, tokens in group]
-                queries = [(k, t) for role, k, t in sets if role == 0]
-                members = list({k: (k, t) for role, k, t in sets if role == 1}.values())
+            for (lead, _), group in runs(batches, 2, unpack):
+                queries = [(k, t) for role, _, k, t in group if role == 0]
+                members = list({k: (k, t) for role, _, k, t in group if role == 1}.values())
                 for a, b in _search_block(queries, members, group[0][1], index_of, {k for k, _ in queries}):
                     yield lead, a, b
 
@@ -123,11 +122,11 @@ def _match_tiles(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataF
 
     def search(batches):
         def found():
-            for (lead, low, _), held in runs(batches, 3):
+            for (lead, low, _), held in runs(batches, 3, unpack):
                 sides: list[dict] = [{}, {}]
                 for chunk, key, group, tokens in held:
                     if key not in sides[chunk != low]:
-                        sides[chunk != low][key] = (key, group, unpack(tokens))
+                        sides[chunk != low][key] = (key, group, tokens)
                 for a, b in _search_tile([list(side.values()) for side in sides], index_of):
                     yield lead, a, b
 
@@ -137,16 +136,16 @@ def _match_tiles(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataF
     return dealt.mapInArrow(trimmed(search), "lead long, a long, b long")
 
 
-def packed_hashes(tokens: bytes) -> np.ndarray:
-    return np.frombuffer(tokens, np.uint64)
+def packed_hashes(packed: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(tokens, np.uint64) for tokens in packed]
 
 
-def link_blocks(blocks: DataFrame, sets: DataFrame, index_of: Callable[[list[np.ndarray]], Callable[[np.ndarray], list[int]]], unpack: Callable[[bytes], np.ndarray] = packed_hashes) -> DataFrame:
+def link_blocks(blocks: DataFrame, sets: DataFrame, index_of: Callable[[list[np.ndarray]], Callable[[np.ndarray], list[int]]], unpack: Callable[[list[bytes]], list[np.ndarray]] = packed_hashes) -> DataFrame:
     """Edges (a, b) that join, within each block, whatever links of its sets join.
 
     blocks: distinct (lead, key), a lead with each of its members, lead <> key. sets: (key, n,
-    tokens) for every key and lead: n elements, which unpack makes of the bytes in tokens, as
-    sorted unsigned longs. index_of makes of a list of sets a function that gives the places of those linked with a set.
+    tokens) for every key and lead: n elements, which unpack makes of the bytes in tokens, many
+    rows at once, as sorted unsigned longs. index_of makes of a list of sets a function that gives the places of those linked with a set.
 
     A block of more than CHUNK_ELEMENTS elements is dealt to chunks; its lead goes to each of
     them. Then each two chunks meet, but for what the lead has reached in both.

@@ -76,19 +76,26 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def runs(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+#: Rows that become Python's at once.
+SLICE_ROWS = 256
+
+
+def runs(batches: Iterable[pa.RecordBatch], n_keys: int, unpack: Callable[[list], list] = lambda values: values) -> Iterator[tuple[tuple, list[tuple]]]:
     """Groups of consecutive rows that agree in the first `n_keys` columns of sorted batches.
 
-    A run may span batches. Only the run at hand is held.
+    A run may span batches. Only the run at hand is held, beside SLICE_ROWS rows. unpack gets
+    the values of the last column for as many rows at once.
     """
     key, held = None, []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[:n_keys] != key:
-                if held:
-                    yield key, held
-                key, held = row[:n_keys], []
-            held.append(row[n_keys:])
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            *columns, last = (c.to_pylist() for c in batch.slice(at, SLICE_ROWS).columns)
+            for row in zip(*columns, unpack(last), strict=True):
+                if row[:n_keys] != key:
+                    if held:
+                        yield key, held
+                    key, held = row[:n_keys], []
+                held.append(row[n_keys:])
     if held:
         yield key, held
 

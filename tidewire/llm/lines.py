@@ -56,6 +56,22 @@ def shingle_set(line: bytes) -> np.ndarray:
     return distinct(shingle_hashes([line.decode()])[0])
 
 
+def shingle_sets(packed: list[bytes]) -> list[np.ndarray]:
+    """shingle_set of each line, hashed many at a time."""
+    lines, out = [x.decode() for x in packed], []
+    for at, end in _blocks(lines):
+        x, sizes = shingle_hashes(lines[at:end])
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            x[a:b].sort()
+        new = np.concatenate(([True], x[1:] != x[:-1]))
+        new[starts] = True
+        x, ends = x[new], np.cumsum(new)[ends - 1].tolist()
+        out += [x[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    return out
+
+
 def _bands(least: np.ndarray, first: int) -> np.ndarray:
     """Hashes of ROWS least hashes each; `first` tells the bands of one scheme from another's."""
     out = np.zeros((len(least), BANDS), np.uint64)
@@ -207,7 +223,7 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     texts = lines.where("normal IS NOT NULL").join(wanted, "key", "left_semi")
     texts = texts.select("key", F.length("normal").cast("long").alias("n"), F.col("normal").cast("binary").alias("tokens"))
     tokens = materialise(texts.dropDuplicates(["key"]), "tokens")
-    components = connected_components(link_blocks(blocks, tokens, jaccard(threshold), shingle_set))
+    components = connected_components(link_blocks(blocks, tokens, jaccard(threshold), shingle_sets))
     rooted = lines.select("doc_id", "line", "key").join(components.withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.select("doc_id", "line", F.coalesce("component", "key").alias("root"))
     at = F.struct("doc_id", "line")

@@ -55,9 +55,9 @@ def shingles_of(text: bytes) -> np.ndarray:
     return distinct(grams(words, min(SHINGLE, len(words)))) if len(words) else words
 
 
-def unpack(packed: bytes) -> np.ndarray:
-    """The set of a compressed text, a third of its hashes' size, for link_blocks."""
-    return shingles_of(zstandard.decompress(packed))
+def unpack(packed: list[bytes]) -> list[np.ndarray]:
+    """The sets of compressed texts, a third of their hashes' size, for link_blocks."""
+    return [shingles_of(zstandard.decompress(x)) for x in packed]
 
 
 def needed(a: int, b: int, percent: int) -> int:
