@@ -10,6 +10,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidewire.llm import blocks, common, decontaminate, embeddings, language_id, lines, mixing, ngram_join, secrets, substrings, toxicity, url_filter
 from tidewire.llm.common import connected_components
@@ -209,6 +210,46 @@ def test_near_items(spark, monkeypatch):
     assert {r.doc_id: set(r["near_items"]) for r in found} == want and any(want.values())
 
 
+def test_one_search_writes_no_shards(spark, monkeypatch):
+    """Shards are searched where they are built; items of several blocks search a written index, with the same matches."""
+    texts = [(k, t) for k, t in corpus(8, 80) if k is not None] + [(900, None), (901, "")]
+    items = spark.createDataFrame([("a", " ".join(texts[3][1].split()[:30])), ("b", texts[7][1]), ("c", None)], "item_id string, text string")
+    written, write = [], common.materialise
+    monkeypatch.setattr(decontaminate, "materialise", lambda df, what, **options: written.append(what) or write(df, what, **options))
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 200)
+
+    def rows():
+        return sorted((r.doc_id, r.n_words, [tuple(x) for x in r.spans], sorted(r["items"])) for r in decontaminate.decontaminate(docs_of(spark, texts), items).collect())
+
+    found = rows()
+    assert written == [] and len(found) == len(texts) and any(spans for _, _, spans, _ in found)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)
+    assert rows() == found and "postings" in written
+
+
+def test_batches_are_bounded_by_bytes(spark, monkeypatch):
+    """Long texts reach a worker a few at a time, short ones many; a session's own limit holds."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    def most(chars):
+        rows = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), chars).alias("text"))
+        return [r.n for r in common.map_arrow(rows, sizes, "n long").collect()]
+
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        long, short = most(20_000), most(10)
+        assert sum(long) == sum(short) == 3000 and max(long) * 20_000 < 2 * common.BATCH_BYTES and max(short) == 3000
+        spark.conf.set(name, "1m")
+        assert max(most(20_000)) < 100 and spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_shingle_sets_of_many_lines():
     """Lines hashed together have the sets that each has alone: short, empty, equal, non-ASCII and very long ones."""
     rng = random.Random(4)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import batches_of, materialise, runs, trimmed
+from tidewire.llm.common import batches_of, map_arrow, materialise, runs
 
 #: Elements of the sets that meet in one group, about; a larger block is dealt to chunks of half as many.
 CHUNK_ELEMENTS = 1 << 20
@@ -114,7 +114,7 @@ def _match(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataFrame:
         yield from batches_of(50_000, found(), _FOUND)
 
     dealt = rows.select("lead", "chunk", "role", "whole", "key", "tokens").repartition("lead", "chunk").sortWithinPartitions("lead", "chunk", "role", "key")
-    return dealt.mapInArrow(trimmed(search), "lead long, a long, b long")
+    return map_arrow(dealt, search, "lead long, a long, b long")
 
 
 def _match_tiles(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataFrame:
@@ -133,7 +133,7 @@ def _match_tiles(rows: DataFrame, index_of: Callable, unpack: Callable) -> DataF
         yield from batches_of(50_000, found(), _FOUND)
 
     dealt = rows.select("lead", "low", "high", "chunk", "key", "group", "tokens").repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high", "chunk", "key")
-    return dealt.mapInArrow(trimmed(search), "lead long, a long, b long")
+    return map_arrow(dealt, search, "lead long, a long, b long")
 
 
 def packed_hashes(packed: list[bytes]) -> list[np.ndarray]:

@@ -59,6 +59,20 @@ def trimmed(work: Callable) -> Callable:
     return run
 
 
+#: Bytes of an Arrow batch that Spark sends to a Python worker, about. By rows alone, 10,000 texts
+#: are one batch, whose buffers JVM and worker keep beside later stages.
+BATCH_BYTES = 4 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
+    """df.mapInArrow of work, trimmed, in batches bounded by bytes: BATCH_BYTES from here on in this session, unless it names its own limit."""
+    conf = df.sparkSession.conf
+    if conf.get(_LIMIT, None) is None:
+        conf.set(_LIMIT, str(BATCH_BYTES))
+    return df.mapInArrow(trimmed(work), schema)
+
+
 def batches_of(size: int, rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches of at most `size` rows."""
     held: list[tuple] = []
@@ -160,7 +174,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns[:2]
     forest = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    forest = forest.mapInArrow(trimmed(_forest), "u long, v long")
+    forest = map_arrow(forest, _forest, "u long, v long")
     now = materialise(forest.distinct(), "forest")
     seen = None
     while True:

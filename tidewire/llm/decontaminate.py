@@ -1,15 +1,17 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index is a table of shards. A shard holds whole documents and the postings of every term
-in them, sorted by term and position, so that phrase search needs no shuffle: the benchmark's
-phrases go to the shards, where offset-adjusted posting lists are intersected from the rarest
-term of each phrase on.
+A shard of the index holds whole documents and the postings of every term in them, sorted by
+term and position, so that phrase search needs no shuffle: the benchmark's phrases go to the
+shards, where offset-adjusted posting lists are intersected from the rarest term of each phrase
+on. An index is a table of shards, to be searched many times; a single search takes each shard
+where it is built.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import materialise, trimmed
+from tidewire.llm.common import map_arrow, materialise
 
 #: Words of a shard, but for a longer document, which is a shard of its own.
 SHARD_WORDS = 1 << 19
@@ -25,6 +27,8 @@ SHARD_WORDS = 1 << 19
 BLOCK_BYTES = 2 << 20
 #: Postings of rarest terms from which intersection starts at once.
 ANCHORS = 1 << 20
+#: Writer's options that bound a row group by bytes, looked at after every row; else all shards of a task are in memory at once.
+SHARDS_APART = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
 
 
 def _word_table() -> bytes:
@@ -47,18 +51,42 @@ INDEX = "shard string, doc_ids array<long>, starts array<long>, terms array<stri
 _INDEX = pa.schema([("shard", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("terms", pa.list_(pa.string())), ("term_starts", pa.list_(pa.int32())), ("positions", pa.binary())])
 
 
-def _shard(ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
+def _postings(texts: list[list[bytes]]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """First words of the documents, terms, where the postings of each begin, and their positions."""
     number: dict[bytes, int] = defaultdict(count().__next__)
     sizes = [len(w) for w in texts]
     codes = np.fromiter((number[w] for words in texts for w in words), np.int32, sum(sizes))
     positions = np.argsort(codes, kind="stable").astype(np.int32)
     starts = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
     term_starts = np.concatenate(([0], np.cumsum(np.bincount(codes, minlength=len(number)))))
-    terms = [w.decode("utf-8", "replace") for w in number]
+    return starts, [w.decode("utf-8", "replace") for w in number], term_starts, positions
+
+
+def _shard(ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
+    starts, terms, term_starts, positions = _postings(texts)
     row = [uuid.uuid4().hex], [ids], [starts.tolist()], [terms], [term_starts.tolist()], [positions.tobytes()]
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _INDEX, strict=True)], schema=_INDEX)
 
 
+def _dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
+    """The documents (doc_id, text) of a task as shards: ids, and the words of each text."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            words = words_of(text.as_py())
+            if ids and size + len(words) > SHARD_WORDS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(doc_id), texts.append(words)
+            size += len(words)
+    if ids:
+        yield ids, texts
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def build_index(documents: DataFrame) -> DataFrame:
     """Postings of every token of documents (doc_id, text), a row for each shard, lazily.
 
@@ -67,19 +95,10 @@ def build_index(documents: DataFrame) -> DataFrame:
     """
 
     def build(batches):
-        ids, texts, size = [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words_of(text.as_py())
-                if ids and size + len(words) > SHARD_WORDS:
-                    yield _shard(ids, texts)
-                    ids, texts, size = [], [], 0
-                ids.append(doc_id), texts.append(words)
-                size += len(words)
-        if ids:
+        for ids, texts in _dealt(batches):
             yield _shard(ids, texts)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(trimmed(build), INDEX)
+    return map_arrow(_texts(documents), build, INDEX)
 
 
 class Phrases:
@@ -205,6 +224,13 @@ def _summary(phrases: Phrases, shard: str, ids: list, starts: np.ndarray, found:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MATCHES, strict=True)], schema=_MATCHES)
 
 
+def _asked(items: DataFrame) -> tuple[DataFrame, int]:
+    """The items (item_id, text) to search for, and in how many blocks they go."""
+    asked = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
+    size = asked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return asked, 1 + size // BLOCK_BYTES
+
+
 def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int = 10) -> DataFrame:
     """Matches of items (item_id, text) in an index: a row for each of its documents.
 
@@ -217,9 +243,7 @@ def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int
     written and taken back, and their matches are merged by document.
     """
     spark = index.sparkSession
-    asked = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
-    size = asked.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n_blocks = 1 + size // BLOCK_BYTES
+    asked, n_blocks = _asked(items)
     parts = []
     for k in range(n_blocks):
         block = asked if n_blocks == 1 else asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k)
@@ -233,7 +257,7 @@ def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int
                     raw = np.frombuffer(positions.as_buffer(), np.int32)
                     yield _summary(shared.value, shard, ids, starts, search(shared.value, starts, terms, term_starts, raw, slop))
 
-        found = index.mapInArrow(trimmed(match), MATCHES)
+        found = map_arrow(index, match, MATCHES)
         if n_blocks == 1:
             return found.drop("shard", "place")
         # One block is out at a time: its matches are written, of later blocks those that there are.
@@ -251,5 +275,19 @@ def find_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: int
 
 
 def decontaminate(documents: DataFrame, items: DataFrame, width: int = 10, slop: int = 10) -> DataFrame:
-    """find_matches over an index of `documents` written to the shared folder for this search."""
-    return find_matches(materialise(build_index(documents), "postings"), items, width, slop)
+    """find_matches over an index of `documents` made for this search.
+
+    Items of one block are searched for in each shard where it is built, and no shard is written.
+    For more, the index is written to the shared folder, in row groups of few shards.
+    """
+    asked, n_blocks = _asked(items)
+    if n_blocks > 1:
+        return find_matches(materialise(build_index(documents), "postings", **SHARDS_APART), items, width, slop)
+    shared = documents.sparkSession.sparkContext.broadcast(Phrases([tuple(r) for r in asked.collect()], width))
+
+    def match(batches):
+        for ids, texts in _dealt(batches):
+            starts, *postings = _postings(texts)
+            yield _summary(shared.value, "", ids, starts, search(shared.value, starts, *postings, slop))
+
+    return map_arrow(_texts(documents), match, MATCHES).drop("shard", "place")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import trimmed
+from tidewire.llm.common import map_arrow
 
 #: Bytes of a segment, and segments that parse side by side; where they meet, phrases are set right.
 SEGMENT, SIDE_BY_SIDE = 2048, 4096
@@ -249,7 +249,7 @@ def identify(documents: DataFrame, models: list) -> DataFrame:
                 rates.append(row[best] / n)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())], schema=_OUT)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(trimmed(parse), "doc_id long, lang_pred string, score double, phrase_rate double")
+    return map_arrow(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), parse, "doc_id long, lang_pred string, score double, phrase_rate double")
 
 
 def held_out_rates(labelled: DataFrame) -> dict[str, float]:
@@ -274,7 +274,7 @@ def held_out_rates(labelled: DataFrame) -> dict[str, float]:
                     counts, sizes = parse_counts([(lang, models[lang, not even])], texts)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), pa.array(counts[:, 0] / sizes)], schema=schema)
 
-    rates = known.mapInArrow(trimmed(parse), "lang string, rate double").groupBy("lang").agg(F.percentile_approx("rate", 0.5).alias("rate"))
+    rates = map_arrow(known, parse, "lang string, rate double").groupBy("lang").agg(F.percentile_approx("rate", 0.5).alias("rate"))
     return {r["lang"]: r["rate"] for r in rates.collect()}
 
 
@@ -300,4 +300,4 @@ def keep_identified(documents: DataFrame, models: list, languages: list[str] | N
                 names = [None if t is None or not ok else models[k][0] for t, k, ok in zip(texts, best, fits, strict=True)]
             yield batch.filter(pa.array([n is not None and (languages is None or n in languages) for n in names], pa.bool_()))
 
-    return documents.mapInArrow(trimmed(keep), documents.schema)
+    return map_arrow(documents, keep, documents.schema)

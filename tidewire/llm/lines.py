@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.blocks import link_blocks
-from tidewire.llm.common import connected_components, materialise, trimmed
+from tidewire.llm.common import connected_components, map_arrow, materialise
 from tidewire.llm.words import distinct, mixed
 
 #: Characters of a shingle: so many that unrelated lines share next to none.
@@ -210,7 +210,7 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     (doc_id, number) stays.
     """
     known = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    lines = materialise(known.mapInArrow(trimmed(_lines), "doc_id long, line int, key long, bands array<long>, normal string"), "lines")
+    lines = materialise(map_arrow(known, _lines, "doc_id long, line int, key long, bands array<long>, normal string"), "lines")
     banded = lines.where("normal IS NOT NULL").select("key", F.explode("bands").alias("band"))
     # The least key leads a band; a map-side minimum finds it, however many lines meet there.
     heads = banded.groupBy("band").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead <> last").drop("last")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.blocks import link_blocks
-from tidewire.llm.common import connected_components, join_copies, materialise, trimmed
+from tidewire.llm.common import connected_components, join_copies, map_arrow, materialise
 from tidewire.llm.words import distinct, grams, mixed, word_hashes
 
 #: Words of a shingle.
@@ -260,7 +260,7 @@ def _near(read: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
     """(key, n, tokens): sets that may have a partner, and their tokens with lists of several sets."""
     posted = read.where("bucket IS NOT NULL")
     pairs = posted.where(F.col("bucket") != KNOWN).select("bucket", "base", "tokens", "owners").groupBy("bucket").applyInArrow(_long_lists, "node long, token long")
-    pairs = pairs.unionByName(posted.where(F.col("bucket") == KNOWN).select("base", "tokens", "owners").mapInArrow(trimmed(_known), "node long, token long"))
+    pairs = pairs.unionByName(map_arrow(posted.where(F.col("bucket") == KNOWN).select("base", "tokens", "owners"), _known, "node long, token long"))
     held = pairs.groupBy("node").agg(F.collect_set("token").alias("tokens")).join(owners.select("node", "key", "n"), "node")
     return held.where(F.size("tokens") >= n_shared(F.col("n"), percent)).select("key", "n", "tokens")
 
@@ -301,7 +301,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
     known = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n_bytes = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     schema = "node long, doc_id long, n long, key long, posted boolean, bucket long, base long, tokens binary, owners binary"
-    read = materialise(known.mapInArrow(trimmed(_reader(percent, 1 + n_bytes // BUCKET_BYTES)), schema), "read")
+    read = materialise(map_arrow(known, _reader(percent, 1 + n_bytes // BUCKET_BYTES), schema), "read")
     sets = read.where("node IS NOT NULL").select("node", "doc_id", "n", "key", "posted")
     # Of a set, the smallest document stands for all.
     owners = sets.where("doc_id IS NOT NULL AND key IS NOT NULL").groupBy("key")
@@ -318,11 +318,12 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
                 tokens = shingles_of(text)
                 if len(tokens):
                     rows.append((set_key(tokens), len(tokens), zstandard.compress(text)))
-            yield _batch(rows, _TOKENS)
+            if rows:
+                yield _batch(rows, _TOKENS)
 
     picked = known.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "doc_id", "left_semi")
     # A set comes twice only where a row does; blocks take no notice of that.
-    tokens = materialise(picked.mapInArrow(trimmed(tokens_of), "key long, n long, tokens binary"), "tokens")
+    tokens = materialise(map_arrow(picked, tokens_of, "key long, n long, tokens binary"), "tokens")
     components = connected_components(link_blocks(blocks, tokens, divide_skip(percent), unpack))
     joined = owners.join(components.withColumnRenamed("node", "key"), "key").select("key", "component", "doc_id")
     least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
