@@ -250,6 +250,36 @@ def test_batches_are_bounded_by_bytes(spark, monkeypatch):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def test_tasks_keep_what_they_ask_for_alone():
+    """What a worker keeps for tasks of its kind stays from one to the next, and goes with the first task that has no use for it."""
+    made = []
+
+    def asks(batches):
+        for batch in batches:
+            yield common.kept("a", lambda: made.append(1) or "made"), batch
+
+    common._kept.clear()
+    for _ in range(2):
+        assert list(common.trimmed(asks)([1, 2])) == [("made", 1), ("made", 2)] and list(common._kept) == ["a"]
+    assert made == [1]
+    language_id.automata([("en", b"the cat")])
+    assert list(common._kept) == [(("en", b"the cat"),)]
+    assert list(common.trimmed(iter)([3])) == [3] and not common._kept
+
+
+def test_few_rows_are_read_at_once(spark, tmp_path):
+    """Parquet's reader holds READ_ROWS rows in a task from the first map_arrow on; a session's own number holds."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name, None)
+    try:
+        for own, want in ((None, str(common.READ_ROWS)), ("64", "64")):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            assert [r.id for r in common.map_arrow(spark.range(3), lambda batches: batches, "id long").orderBy("id").collect()] == [0, 1, 2]
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def test_shingle_sets_of_many_lines():
     """Lines hashed together have the sets that each has alone: short, empty, equal, non-ASCII and very long ones."""
     rng = random.Random(4)

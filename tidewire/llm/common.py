@@ -47,29 +47,48 @@ def trim() -> None:
         libc.malloc_trim(0)
 
 
+#: What this process keeps for its next tasks, and what the task at hand has asked for.
+_kept: dict[object, object] = {}
+_asked: set[object] = set()
+
+
+def kept(key, make: Callable):
+    """What `make` gives, made once for tasks that follow one another in this process; one thing at a time."""
+    _asked.add(key)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def trimmed(work: Callable) -> Callable:
-    """A function for mapInArrow that trims when its task ends."""
+    """A function for mapInArrow that trims when its task ends. What the task has not asked for is not kept beside it and later stages."""
 
     def run(batches):
+        _asked.clear()
         try:
             yield from work(batches)
         finally:
+            if not _asked:
+                _kept.clear()
             trim()
 
     return run
 
 
-#: Bytes of an Arrow batch that Spark sends to a Python worker, about. By rows alone, 10,000 texts
-#: are one batch, whose buffers JVM and worker keep beside later stages.
-BATCH_BYTES = 4 << 20
-_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch that Spark sends to a Python worker, about (by rows alone, 10,000 texts
+#: are one batch, whose buffers JVM and worker keep beside later stages), and rows that Spark's
+#: Parquet reader holds at once in each task: of 4,096 texts the vectors alone are tens of MB of heap.
+BATCH_BYTES, READ_ROWS = 4 << 20, 512
+_LIMITS = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
 
 
 def map_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
-    """df.mapInArrow of work, trimmed, in batches bounded by bytes: BATCH_BYTES from here on in this session, unless it names its own limit."""
+    """df.mapInArrow of work, trimmed, in batches bounded by BATCH_BYTES and READ_ROWS from here on in this session, unless it names its own limits."""
     conf = df.sparkSession.conf
-    if conf.get(_LIMIT, None) is None:
-        conf.set(_LIMIT, str(BATCH_BYTES))
+    for name, limit in _LIMITS.items():
+        if conf.get(name, None) is None:
+            conf.set(name, str(limit))
     return df.mapInArrow(trimmed(work), schema)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import map_arrow
+from tidewire.llm.common import kept, map_arrow
 
 #: Bytes of a segment, and segments that parse side by side; where they meet, phrases are set right.
 SEGMENT, SIDE_BY_SIDE = 2048, 4096
@@ -138,17 +138,9 @@ class Automaton:
         return total
 
 
-#: The automata of the models that this process has used last.
-_built: dict[tuple, list] = {}
-
-
 def automata(models: list[tuple[str, bytes]]) -> list[tuple[str, Automaton]]:
-    """(name, automaton) of each model, built once in a process: a sample is small, its automaton is not."""
-    key = tuple(models)
-    if key not in _built:
-        _built.clear()
-        _built[key] = [(name, Automaton(np.frombuffer(sample, np.uint8))) for name, sample in models]
-    return _built[key]
+    """(name, automaton) of each model, built once for the tasks that use them: a sample is small, its automaton is not."""
+    return kept(tuple(models), lambda: [(name, Automaton(np.frombuffer(sample, np.uint8))) for name, sample in models])
 
 
 def fit(labelled: DataFrame, n_buckets: int = 256, sample_chars: int = 160) -> list[tuple[str, bytes]]:
