@@ -280,6 +280,51 @@ def test_few_rows_are_read_at_once(spark, tmp_path):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def test_a_lead_asks_once():
+    """A lead that reaches nothing is not asked again, and of a block's other members all but one are."""
+    asked = []
+
+    def index_of(sets):
+        return lambda query: asked.append(int(query[0])) or []
+
+    sets = [np.array([k], np.uint64) for k in range(3)]
+    assert list(blocks._search_block([(0, sets[0])], [(k, sets[k]) for k in (1, 2)], True, index_of, {0})) == []
+    assert sorted(asked) == [0, 2]
+
+
+def test_jaccard_of_fitting_sizes():
+    """Sets of a size that can link are searched, whatever their order: the same places as by plain sets, at the bounds too."""
+    rng = random.Random(5)
+    base = [rng.randrange(1 << 60) for _ in range(60)]
+    sets = [np.array(sorted(set(base[: rng.randrange(1, 60)]) | {rng.randrange(1 << 60) for _ in range(rng.randrange(6))}), np.uint64) for _ in range(300)]
+    sets += [np.array(sorted(base[:n]), np.uint64) for n in (40, 50, 32, 39, 49, 51)]
+    search = lines.jaccard(0.8)(sets)
+    plain = [set(s.tolist()) for s in sets]
+    some = 0
+    for k, query in enumerate(sets):
+        want = [j for j, other in enumerate(plain) if 5 * len(plain[k] & other) >= 4 * len(plain[k] | other)]
+        assert sorted(search(query)) == want
+        some += len(want) > 1
+    assert some and lines.jaccard(0.8)([])(sets[0]) == []
+
+
+def test_filled_slots_bound_distinct_shingles():
+    rng = np.random.default_rng(3)
+    sizes = np.array([1, 128, 160, 161, 400, 5000])
+    x = np.concatenate([rng.integers(0, 1 << 64, n, dtype=np.uint64) if n < 400 else np.repeat(rng.integers(0, 1 << 64, n // 4, dtype=np.uint64), 4) for n in sizes.tolist()])
+    slots, n = lines._n_slots(x, sizes), lines._n_distinct(x, sizes)
+    assert (slots <= n).all() and (slots > 0).all() and slots[5] > lines.LONG
+
+
+def test_a_text_is_split_once(spark):
+    """Splitting makes a row of each line; the last step does so for texts that lose lines, once, and only counts line ends of others."""
+    docs = docs_of(spark, [(1, "a line\nanother line\n\n"), (2, "x\na line"), (3, None), (4, ""), (5, "\n")])
+    out = lines.dedup_lines(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in out.collect()} == {1: (4, 0, "a line\nanother line\n\n"), 2: (2, 1, "x"), 3: (0, 0, None), 4: (1, 0, ""), 5: (2, 0, "\n")}
+
+
 def test_shingle_sets_of_many_lines():
     """Lines hashed together have the sets that each has alone: short, empty, equal, non-ASCII and very long ones."""
     rng = random.Random(4)

@@ -53,7 +53,8 @@ def _unite(up: list[int], search: Callable[[int], list[int]], first: int | None
             if root(k) == root(largest):
                 behind.append(k)
                 continue
-            yield from ask(k)
+            if k != first:
+                yield from ask(k)
             if size[root(k)] > size[root(largest)]:
                 largest = k
         ahead, behind = [k for k in behind if root(k) != root(largest)], [k for k in behind if root(k) == root(largest)]

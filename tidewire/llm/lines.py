@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -111,6 +112,17 @@ def _n_distinct(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.bincount((both[np.concatenate(([True], both[1:] != both[:-1]))] >> np.uint64(48)).astype(np.int64), minlength=len(sizes))
 
 
+#: Slots to which the shingles of a line are dealt.
+SLOTS = 1 << 10
+
+
+def _n_slots(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """In how many of SLOTS slots the shingles of each line fall: as many distinct shingles it has at least."""
+    filled = np.zeros((len(sizes), SLOTS), bool)
+    filled.ravel()[np.repeat(np.arange(len(sizes)) * SLOTS, sizes) + (x >> np.uint64(54)).astype(np.int64)] = True
+    return filled.sum(axis=1)
+
+
 def _blocks(lines: list[str]) -> Iterator[tuple[int, int]]:
     """Consecutive lines whose hashes stay in cache, as (first, one after the last)."""
     at = 0
@@ -138,7 +150,12 @@ def band_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # Repeats do not change a least hash, but may change the scheme.
         long = np.flatnonzero(sizes >= 0.8 * LONG)
         if len(long):
-            n[long] = _n_distinct(np.concatenate([x[starts[k] : starts[k] + sizes[k]] for k in long.tolist()]), sizes[long])
+            some = np.repeat(sizes >= 0.8 * LONG, sizes)
+            n[long] = _n_slots(x[some], sizes[long])
+            # Only of lines with few slots filled the number itself matters.
+            close = long[n[long] <= LONG]
+            if len(close):
+                n[close] = _n_distinct(np.concatenate([x[starts[k] : starts[k] + sizes[k]] for k in close.tolist()]), sizes[close])
         for k, (scheme, fits) in enumerate(((_permuted, n <= LONG), (_one_permutation, n >= 0.8 * LONG))):
             if fits.any():
                 least[k].append(scheme(x[np.repeat(fits, sizes)], sizes[fits]).astype(np.uint64))
@@ -154,17 +171,23 @@ def jaccard(threshold: float) -> Callable[[list[np.ndarray]], Callable[[np.ndarr
     """index_of for link_blocks: exact Jaccard with every set of a fitting size."""
 
     def index_of(sets: list[np.ndarray]) -> Callable[[np.ndarray], list[int]]:
-        sizes = np.array([len(s) for s in sets])
-        tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        # By size, so that those of a size that can link are one range.
+        by_size = sorted(range(len(sets)), key=lambda k: len(sets[k]))
+        lengths = [len(sets[k]) for k in by_size]
+        sizes = np.array(lengths, np.int64)
+        tokens = np.concatenate([*(sets[k] for k in by_size), np.zeros(0, np.uint64)])
         starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
         def search(query: np.ndarray) -> list[int]:
-            if not len(sets):
+            n = len(query)
+            # The least of two sizes is their largest intersection, and the greatest their smallest union.
+            a, b = bisect_left(lengths, threshold * n - 1e-6), bisect_right(lengths, (n + 1e-6) / threshold)
+            if a == b or not n:
                 return []
-            held = query[np.minimum(np.searchsorted(query, tokens), len(query) - 1)] == tokens
-            total = np.concatenate(([0], np.cumsum(held)))
-            both = total[starts[1:]] - total[starts[:-1]]
-            return np.flatnonzero(both >= threshold * (sizes + len(query) - both) - 1e-9).tolist()
+            some, begin = tokens[starts[a] : starts[b]], starts[a:b] - starts[a]
+            held = query[np.minimum(np.searchsorted(query, some), n - 1)] == some
+            both = np.add.reduceat(held, begin, dtype=np.int64)
+            return [by_size[a + k] for k in np.flatnonzero(both >= threshold * (sizes[a:b] + n - both) - 1e-9).tolist()]
 
         return search
 
@@ -246,8 +269,8 @@ def _kept(gone: str):
     gap = F.zip_with(at, F.concat(F.array(F.lit(-1)), at), lambda k, before: k - before)
     # Marks up to the last line that goes; each gap ends in one. Lines without a mark stay.
     marks = F.flatten(F.transform(F.slice(gap, 1, F.size(gone)), lambda n: F.concat(F.array_repeat(F.lit(False), n - 1), F.array(F.lit(True)))))
-    lines = F.split("text", "\n", -1)
-    return F.array_join(F.zip_with(lines, F.slice(marks, 1, F.size(lines)), lambda x, mark: F.when(F.coalesce(mark, F.lit(False)), F.lit(None)).otherwise(x)), "\n")
+    # A text is split once: what stands beyond its last line, of another row's marks, is null and goes as well.
+    return F.array_join(F.zip_with(F.split("text", "\n", -1), marks, lambda x, mark: F.when(F.coalesce(mark, F.lit(False)), F.lit(None)).otherwise(x)), "\n")
 
 
 def without_repeated_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -269,7 +292,8 @@ def dedup_lines(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     one goes in all. See repeated_lines for what repeats; an emptied document keeps an empty text.
     """
     both, gone = _with_removed(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), threshold)
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
+    # Line ends are counted, no line made.
+    n = F.when(F.col("text").isNull(), 0).otherwise(1 + F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))))
     gone_here = F.when(F.col("text").isNull() | F.col(gone).isNull(), 0).otherwise(F.size(F.filter(gone, lambda k: k < n)))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(_kept(gone))
     return both.select("doc_id", n.cast("long").alias("n_lines"), gone_here.cast("long").alias("n_removed"), text.alias("text"))
